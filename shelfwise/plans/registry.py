@@ -244,3 +244,321 @@ SELECT product_id, count(rating) AS review_count, round(avg(rating), 6) AS avera
 FROM reviews GROUP BY product_id"""))
 def q_product_review_stats(spark, d):
     return review_stats(catalog(spark, d).reviews)
+
+
+# ------------------------------------------------------ heuristic recommenders
+R_COLS = "product_id, title, category, round(average_rating, 6) AS average_rating, sales_rank, review_count, price"
+
+CONTENT_CTES = """
+prof AS (SELECT DISTINCT r.customer_id, p.category FROM reviews r JOIN products p ON r.product_id = p.product_id),
+content AS (
+  SELECT pr.customer_id, e.product_id, e.title, e.category, e.average_rating, e.sales_rank, e.review_count, e.price,
+         row_number() OVER (PARTITION BY pr.customer_id
+                            ORDER BY e.average_rating DESC, e.sales_rank, e.product_id) AS rank
+  FROM prof pr JOIN (SELECT * FROM products WHERE average_rating >= 4.0) e ON pr.category = e.category
+  QUALIFY rank <= 10)"""
+
+
+@plan("popularity_recs", sql(f"""
+SELECT {R_COLS}, row_number() OVER (ORDER BY sales_rank, average_rating DESC, product_id) AS rank
+FROM products WHERE average_rating >= 3.5 OR sales_rank <= 100000 QUALIFY rank <= 10"""))
+def q_popularity_recs(spark, d):
+    return recommend.popularity(catalog(spark, d).products, None, 10).select(*recommend.REC_COLUMNS, "rank")
+
+
+@plan("popularity_recs_per_category", sql(f"""
+SELECT {R_COLS}, row_number() OVER (PARTITION BY category ORDER BY sales_rank, average_rating DESC, product_id) AS rank
+FROM products WHERE average_rating >= 3.5 OR sales_rank <= 100000 QUALIFY rank <= 5"""))
+def q_popularity_recs_per_category(spark, d):
+    return recommend.popularity_per_category(catalog(spark, d).products, 5).select(*recommend.REC_COLUMNS, "rank")
+
+
+@plan("user_category_profile", sql("""
+SELECT r.customer_id, p.category, count(r.rating) AS review_count, round(avg(r.rating), 6) AS avg_user_rating
+FROM reviews r JOIN products p ON r.product_id = p.product_id
+GROUP BY r.customer_id, p.category HAVING count(r.rating) >= 1"""))
+def q_user_category_profile(spark, d):
+    c = catalog(spark, d)
+    return recommend.user_category_profile(c.products, c.reviews)
+
+
+@plan("content_recs_all_users", sql(f"SELECT customer_id, {R_COLS}, rank FROM content", CONTENT_CTES))
+def q_content_recs_all_users(spark, d):
+    c = catalog(spark, d)
+    return recommend.content_based(c.products, c.reviews, 10)
+
+
+@plan("content_recs_unseen", sql(f"""
+SELECT customer_id, {R_COLS}, rank FROM (
+  SELECT pr.customer_id, e.*, row_number() OVER (PARTITION BY pr.customer_id
+                            ORDER BY e.average_rating DESC, e.sales_rank, e.product_id) AS rank
+  FROM prof pr JOIN (SELECT * FROM products WHERE average_rating >= 4.0) e ON pr.category = e.category
+  WHERE NOT EXISTS (SELECT 1 FROM inter i WHERE i.customer_id = pr.customer_id AND i.product_id = e.product_id)
+  QUALIFY rank <= 10)""", CONTENT_CTES))
+def q_content_recs_unseen(spark, d):
+    c = catalog(spark, d)
+    return recommend.content_based(c.products, c.reviews, 10, exclude_seen=True)
+
+
+@plan("hybrid_recs", sql(f"""
+SELECT customer_id, {R_COLS}, row_number() OVER (PARTITION BY customer_id ORDER BY src, p) AS rank
+FROM (
+  SELECT customer_id, product_id, title, category, average_rating, sales_rank, review_count, price, 0 AS src, rank AS p
+  FROM content
+  UNION ALL
+  SELECT u.customer_id, pop.product_id, pop.title, pop.category, pop.average_rating, pop.sales_rank,
+         pop.review_count, pop.price, 1 AS src, pop.p
+  FROM (SELECT DISTINCT customer_id FROM reviews WHERE customer_id IS NOT NULL) u CROSS JOIN pop
+  WHERE NOT EXISTS (SELECT 1 FROM content c WHERE c.customer_id = u.customer_id AND c.product_id = pop.product_id))
+QUALIFY rank <= 10""", CONTENT_CTES + """,
+pop AS (SELECT *, row_number() OVER (ORDER BY sales_rank, average_rating DESC, product_id) AS p
+        FROM products WHERE average_rating >= 3.5 OR sales_rank <= 100000 QUALIFY p <= 20)"""))
+def q_hybrid_recs(spark, d):
+    c = catalog(spark, d)
+    return recommend.hybrid(c.products, c.reviews, None, 10)
+
+
+@plan("similar_products_tiered", sql(f"""
+SELECT target_id, {R_COLS}, tier, rank FROM (
+  SELECT target_id, product_id, title, category, average_rating, sales_rank, review_count, price, 1 AS tier,
+         row_number() OVER (PARTITION BY target_id ORDER BY pos) AS rank
+  FROM t1 QUALIFY rank <= 10
+  UNION ALL
+  SELECT t.product_id AS target_id, c.product_id, c.title, c.category, c.average_rating, c.sales_rank,
+         c.review_count, c.price, 2 AS tier,
+         row_number() OVER (PARTITION BY t.product_id ORDER BY c.average_rating DESC, c.sales_rank, c.product_id) AS rank
+  FROM products t JOIN products c ON t.category = c.category AND c.product_id <> t.product_id
+   AND c.average_rating >= 3.5
+  WHERE t.product_id NOT IN (SELECT target_id FROM t1)
+  QUALIFY rank <= 10)""", """
+lst AS (SELECT product_id AS target_id, unnest(similar_products) AS sid,
+               unnest(range(len(similar_products))) AS pos FROM products),
+t1 AS (SELECT l.target_id, min(l.pos) AS pos, c.product_id, c.title, c.category, c.average_rating,
+              c.sales_rank, c.review_count, c.price
+       FROM lst l JOIN products c ON l.sid = c.product_id
+       GROUP BY l.target_id, c.product_id, c.title, c.category, c.average_rating, c.sales_rank,
+                c.review_count, c.price)"""))
+def q_similar_products_tiered(spark, d):
+    return recommend.similar_products(catalog(spark, d).products, 10)
+
+
+# -------------------------------------------------- collaborative filtering
+@plan("interactions", sql("SELECT customer_id, product_id, 1 AS interaction FROM inter"))
+def q_interactions(spark, d):
+    return collab.interactions(catalog(spark, d).reviews)
+
+
+@plan("item_freq", sql("SELECT product_id, count(*) AS product_frequency FROM inter GROUP BY product_id"))
+def q_item_freq(spark, d):
+    return collab.item_frequency(collab.interactions(catalog(spark, d).reviews))
+
+
+PAIRS_CTE = """
+pairs AS (SELECT a.product_id AS product1, b.product_id AS product2, count(*) AS co
+          FROM inter a JOIN inter b ON a.customer_id = b.customer_id AND a.product_id < b.product_id
+          GROUP BY a.product_id, b.product_id),
+freq AS (SELECT product_id, count(*) AS f FROM inter GROUP BY product_id),
+sim AS (SELECT p.product1, p.product2, p.co, p.co / (f1.f + f2.f - p.co) AS s
+        FROM pairs p JOIN freq f1 ON p.product1 = f1.product_id JOIN freq f2 ON p.product2 = f2.product_id)"""
+
+
+@plan("cooccurrence", sql("SELECT product1, product2, co AS co_occurrence_count FROM pairs", PAIRS_CTE))
+def q_cooccurrence(spark, d):
+    co = collab.item_cooccurrence(collab.interactions(catalog(spark, d).reviews))
+    return co.select("product1", "product2", "co_occurrence_count")
+
+
+@plan("item_jaccard", sql("""
+SELECT product1, product2, co AS co_occurrence_count, round(s, 6) AS similarity_score FROM sim""", PAIRS_CTE))
+def q_item_jaccard(spark, d):
+    return collab.item_jaccard(collab.interactions(catalog(spark, d).reviews))
+
+
+ALSO_SQL = sql("""
+SELECT e.product1, c.product_id, c.title, c.category, round(c.average_rating, 6) AS average_rating,
+       c.review_count, c.price, round(e.s, 6) AS similarity_score,
+       row_number() OVER (PARTITION BY e.product1 ORDER BY e.s DESC, c.product_id) AS rank
+FROM (SELECT product1, product2, s FROM sim UNION ALL SELECT product2, product1, s FROM sim) e
+JOIN products c ON e.product2 = c.product_id
+QUALIFY rank <= 10""", PAIRS_CTE)
+
+
+@plan("also_bought_topk", ALSO_SQL)
+def q_also_bought_topk(spark, d):
+    c = catalog(spark, d)
+    model = collab.fit_similarity(c.reviews, persist=False)
+    return collab.also_bought(model.edges, c.products, 10)
+
+
+@plan("popular_by_interactions", sql("""
+SELECT c.product_id, c.title, c.category, round(c.average_rating, 6) AS average_rating, c.review_count, c.price,
+       n.cnt AS interaction_count, row_number() OVER (ORDER BY n.cnt DESC, c.product_id) AS rank
+FROM (SELECT product_id, count(*) AS cnt FROM inter GROUP BY product_id) n
+JOIN products c ON n.product_id = c.product_id QUALIFY rank <= 10"""))
+def q_popular_by_interactions(spark, d):
+    c = catalog(spark, d)
+    return collab.popular_by_interactions(collab.interactions(c.reviews), c.products, 10)
+
+
+USER_PAIRS_CTE = """
+udeg AS (SELECT customer_id, count(*) AS d FROM inter GROUP BY customer_id),
+upairs AS (SELECT a.customer_id AS customer1, b.customer_id AS customer2, count(*) AS common_products
+           FROM inter a JOIN inter b ON a.product_id = b.product_id AND a.customer_id < b.customer_id
+           GROUP BY a.customer_id, b.customer_id)"""
+
+
+@plan("user_jaccard", sql("""
+SELECT u.customer1, u.customer2, u.common_products,
+       round(u.common_products / (d1.d + d2.d - u.common_products), 6) AS similarity
+FROM upairs u JOIN udeg d1 ON u.customer1 = d1.customer_id JOIN udeg d2 ON u.customer2 = d2.customer_id""",
+                          USER_PAIRS_CTE))
+def q_user_jaccard(spark, d):
+    return collab.user_jaccard(collab.interactions(catalog(spark, d).reviews))
+
+
+def user_cf_ctes(train: str) -> str:
+    """User-based CF in SQL over the interaction relation ``train``."""
+    return f"""
+ov AS (SELECT a.customer_id AS c1, b.customer_id AS c2, count(*) AS common
+       FROM {train} a JOIN {train} b ON a.product_id = b.product_id AND a.customer_id <> b.customer_id
+       GROUP BY a.customer_id, b.customer_id),
+nb AS (SELECT * FROM ov QUALIFY row_number() OVER (PARTITION BY c1 ORDER BY common DESC, c2) <= 100),
+cand AS (SELECT nb.c1 AS customer_id, i.product_id, count(*) AS score, avg(nb.common) AS sim
+         FROM nb JOIN {train} i ON i.customer_id = nb.c2 GROUP BY nb.c1, i.product_id),
+cf AS (SELECT c.customer_id, p.product_id, p.title, p.category, p.average_rating, p.review_count, p.price,
+              c.score AS recommendation_score, c.sim AS user_similarity,
+              row_number() OVER (PARTITION BY c.customer_id ORDER BY c.score DESC, p.product_id) AS rank
+       FROM cand c JOIN products p ON c.product_id = p.product_id
+       WHERE NOT EXISTS (SELECT 1 FROM {train} o WHERE o.customer_id = c.customer_id AND o.product_id = c.product_id)
+       QUALIFY rank <= 10)"""
+
+
+@plan("user_cf_batch", sql("""
+SELECT customer_id, product_id, title, category, round(average_rating, 6) AS average_rating, review_count, price,
+       recommendation_score, round(user_similarity, 6) AS user_similarity, rank FROM cf""", user_cf_ctes("inter")))
+def q_user_cf_batch(spark, d):
+    c = catalog(spark, d)
+    return collab.user_cf(collab.interactions(c.reviews), c.products, 10)
+
+
+# ------------------------------------------------------------- evaluation
+SPLIT = "(((42 + customer_id * 7919 + product_id * 104729) % 100) + 100) % 100"
+
+
+@plan("split_counts", sql(f"""
+SELECT CASE WHEN {SPLIT} < 20 THEN 'test' ELSE 'train' END AS split, count(*) AS rows,
+       count(DISTINCT customer_id) AS distinct_keys
+FROM inter GROUP BY 1"""))
+def q_split_counts(spark, d):
+    inter = collab.interactions(catalog(spark, d).reviews)
+    return evaluate.split_counts(inter, ["customer_id", "product_id"], 0.2, 42, "arith")
+
+
+@plan("precision_recall_at_k", sql("""
+SELECT round(coalesce(avg(precision), 0), 6) AS precision_at_k, round(coalesce(avg(recall), 0), 6) AS recall_at_k,
+       count(*) AS users_evaluated, (SELECT count(DISTINCT customer_id) FROM test) AS test_users_total
+FROM (
+  SELECT a.customer_id, coalesce(h.hits, 0) / np.n AS precision, coalesce(h.hits, 0) / na.n AS recall
+  FROM (SELECT customer_id, count(*) AS n FROM act GROUP BY customer_id) na
+  JOIN (SELECT customer_id, count(*) AS n FROM cf GROUP BY customer_id) np ON na.customer_id = np.customer_id
+  LEFT JOIN (SELECT a.customer_id, count(*) AS hits FROM act a JOIN cf p
+             ON a.customer_id = p.customer_id AND a.product_id = p.product_id GROUP BY a.customer_id) h
+    ON na.customer_id = h.customer_id
+  JOIN (SELECT DISTINCT customer_id FROM act) a ON a.customer_id = na.customer_id)""",
+    f"""
+train AS (SELECT * FROM inter WHERE {SPLIT} >= 20),
+test AS (SELECT * FROM inter WHERE {SPLIT} < 20),
+act AS (SELECT * FROM test QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY product_id) <= 10),"""
+    + user_cf_ctes("train")))
+def q_precision_recall_at_k(spark, d):
+    c = catalog(spark, d)
+    return evaluate.evaluate_user_cf(c.reviews, c.products, 0.2, 10, 42, "arith")
+
+
+@plan("rec_diversity", sql("""
+SELECT customer_id, round(coalesce((count(DISTINCT category) + max(CAST(category IS NULL AS INTEGER)))
+                                   / count(*), 0), 6) AS diversity
+FROM content GROUP BY customer_id""", CONTENT_CTES))
+def q_rec_diversity(spark, d):
+    c = catalog(spark, d)
+    return evaluate.diversity(recommend.content_based(c.products, c.reviews, 10))
+
+
+@plan("rec_avg_rating", sql("""
+SELECT customer_id, round(coalesce(avg(average_rating), 0), 6) AS avg_rating FROM content GROUP BY customer_id""",
+                            CONTENT_CTES))
+def q_rec_avg_rating(spark, d):
+    c = catalog(spark, d)
+    return evaluate.mean_rating(recommend.content_based(c.products, c.reviews, 10))
+
+
+@plan("rating_error", sql(f"""
+SELECT round(sqrt(avg((t.rating - coalesce(m.m, g.m)) * (t.rating - coalesce(m.m, g.m)))), 6) AS rmse,
+       round(avg(abs(t.rating - coalesce(m.m, g.m))), 6) AS mae, count(*) AS n
+FROM (SELECT * FROM reviews WHERE {SPLIT} < 20) t
+LEFT JOIN (SELECT product_id, avg(rating) AS m FROM reviews WHERE {SPLIT} >= 20 GROUP BY product_id) m
+  ON t.product_id = m.product_id
+CROSS JOIN (SELECT avg(rating) AS m FROM reviews WHERE {SPLIT} >= 20) g"""))
+def q_rating_error(spark, d):
+    reviews = catalog(spark, d).reviews
+    train, test = evaluate.train_test_split(reviews, ["customer_id", "product_id"], 0.2, 42, "arith")
+    return evaluate.rating_error(evaluate.mean_baseline_predictions(train, test))
+
+
+@plan("category_distribution", sql("""
+SELECT category, count(*) AS count FROM products GROUP BY category ORDER BY count DESC, category LIMIT 10"""))
+def q_category_distribution(spark, d):
+    return evaluate.category_distribution(catalog(spark, d).products, 10)
+
+
+@plan("rating_distribution", sql("SELECT rating, count(*) AS count FROM reviews GROUP BY rating"))
+def q_rating_distribution(spark, d):
+    return evaluate.rating_distribution(catalog(spark, d).reviews)
+
+
+# ---------------------------------------------------------------- utilities
+@plan("sample", None)
+def q_sample(spark, d):
+    return profile.sample(catalog(spark, d).reviews, 0.1, 42)
+
+
+def _profile_row(pos: int, name: str, dtype: str, numeric: bool) -> str:
+    stats = (f"avg({name}) AS mean, stddev_samp({name}) AS stddev" if numeric
+             else "CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS stddev")
+    return (f"SELECT '{name}' AS column_name, '{dtype}' AS data_type, {pos} AS position, "
+            f"count(*) FILTER (WHERE {name} IS NULL) AS null_count, {stats} FROM reviews")
+
+
+PROFILE_COLUMNS = [("product_id", "bigint", True), ("customer_id", "bigint", True), ("rating", "double", True),
+                   ("review_date", "date", False), ("helpful_votes", "bigint", True),
+                   ("total_votes", "bigint", True)]
+
+
+@plan("profile", sql("""
+SELECT (SELECT count(*) FROM reviews) AS row_count, CAST(6 AS BIGINT) AS column_count, column_name, data_type,
+       CAST(position AS BIGINT) AS position, null_count, round(mean, 6) AS mean, round(stddev, 6) AS stddev
+FROM (""" + "\nUNION ALL\n".join(_profile_row(i, *c) for i, c in enumerate(PROFILE_COLUMNS)) + ")"))
+def q_profile(spark, d):
+    return profile.profile(catalog(spark, d).reviews)
+
+
+@plan("safe_ratio", sql("""
+SELECT product_id, customer_id, helpful_votes, total_votes,
+       round(CASE WHEN total_votes = 0 THEN 0.0 ELSE helpful_votes / total_votes END, 6) AS helpful_ratio
+FROM reviews"""))
+def q_safe_ratio(spark, d):
+    r = catalog(spark, d).reviews
+    return r.select("product_id", "customer_id", "helpful_votes", "total_votes",
+                    profile.safe_ratio("helpful_votes", "total_votes").alias("helpful_ratio"))
+
+
+@plan("display_join", sql("""
+SELECT n.product_id, n.cnt AS interaction_count, p.title, p.category, round(p.average_rating, 6) AS average_rating,
+       p.sales_rank
+FROM (SELECT product_id, count(*) AS cnt FROM inter GROUP BY product_id) n
+JOIN products p ON n.product_id = p.product_id"""))
+def q_display_join(spark, d):
+    c = catalog(spark, d)
+    inter = collab.interactions(c.reviews)
+    recs = inter.groupBy("product_id").agg(F.count(F.lit(1)).alias("interaction_count"))
+    return profile.display_join(recs, c.products, ["interaction_count"])
