@@ -88,8 +88,9 @@ def category_count(categories: Column) -> Column:
 
 
 def clamp_rating(c: Column) -> Column:
-    """N10 helper: rating limited to [0, 5]."""
-    return F.greatest(F.lit(0.0), F.least(F.lit(5.0), c))
+    """N10 helper: rating limited to [0, 5]; NULL stays NULL (least and
+    greatest skip NULL arguments)."""
+    return F.when(c.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(5.0), c)))
 
 
 def dedupe_products(products: DataFrame) -> DataFrame:
