@@ -62,10 +62,15 @@ def item_jaccard(inter: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
 
 
 def directed_edges(undirected: DataFrame) -> DataFrame:
-    """Both directions of a symmetric edge table (the score is symmetric)."""
+    """Both directions of a symmetric edge table (the score is symmetric).
+
+    One ``explode`` per row instead of a union, so the pair table is
+    aggregated once."""
     cols = [c for c in undirected.columns if c not in ("product1", "product2")]
-    back = undirected.select(F.col("product2").alias("product1"), F.col("product1").alias("product2"), *cols)
-    return undirected.unionByName(back)
+    both = F.array(F.struct(F.col("product1").alias("a"), F.col("product2").alias("b")),
+                   F.struct(F.col("product2").alias("a"), F.col("product1").alias("b")))
+    return (undirected.select(F.explode(both).alias("_e"), *cols)
+            .select(F.col("_e.a").alias("product1"), F.col("_e.b").alias("product2"), *cols))
 
 
 @dataclass(frozen=True)
@@ -106,16 +111,19 @@ def also_bought(edges: DataFrame, products: DataFrame, n: int = DEFAULT_N,
     """Top ``n`` products by similarity for every product (or one).
 
     Catalogue membership is applied before the limit (uncatalogued items
-    do not shrink the list); ties go by product id. The per-product limit
-    is a WindowGroupLimit, trimmed map-side before the shuffle.
+    do not shrink the list) as a semi join on ids only; the per-product
+    limit is a WindowGroupLimit, trimmed map-side before the shuffle; the
+    display columns are joined to the ``n`` survivors per product.
     """
     if product_id is not None:
         edges = edges.where(F.col("product1") == F.lit(product_id))
+    ids = products.select(F.col("product_id").alias("product2"))
+    kept = edges.select("product1", "product2", "similarity_score").join(ids, "product2", "left_semi")
+    ranked = top_n_per_group(kept, ["product1"], n,
+                             order_by(("similarity_score", "desc"), ("product2", "asc")))
     cat = products.select(*PRODUCT_COLUMNS)
-    joined = edges.join(cat, edges.product2 == cat.product_id).drop("product2")
-    ranked = top_n_per_group(joined, ["product1"], n,
-                             order_by(("similarity_score", "desc"), ("product_id", "asc")))
-    return ranked.select("product1", *PRODUCT_COLUMNS, "similarity_score", "rank")
+    joined = ranked.join(cat, ranked.product2 == cat.product_id)
+    return joined.select("product1", *PRODUCT_COLUMNS, "similarity_score", "rank")
 
 
 def popular_by_interactions(inter: DataFrame, products: DataFrame, n: int = DEFAULT_N) -> DataFrame:
@@ -166,9 +174,11 @@ def neighbours(inter: DataFrame, max_neighbours: int = MAX_NEIGHBOURS,
                chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """Per customer, the ``max_neighbours`` other customers with the most
     products in common (ties by customer id)."""
-    ov = user_overlap(inter, chunk).select("customer1", "customer2", "common_products")
-    both = ov.unionByName(ov.select(F.col("customer2").alias("customer1"),
-                                    F.col("customer1").alias("customer2"), "common_products"))
+    ov = user_overlap(inter, chunk)
+    pair = F.array(F.struct(F.col("customer1").alias("a"), F.col("customer2").alias("b")),
+                   F.struct(F.col("customer2").alias("a"), F.col("customer1").alias("b")))
+    both = (ov.select(F.explode(pair).alias("_e"), "common_products")
+            .select(F.col("_e.a").alias("customer1"), F.col("_e.b").alias("customer2"), "common_products"))
     ranked = top_n_per_group(both, ["customer1"], max_neighbours,
                              order_by(("common_products", "desc"), ("customer2", "asc")), rank_col="_nr")
     return ranked.select(F.col("customer1").alias("customer_id"),
@@ -188,15 +198,26 @@ def user_cf(inter: DataFrame, products: DataFrame, n: int = DEFAULT_N,
     """
     nb = neighbours(inter, max_neighbours, chunk)
     owned = (exclude if exclude is not None else inter).select("customer_id", "product_id")
-    cand = (nb.join(inter.select(F.col("customer_id").alias("neighbour_id"), "product_id"), "neighbour_id")
+    # catalogue membership on the (small) item side, before the fan-out
+    items = (inter.select(F.col("customer_id").alias("neighbour_id"), "product_id")
+             .join(products.select("product_id"), "product_id", "left_semi"))
+    # Owned items ride in the same (customer, product) aggregation as a
+    # flag, instead of a separate anti join over the candidate table.
+    fanned = (nb.join(items, "neighbour_id")
+              .select("customer_id", "product_id", "common_products", F.lit(0).alias("_owned")))
+    mine = owned.select("customer_id", "product_id", F.lit(None).cast("bigint").alias("common_products"),
+                        F.lit(1).alias("_owned"))
+    cand = (fanned.unionByName(mine)
             .groupBy("customer_id", "product_id")
-            .agg(F.count(F.lit(1)).alias("recommendation_score"),
-                 F.avg("common_products").alias("user_similarity"))
-            .join(owned, ["customer_id", "product_id"], "left_anti"))
-    joined = cand.join(products.select(*PRODUCT_COLUMNS), "product_id")
-    ranked = top_n_per_group(joined, ["customer_id"], n,
+            .agg(F.count("common_products").alias("recommendation_score"),
+                 F.avg("common_products").alias("user_similarity"),
+                 F.max("_owned").alias("_owned"))
+            .where((F.col("_owned") == 0) & (F.col("recommendation_score") > 0))
+            .drop("_owned"))
+    ranked = top_n_per_group(cand, ["customer_id"], n,
                              order_by(("recommendation_score", "desc"), ("product_id", "asc")))
-    return ranked.select("customer_id", *PRODUCT_COLUMNS, "recommendation_score", "user_similarity", "rank")
+    joined = ranked.join(products.select(*PRODUCT_COLUMNS), "product_id")
+    return joined.select("customer_id", *PRODUCT_COLUMNS, "recommendation_score", "user_similarity", "rank")
 
 
 def recommend_for_users(inter: DataFrame, products: DataFrame, users: DataFrame,
@@ -214,3 +235,22 @@ def recommend_for_users(inter: DataFrame, products: DataFrame, users: DataFrame,
                         F.lit(None).cast("double").alias("user_similarity"),
                         F.col("_p").getField("rank").alias("rank")))
     return cf.unionByName(fallback)
+
+
+def get_collaborative_recommendations(model: SimilarityModel, products: DataFrame, user_id=None,
+                                      product_id=None, n: int = DEFAULT_N) -> DataFrame:
+    """A user gets C7 (C8 when without history), a product gets C6,
+    otherwise C8."""
+    spark = products.sparkSession
+    if user_id is not None:
+        users = spark.createDataFrame(
+            [(user_id,)], "customer_id " + model.interactions.schema["customer_id"].dataType.simpleString())
+        return recommend_for_users(model.interactions, products, users, n).drop("customer_id")
+    if product_id is not None:
+        return also_bought(model.edges, products, n, product_id).drop("product1")
+    return popular_by_interactions(model.interactions, products, n)
+
+
+def get_also_bought(model: SimilarityModel, products: DataFrame, product_id, n: int = DEFAULT_N) -> DataFrame:
+    """C6 for one product (alias kept for the "similar products" name)."""
+    return also_bought(model.edges, products, n, product_id).drop("product1")

@@ -27,8 +27,12 @@ def _with(ctes: str, body: str) -> str:
     return f"WITH {ctes}\n{body}"
 
 
+def _parallelism(spark) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
 def _parsed(spark, d):
-    return json_catalog.parse_catalog_lines(json_lines_from_part(spark, d))
+    return json_catalog.parse_catalog_lines(json_lines_from_part(spark, d), min_partitions=_parallelism(spark))
 
 
 @plan("json_ingest", _with(JSON_STATUS, """

@@ -562,3 +562,18 @@ def q_display_join(spark, d):
     inter = collab.interactions(c.reviews)
     recs = inter.groupBy("product_id").agg(F.count(F.lit(1)).alias("interaction_count"))
     return profile.display_join(recs, c.products, ["interaction_count"])
+
+
+# --------------------------------------------------- matrix factorisation
+@plan("als_recs", None)
+def q_als_recs(spark, d):
+    from ..operators.als import als_recommendations
+    return als_recommendations(collab.interactions(catalog(spark, d).reviews), k=10)
+
+
+@plan("als_rating_error", None)
+def q_als_rating_error(spark, d):
+    from ..operators.als import als_rating_error
+    reviews = catalog(spark, d).reviews
+    train, test = evaluate.train_test_split(reviews, ["customer_id", "product_id"], 0.2, 42, "arith")
+    return als_rating_error(train, test)

@@ -64,7 +64,7 @@ def _syntax_ok(text) -> "F.Column":
     return probe.getField(CORRUPT_COLUMN).isNull()
 
 
-def parse_catalog_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
+def parse_catalog_lines(lines: DataFrame, value_col: str = "value", min_partitions: int | None = None) -> DataFrame:
     """S3: tolerant parse of one JSON record per line.
 
     Returns the raw record fields plus ``line`` (original text) and
@@ -73,6 +73,9 @@ def parse_catalog_lines(lines: DataFrame, value_col: str = "value") -> DataFrame
     lines the typed parse flags get a syntax probe. Broken lines get one
     structural repair (trailing commas) and are quarantined if still bad.
     """
+    if min_partitions and lines.rdd.getNumPartitions() < min_partitions:
+        # parsing is CPU-bound; spread a few large inputs (e.g. one .gz)
+        lines = lines.repartition(min_partitions)
     line = F.col("line")
     staged = lines.select(F.col(value_col).alias("line")).withColumn(
         "_a", F.from_json(line, RAW_JSON_PRODUCT_WITH_CORRUPT, TOLERANT_OPTIONS))
@@ -93,9 +96,11 @@ def parse_catalog_lines(lines: DataFrame, value_col: str = "value") -> DataFrame
               .when(F.col("_sb"), F.lit(STATUS_MISSING_ASIN))
               .otherwise(F.lit(STATUS_MALFORMED)))
     rec = F.when(F.col("_sa"), F.col("_a")).when(F.col("_sb"), F.col("_b"))
-    out = staged.select("line", status.alias("status"), rec.alias("_r"))
-    fields = [F.col(f"_r.{f.name}").alias(f.name) for f in RAW_JSON_PRODUCT.fields]
-    return out.select("line", "status", *fields)
+    fields = [rec.getField(f.name).alias(f.name) for f in RAW_JSON_PRODUCT.fields]
+    # A one-row ``inline`` per line is a plan barrier: without it Catalyst
+    # substitutes the parse expressions into every later filter on
+    # ``status``/``asin``, re-parsing each line once per reference.
+    return staged.select(F.inline(F.array(F.struct(F.col("line"), status.alias("status"), *fields))))
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
@@ -124,7 +129,4 @@ def require_valid(parsed: DataFrame) -> int:
 
 def read_catalog_lines(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
     """S3 from files: ``spark.read.text`` (splittable for plain text)."""
-    lines = spark.read.text(path)
-    if min_partitions and lines.rdd.getNumPartitions() < min_partitions:
-        lines = lines.repartition(min_partitions)
-    return parse_catalog_lines(lines)
+    return parse_catalog_lines(spark.read.text(path), min_partitions=min_partitions)
