@@ -184,13 +184,23 @@ def parser_products(raw: DataFrame) -> DataFrame:
     asin must be a non-empty string; title to string cut to 500; category
     default ``General`` cut to 100; rank from the map (missing -> 9999999);
     similar ids merged from the three related lists; product rating is the
-    given rating clamped to 0..5, else (missing or 0) the mean of the valid
-    review ratings, else 0.0.
+    given rating clamped to 0..5, else (missing or 0) the mean of the
+    record's valid review ratings, else 0.0. Review statistics are computed
+    per record with array functions (no join, no shuffle), so duplicate
+    asins keep their own reviews.
     """
-    valid = reviews_from_raw(raw.select("asin", "reviews")).groupBy("product_id").agg(
-        F.count(F.lit(1)).alias("_n"), F.avg("rating").alias("_avg"))
-    given = clamp_rating(F.col("rating").try_cast("double"))
-    base = raw.where(F.coalesce(F.col("asin"), F.lit("")) != "").select(
+    def rating_of(r):
+        return safe_int(r.getField("overall"), 0)
+
+    valid = F.filter(F.coalesce(F.col("reviews"), F.array()),
+                     lambda r: (F.coalesce(r.getField("reviewerID"), F.lit("")) != "")
+                     & rating_of(r).between(1, 5))
+    n = F.size(valid)
+    total = F.aggregate(F.transform(valid, lambda r: rating_of(r).cast("double")), F.lit(0.0),
+                        lambda acc, x: acc + x)
+    given = F.coalesce(clamp_rating(F.col("rating").try_cast("double")), F.lit(0.0))
+    mean = F.when(n > 0, total / n).otherwise(F.lit(0.0))
+    return raw.where(F.coalesce(F.col("asin"), F.lit("")) != "").select(
         F.col("asin").alias("product_id"),
         F.col("asin"),
         F.substring(F.coalesce(F.col("title"), F.lit("")), 1, TITLE_MAX).alias("title"),
@@ -198,13 +208,9 @@ def parser_products(raw: DataFrame) -> DataFrame:
         sales_rank(F.col("salesRank")).alias("salesrank"),
         related_merge(F.col("related")).alias("similar"),
         category_count(F.col("categories")).alias("categories_count"),
-        F.coalesce(given, F.lit(0.0)).alias("_given"))
-    return (base.join(valid, "product_id", "left")
-            .select("product_id", "asin", "title", "group", "salesrank", "similar", "categories_count",
-                    F.coalesce(F.col("_n"), F.lit(0)).alias("reviews_total"),
-                    F.coalesce(F.col("_n"), F.lit(0)).alias("reviews_downloaded"),
-                    F.when(F.col("_given") != 0.0, F.col("_given"))
-                     .otherwise(F.coalesce(F.col("_avg"), F.lit(0.0))).alias("avg_rating")))
+        n.cast("bigint").alias("reviews_total"),
+        n.cast("bigint").alias("reviews_downloaded"),
+        F.when(given != 0.0, given).otherwise(mean).alias("avg_rating"))
 
 
 def text_to_canonical(parsed: DataFrame) -> DataFrame:
