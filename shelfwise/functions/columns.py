@@ -62,11 +62,12 @@ def top_n(df: DataFrame, n: int | None, order: Sequence[Column], rank_col: str |
     ``n`` rows after the limit.
     """
     if n is None:
-        out = df.orderBy(*order)
         if rank_col:
-            # whole result ranked: rank inside the sorted output keeps it distributed
-            out = out.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)))
-        return out
+            # whole result ranked without a single-partition window
+            from .sequence import running_count
+            ranked = running_count(df, [], order, out=rank_col)
+            return ranked.withColumn(rank_col, F.col(rank_col) + 1).orderBy(*order)
+        return df.orderBy(*order)
     out = df.orderBy(*order).limit(n)
     if rank_col:
         out = out.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)))

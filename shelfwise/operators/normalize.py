@@ -95,14 +95,21 @@ def clamp_rating(c: Column) -> Column:
 
 def dedupe_products(products: DataFrame) -> DataFrame:
     """One row per product_id -- best sales rank, then title, then
-    the remaining columns as tie-breaks (deterministic)."""
-    order = [F.col("sales_rank").asc_nulls_last(), F.col("title").asc_nulls_last()]
-    rest = [F.col(c).asc_nulls_last() for c in products.columns
-            if c not in ("product_id", "sales_rank", "title")
-            and products.schema[c].dataType.typeName() not in ("array", "map", "struct")]
-    w = Window.partitionBy("product_id").orderBy(*order, *rest)
-    return (products.withColumn("_rn", F.row_number().over(w))
-            .where(F.col("_rn") == 1).drop("_rn"))
+    the remaining columns as tie-breaks (deterministic).
+
+    A ``min`` over a (keys, row) struct per id: partial aggregation keeps
+    one row per id in every map task, so an id repeated across a third of
+    the input never reaches one task whole. NULL keys sort last.
+    """
+    rest = [c for c in products.columns if c not in ("product_id", "sales_rank", "title")]
+    orderable = [c for c in rest if products.schema[c].dataType.typeName() != "map"]
+    keys = [F.col("sales_rank").isNull(), F.col("sales_rank"), F.col("title").isNull(), F.col("title")]
+    for c in orderable:
+        keys += [F.col(c).isNull(), F.col(c)]
+    packed = F.struct(*[k.alias(f"_k{i}") for i, k in enumerate(keys)],
+                      F.struct(*[F.col(c) for c in products.columns]).alias("_row"))
+    best = products.groupBy("product_id").agg(F.min(packed).alias("_best"))
+    return best.select(*[F.col("_best._row").getField(c).alias(c) for c in products.columns])
 
 
 def products_from_raw(raw: DataFrame, category_default: str = LOADER_CATEGORY,
