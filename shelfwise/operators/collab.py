@@ -133,11 +133,16 @@ def popular_by_interactions(inter: DataFrame, products: DataFrame, n: int = DEFA
     return top_n(joined, n, order_by(("interaction_count", "desc"), ("product_id", "asc")), rank_col="rank")
 
 
-def user_overlap(inter: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
+def user_overlap(inter: DataFrame, chunk: int = DEFAULT_CHUNK, with_degrees: bool = True) -> DataFrame:
     """Unordered customer pairs (customer1 < customer2) with the number of
-    products both bought, and both customers' item counts."""
+    products both bought (and both customers' item counts when
+    ``with_degrees``)."""
+    base = inter.select("customer_id", "product_id")
+    if not with_degrees:
+        pairs = co_members(base, "product_id", "customer_id", chunk=chunk, count_col="common_products")
+        return pairs.select(F.col("m1").alias("customer1"), F.col("m2").alias("customer2"), "common_products")
     degree = inter.groupBy("customer_id").agg(F.count(F.lit(1)).alias("items"))
-    tagged = inter.select("customer_id", "product_id").join(degree, "customer_id")
+    tagged = base.join(degree, "customer_id")
     pairs = co_members(tagged, "product_id", "customer_id", carry=["items"],
                        chunk=chunk, count_col="common_products")
     return pairs.select(F.col("m1").alias("customer1"), F.col("m2").alias("customer2"),
@@ -174,7 +179,7 @@ def neighbours(inter: DataFrame, max_neighbours: int = MAX_NEIGHBOURS,
                chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """Per customer, the ``max_neighbours`` other customers with the most
     products in common (ties by customer id)."""
-    ov = user_overlap(inter, chunk)
+    ov = user_overlap(inter, chunk, with_degrees=False)
     pair = F.array(F.struct(F.col("customer1").alias("a"), F.col("customer2").alias("b")),
                    F.struct(F.col("customer2").alias("a"), F.col("customer1").alias("b")))
     both = (ov.select(F.explode(pair).alias("_e"), "common_products")
@@ -187,7 +192,7 @@ def neighbours(inter: DataFrame, max_neighbours: int = MAX_NEIGHBOURS,
 
 def user_cf(inter: DataFrame, products: DataFrame, n: int = DEFAULT_N,
             max_neighbours: int = MAX_NEIGHBOURS, exclude: DataFrame | None = None,
-            chunk: int = DEFAULT_CHUNK) -> DataFrame:
+            chunk: int = DEFAULT_CHUNK, persist: bool = True) -> DataFrame:
     """C7 for every customer with history.
 
     Score of an item = number of the customer's neighbours who bought it;
@@ -196,6 +201,9 @@ def user_cf(inter: DataFrame, products: DataFrame, n: int = DEFAULT_N,
     removed by an anti join; only catalogued items count; top ``n`` by
     score, ties by product id.
     """
+    if persist:
+        # read many times below: write once to the shared checkpoint folder
+        inter = materialize(inter.select("customer_id", "product_id"))
     nb = neighbours(inter, max_neighbours, chunk)
     owned = (exclude if exclude is not None else inter).select("customer_id", "product_id")
     # catalogue membership on the (small) item side, before the fan-out

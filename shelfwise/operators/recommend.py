@@ -81,6 +81,9 @@ def content_based(products: DataFrame, reviews: DataFrame, n: int = DEFAULT_N,
         extra = F.lit(0)
     probes = prof.select("customer_id", "category",
                          F.explode(F.sequence(F.lit(0), F.lit(n - 1) + extra)).alias("_pos"))
+    if not exclude_seen:
+        # only the first n positions are ever probed: n rows per category
+        ranked = ranked.where(F.col("_pos") < n)
     cand = probes.join(ranked, ["category", "_pos"])
     if exclude_seen:
         cand = cand.join(reviews.select("customer_id", "product_id").distinct(),
@@ -151,7 +154,7 @@ def similar_products(products: DataFrame, n: int = DEFAULT_N, targets: DataFrame
     ranked = running_count(products.where(F.col("average_rating") >= SIMILAR_MIN_RATING).select(*REC_COLUMNS),
                            ["category"], order_by(*BY_RATING_THEN_RANK), out="_pos")
     probes = need.select("target_id", "category", F.explode(F.sequence(F.lit(0), F.lit(n))).alias("_pos"))
-    t2 = (probes.join(ranked, ["category", "_pos"])
+    t2 = (probes.join(ranked.where(F.col("_pos") <= n), ["category", "_pos"])
           .where(F.col("product_id") != F.col("target_id")))
     t2 = top_n_per_group(t2, ["target_id"], n, [F.col("_pos").asc()])
     out = (t1.select("target_id", *REC_COLUMNS, F.lit(1).alias("tier"), "rank")
