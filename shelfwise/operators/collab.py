@@ -215,7 +215,12 @@ def user_cf(inter: DataFrame, products: DataFrame, n: int = DEFAULT_N,
               .select("customer_id", "product_id", "common_products", F.lit(0).alias("_owned")))
     mine = owned.select("customer_id", "product_id", F.lit(None).cast("bigint").alias("common_products"),
                         F.lit(1).alias("_owned"))
+    # A customer's neighbours sit in different join tasks, so map-side
+    # partial aggregation cannot merge its candidates; shuffling raw rows by
+    # the aggregation key and aggregating once afterwards is cheaper. A key
+    # repeats at most ``max_neighbours`` + 1 times, so this cannot skew.
     cand = (fanned.unionByName(mine)
+            .repartition("customer_id", "product_id")
             .groupBy("customer_id", "product_id")
             .agg(F.count("common_products").alias("recommendation_score"),
                  F.avg("common_products").alias("user_similarity"),
