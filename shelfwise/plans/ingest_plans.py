@@ -99,7 +99,7 @@ FROM part"""
 
 @plan("text_ingest", TEXT_SQL)
 def q_text_ingest(spark, d):
-    return text_catalog.parse_block_records(block_records_from_part(spark, d)).drop("reviews")
+    return text_catalog.parse_block_records(block_records_from_part(spark, d), min_partitions=_parallelism(spark)).drop("reviews")
 
 
 @plan("text_reviews", """
@@ -108,10 +108,10 @@ SELECT 'B' || pk AS product_id, 'C' || ((pk * 3 + i) % 40) AS customer_id, CAST(
        CAST(i AS BIGINT) AS helpful_votes, CAST(i + 2 AS BIGINT) AS total_votes
 FROM (SELECT p_partkey AS pk, unnest(range(p_partkey % 3)) AS i FROM part WHERE p_partkey % 13 <> 0)""")
 def q_text_reviews(spark, d):
-    return text_catalog.block_reviews(text_catalog.parse_block_records(block_records_from_part(spark, d)))
+    return text_catalog.block_reviews(text_catalog.parse_block_records(block_records_from_part(spark, d), min_partitions=_parallelism(spark)))
 
 
 @plan("text_canonical", None)
 def q_text_canonical(spark, d):
-    parsed = text_catalog.parse_block_records(block_records_from_part(spark, d))
+    parsed = text_catalog.parse_block_records(block_records_from_part(spark, d), min_partitions=_parallelism(spark))
     return normalize.text_to_canonical(parsed).where(F.col("product_id").isNotNull())

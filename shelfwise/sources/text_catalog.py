@@ -42,24 +42,29 @@ def read_block_text(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("lineSep", RECORD_SEP).text(path)
 
 
-def parse_block_records(records: DataFrame, value_col: str = "value") -> DataFrame:
+def parse_block_records(records: DataFrame, value_col: str = "value",
+                        min_partitions: int | None = None) -> DataFrame:
     """Parse record rows into the block-text product fields plus a
     ``reviews`` array. Text after a blank line belongs to no record; a
-    header without ``Id`` is dropped."""
+    header without ``Id`` is dropped. ``min_partitions`` spreads a few
+    large unsplittable inputs before the CPU-bound extraction."""
+    if min_partitions and records.rdd.getNumPartitions() < min_partitions:
+        records = records.repartition(min_partitions)
     body = F.get(F.split(F.col(value_col), BLANK_LINE), 0)
     rec = records.select(body.alias("_t"))
     t = F.col("_t")
     sim_count = _last(t, P_SIMILAR, 1).try_cast("int")
     sim_list = F.split(F.trim(_last(t, P_SIMILAR, 2)), r"[ \t]+")
     rv_total = _last(t, P_REVIEWS, 1).try_cast("bigint")
-    reviews = F.when(rv_total > 0, F.zip_with(
-        F.arrays_zip(F.regexp_extract_all(t, F.lit(P_REVIEW), 1), F.regexp_extract_all(t, F.lit(P_REVIEW), 2),
-                     F.regexp_extract_all(t, F.lit(P_REVIEW), 3)),
-        F.arrays_zip(F.regexp_extract_all(t, F.lit(P_REVIEW), 4), F.regexp_extract_all(t, F.lit(P_REVIEW), 5)),
-        lambda a, b: F.struct(a.getField("0").alias("date"), a.getField("1").alias("customer_id"),
-                              a.getField("2").cast("bigint").alias("rating"),
-                              b.getField("0").cast("bigint").alias("votes"),
-                              b.getField("1").cast("bigint").alias("helpful"))))
+    # one scan of the record for whole review lines, then each short line
+    # is split into its five fields
+    review_lines = F.regexp_extract_all(t, F.lit(P_REVIEW), 0)
+    reviews = F.when(rv_total > 0, F.transform(review_lines, lambda ln: F.struct(
+        F.regexp_extract(ln, P_REVIEW, 1).alias("date"),
+        F.regexp_extract(ln, P_REVIEW, 2).alias("customer_id"),
+        F.regexp_extract(ln, P_REVIEW, 3).cast("bigint").alias("rating"),
+        F.regexp_extract(ln, P_REVIEW, 4).cast("bigint").alias("votes"),
+        F.regexp_extract(ln, P_REVIEW, 5).cast("bigint").alias("helpful"))))
     parsed = rec.select(
         F.regexp_extract(t, P_ID, 1).alias("_id"),
         _last(t, P_ASIN).alias("asin"),
