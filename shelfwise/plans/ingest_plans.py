@@ -111,7 +111,18 @@ def q_text_reviews(spark, d):
     return text_catalog.block_reviews(text_catalog.parse_block_records(block_records_from_part(spark, d), min_partitions=_parallelism(spark)))
 
 
-@plan("text_canonical", None)
+@plan("text_canonical", """
+SELECT 'B' || p_partkey AS product_id, 'B' || p_partkey AS asin,
+       CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE p_name END AS title,
+       CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE p_type END AS category,
+       CASE WHEN p_partkey % 13 = 0 OR p_partkey % 9 = 0 THEN NULL ELSE CAST(p_size * 1000 AS BIGINT) END AS sales_rank,
+       CASE WHEN p_partkey % 13 = 0 OR p_partkey % 4 = 0 THEN ''
+            ELSE array_to_string(list_transform(range(1, p_partkey % 4 + 1), lambda i: 'S' || (p_partkey + i)), ',')
+       END AS similar_products,
+       CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE CAST(p_partkey % 3 AS BIGINT) END AS category_count,
+       CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE CAST(p_partkey % 3 AS BIGINT) END AS review_count,
+       CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE round(p_size / 10, 6) END AS average_rating
+FROM part""")
 def q_text_canonical(spark, d):
     parsed = text_catalog.parse_block_records(block_records_from_part(spark, d), min_partitions=_parallelism(spark))
     return normalize.text_to_canonical(parsed).where(F.col("product_id").isNotNull())
