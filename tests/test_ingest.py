@@ -152,3 +152,22 @@ def test_streaming_ingest(spark):
     q = start_catalog_ingest(spark, src, out, ckpt)
     q.awaitTermination(120)
     assert spark.read.parquet(f"{out}/products").count() == 5
+
+
+def test_json_scanner_multiline_failfast_and_gzip(spark):
+    import gzip
+    import pytest as _pytest
+    multi = _write('[{"asin": "M1",\n "title": "one"},\n {"asin": "M2", "title": "two"}]', "m.json")
+    got = json_catalog.read_catalog_json(spark, multi, multiline=True)
+    assert sorted(r.asin for r in got.select("asin").collect()) == ["M1", "M2"]
+    bad = _write(JSON_LINES[0] + "\n" + JSON_LINES[4] + "\n", "bad.json")
+    with _pytest.raises(Exception):
+        json_catalog.read_catalog_json(spark, bad, mode="FAILFAST").select("asin").collect()
+    quoted = _write(JSON_LINES[1] + "\n", "q.json")
+    assert json_catalog.read_catalog_json(spark, quoted, allow_single_quotes=True).select("asin").first().asin == "A2"
+    d = tempfile.mkdtemp(prefix="shelfwise-gz-")
+    with gzip.open(os.path.join(d, "c.json.gz"), "wt") as fh:
+        fh.write("\n".join(JSON_LINES[:4]) + "\n")
+    gz = json_catalog.read_catalog_lines(spark, d, min_partitions=4)
+    assert gz.rdd.getNumPartitions() >= 4
+    assert json_catalog.accepted(gz).count() == 4
