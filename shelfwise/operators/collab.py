@@ -32,7 +32,7 @@ def item_frequency(inter: DataFrame) -> DataFrame:
     return inter.groupBy("product_id").agg(F.count(F.lit(1)).alias("product_frequency"))
 
 
-def item_cooccurrence(inter: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
+def item_cooccurrence(inter: DataFrame, chunk: int = DEFAULT_CHUNK, persist: bool = True) -> DataFrame:
     """Unordered product pairs (product1 < product2) bought by the same
     customers, with the pair count and both products' frequencies.
 
@@ -42,7 +42,7 @@ def item_cooccurrence(inter: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame
     freq = item_frequency(inter)
     tagged = inter.select("customer_id", "product_id").join(freq, "product_id")
     pairs = co_members(tagged, "customer_id", "product_id", carry=["product_frequency"],
-                       chunk=chunk, count_col="co_occurrence_count")
+                       chunk=chunk, count_col="co_occurrence_count", persist=persist)
     return pairs.select(F.col("m1").alias("product1"), F.col("m2").alias("product2"),
                         "co_occurrence_count",
                         F.col("product_frequency1").alias("frequency1"),
@@ -54,9 +54,9 @@ def jaccard(co: str, f1: str, f2: str):
     return F.col(co) / (F.col(f1) + F.col(f2) - F.col(co))
 
 
-def item_jaccard(inter: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
+def item_jaccard(inter: DataFrame, chunk: int = DEFAULT_CHUNK, persist: bool = True) -> DataFrame:
     """C4 (undirected): product1 < product2 with co-occurrence and score."""
-    co = item_cooccurrence(inter, chunk)
+    co = item_cooccurrence(inter, chunk, persist)
     return co.select("product1", "product2", "co_occurrence_count",
                      jaccard("co_occurrence_count", "frequency1", "frequency2").alias("similarity_score"))
 
@@ -76,34 +76,40 @@ def directed_edges(undirected: DataFrame) -> DataFrame:
 @dataclass(frozen=True)
 class SimilarityModel:
     """Fitted item-item model. Exists only once fitted, so querying an
-    untrained model is impossible by construction."""
+    untrained model is impossible by construction. The symmetric scores
+    are stored once per unordered pair; ``edges`` is the directed view."""
 
     interactions: DataFrame
-    edges: DataFrame  # product1, product2, co_occurrence_count, similarity_score (directed)
+    pairs: DataFrame  # product1 < product2, co_occurrence_count, similarity_score
+
+    @property
+    def edges(self) -> DataFrame:
+        return directed_edges(self.pairs)
 
     def save(self, path: str) -> None:
         self.interactions.write.mode("overwrite").parquet(f"{path}/interactions")
-        self.edges.write.mode("overwrite").parquet(f"{path}/edges")
+        self.pairs.write.mode("overwrite").parquet(f"{path}/pairs")
 
     @staticmethod
     def load(spark, path: str) -> "SimilarityModel":
         return SimilarityModel(spark.read.parquet(f"{path}/interactions"),
-                               spark.read.parquet(f"{path}/edges"))
+                               spark.read.parquet(f"{path}/pairs"))
 
 
 def fit_similarity(reviews: DataFrame, persist: bool = True, chunk: int = DEFAULT_CHUNK) -> SimilarityModel:
-    """Interactions -> co-occurrence -> Jaccard edges.
+    """Interactions -> co-occurrence -> Jaccard scores.
 
-    With ``persist`` both tables are checkpointed to the shared folder, so
-    later queries reuse them and survive executor loss.
+    With ``persist`` the interactions and the pair scores are checkpointed
+    to the shared folder, so later queries reuse them and survive executor
+    loss.
     """
     inter = interactions(reviews)
     if persist:
         inter = materialize(inter)
-    edges = directed_edges(item_jaccard(inter, chunk))
+    pairs = item_jaccard(inter, chunk, persist)
     if persist:
-        edges = materialize(edges)
-    return SimilarityModel(inter, edges)
+        pairs = materialize(pairs)
+    return SimilarityModel(inter, pairs)
 
 
 def also_bought(edges: DataFrame, products: DataFrame, n: int = DEFAULT_N,
@@ -133,18 +139,20 @@ def popular_by_interactions(inter: DataFrame, products: DataFrame, n: int = DEFA
     return top_n(joined, n, order_by(("interaction_count", "desc"), ("product_id", "asc")), rank_col="rank")
 
 
-def user_overlap(inter: DataFrame, chunk: int = DEFAULT_CHUNK, with_degrees: bool = True) -> DataFrame:
+def user_overlap(inter: DataFrame, chunk: int = DEFAULT_CHUNK, with_degrees: bool = True,
+                 persist: bool = True) -> DataFrame:
     """Unordered customer pairs (customer1 < customer2) with the number of
     products both bought (and both customers' item counts when
     ``with_degrees``)."""
     base = inter.select("customer_id", "product_id")
     if not with_degrees:
-        pairs = co_members(base, "product_id", "customer_id", chunk=chunk, count_col="common_products")
+        pairs = co_members(base, "product_id", "customer_id", chunk=chunk, count_col="common_products",
+                           persist=persist)
         return pairs.select(F.col("m1").alias("customer1"), F.col("m2").alias("customer2"), "common_products")
     degree = inter.groupBy("customer_id").agg(F.count(F.lit(1)).alias("items"))
     tagged = base.join(degree, "customer_id")
     pairs = co_members(tagged, "product_id", "customer_id", carry=["items"],
-                       chunk=chunk, count_col="common_products")
+                       chunk=chunk, count_col="common_products", persist=persist)
     return pairs.select(F.col("m1").alias("customer1"), F.col("m2").alias("customer2"),
                         "common_products", "items1", "items2")
 
@@ -176,10 +184,10 @@ def user_jaccard_pairs(inter: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def neighbours(inter: DataFrame, max_neighbours: int = MAX_NEIGHBOURS,
-               chunk: int = DEFAULT_CHUNK) -> DataFrame:
+               chunk: int = DEFAULT_CHUNK, persist: bool = True) -> DataFrame:
     """Per customer, the ``max_neighbours`` other customers with the most
     products in common (ties by customer id)."""
-    ov = user_overlap(inter, chunk, with_degrees=False)
+    ov = user_overlap(inter, chunk, with_degrees=False, persist=persist)
     pair = F.array(F.struct(F.col("customer1").alias("a"), F.col("customer2").alias("b")),
                    F.struct(F.col("customer2").alias("a"), F.col("customer1").alias("b")))
     both = (ov.select(F.explode(pair).alias("_e"), "common_products")
@@ -204,7 +212,8 @@ def user_cf(inter: DataFrame, products: DataFrame, n: int = DEFAULT_N,
     if persist:
         # read many times below: write once to the shared checkpoint folder
         inter = materialize(inter.select("customer_id", "product_id"))
-    nb = neighbours(inter, max_neighbours, chunk)
+    # ``inter`` is already checkpointed when ``persist``: no second copy
+    nb = neighbours(inter, max_neighbours, chunk, persist=False)
     owned = (exclude if exclude is not None else inter).select("customer_id", "product_id")
     # catalogue membership on the (small) item side, before the fan-out
     items = (inter.select(F.col("customer_id").alias("neighbour_id"), "product_id")

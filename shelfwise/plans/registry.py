@@ -386,8 +386,10 @@ QUALIFY rank <= 10""", PAIRS_CTE)
 @plan("also_bought_topk", ALSO_SQL)
 def q_also_bought_topk(spark, d):
     c = catalog(spark, d)
-    model = collab.fit_similarity(c.reviews, persist=False)
-    return collab.also_bought(model.edges, c.products, 10)
+    # one-shot form: the pair input is checkpointed once inside the pair
+    # join; a reusable model (fit_similarity) would also store the scores
+    edges = collab.directed_edges(collab.item_jaccard(collab.interactions(c.reviews)))
+    return collab.also_bought(edges, c.products, 10)
 
 
 @plan("popular_by_interactions", sql("""
