@@ -48,6 +48,10 @@ def running_count(df: DataFrame, groups: Sequence[str], order: Sequence[Column],
                 .rowsBetween(Window.unboundedPreceding, -1))
     offsets = slices.select("_pid", *groups,
                             F.coalesce(F.sum("_slice").over(prefix_w), F.lit(0)).alias("_offset"))
-    return (with_local.join(offsets, ["_pid", *groups])
+    # null-safe on the group keys: a NULL group is still a group
+    o = offsets.select(F.col("_pid").alias("_opid"), *[F.col(g).alias(f"_og{i}") for i, g in enumerate(groups)],
+                       "_offset")
+    cond = [with_local["_pid"] == o["_opid"]] + [with_local[g].eqNullSafe(o[f"_og{i}"]) for i, g in enumerate(groups)]
+    return (with_local.join(o, cond)
             .withColumn(out, F.col("_local") + F.col("_offset"))
-            .drop("_w", "_pid", "_local", "_offset"))
+            .drop("_w", "_pid", "_local", "_offset", "_opid", *[f"_og{i}" for i in range(len(groups))]))

@@ -26,3 +26,10 @@ def test_running_count_without_groups(spark):
     df = spark.range(500).withColumn("k", (F.col("id") * 7919) % 500)
     got = running_count(df, [], [F.col("k").asc()], out="pos", num_partitions=6)
     assert all(r.pos == r.k for r in got.collect())
+
+
+def test_running_count_keeps_null_group(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "g string, k int")
+    got = sorted((r.g, r.k, r.pos) for r in running_count(df, ["g"], [F.col("k").asc()], out="pos").collect()
+                 if r.g is None)
+    assert got == [(None, 1, 0), (None, 2, 1)]
