@@ -86,6 +86,13 @@ class SimilarityModel:
     def edges(self) -> DataFrame:
         return directed_edges(self.pairs)
 
+    def edges_of(self, product_id) -> DataFrame:
+        """Directed edges leaving one product; the filter reaches the stored
+        pair table (both orientations) before the directed view."""
+        pid = F.lit(product_id)
+        near = self.pairs.where((F.col("product1") == pid) | (F.col("product2") == pid))
+        return directed_edges(near).where(F.col("product1") == pid)
+
     def save(self, path: str) -> None:
         self.interactions.write.mode("overwrite").parquet(f"{path}/interactions")
         self.pairs.write.mode("overwrite").parquet(f"{path}/pairs")
@@ -184,14 +191,24 @@ def user_jaccard_pairs(inter: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def neighbours(inter: DataFrame, max_neighbours: int = MAX_NEIGHBOURS,
-               chunk: int = DEFAULT_CHUNK, persist: bool = True) -> DataFrame:
+               chunk: int = DEFAULT_CHUNK, persist: bool = True, users: DataFrame | None = None) -> DataFrame:
     """Per customer, the ``max_neighbours`` other customers with the most
-    products in common (ties by customer id)."""
-    ov = user_overlap(inter, chunk, with_degrees=False, persist=persist)
-    pair = F.array(F.struct(F.col("customer1").alias("a"), F.col("customer2").alias("b")),
-                   F.struct(F.col("customer2").alias("a"), F.col("customer1").alias("b")))
-    both = (ov.select(F.explode(pair).alias("_e"), "common_products")
-            .select(F.col("_e.a").alias("customer1"), F.col("_e.b").alias("customer2"), "common_products"))
+    products in common (ties by customer id). With ``users`` only those
+    customers' neighbours are computed (their items joined to all buyers),
+    instead of every overlapping pair."""
+    if users is not None:
+        mine = (inter.select("customer_id", "product_id")
+                .join(users.select("customer_id").distinct(), "customer_id", "left_semi"))
+        others = inter.select(F.col("customer_id").alias("customer2"), "product_id")
+        both = (mine.join(others, "product_id").where(F.col("customer_id") != F.col("customer2"))
+                .groupBy(F.col("customer_id").alias("customer1"), "customer2")
+                .agg(F.count(F.lit(1)).alias("common_products")))
+    else:
+        ov = user_overlap(inter, chunk, with_degrees=False, persist=persist)
+        pair = F.array(F.struct(F.col("customer1").alias("a"), F.col("customer2").alias("b")),
+                       F.struct(F.col("customer2").alias("a"), F.col("customer1").alias("b")))
+        both = (ov.select(F.explode(pair).alias("_e"), "common_products")
+                .select(F.col("_e.a").alias("customer1"), F.col("_e.b").alias("customer2"), "common_products"))
     ranked = top_n_per_group(both, ["customer1"], max_neighbours,
                              order_by(("common_products", "desc"), ("customer2", "asc")), rank_col="_nr")
     return ranked.select(F.col("customer1").alias("customer_id"),
@@ -200,7 +217,7 @@ def neighbours(inter: DataFrame, max_neighbours: int = MAX_NEIGHBOURS,
 
 def user_cf(inter: DataFrame, products: DataFrame, n: int = DEFAULT_N,
             max_neighbours: int = MAX_NEIGHBOURS, exclude: DataFrame | None = None,
-            chunk: int = DEFAULT_CHUNK, persist: bool = True) -> DataFrame:
+            chunk: int = DEFAULT_CHUNK, persist: bool = True, users: DataFrame | None = None) -> DataFrame:
     """C7 for every customer with history.
 
     Score of an item = number of the customer's neighbours who bought it;
@@ -213,8 +230,10 @@ def user_cf(inter: DataFrame, products: DataFrame, n: int = DEFAULT_N,
         # read many times below: write once to the shared checkpoint folder
         inter = materialize(inter.select("customer_id", "product_id"))
     # ``inter`` is already checkpointed when ``persist``: no second copy
-    nb = neighbours(inter, max_neighbours, chunk, persist=False)
+    nb = neighbours(inter, max_neighbours, chunk, persist=False, users=users)
     owned = (exclude if exclude is not None else inter).select("customer_id", "product_id")
+    if users is not None:
+        owned = owned.join(users.select("customer_id").distinct(), "customer_id", "left_semi")
     # catalogue membership on the (small) item side, before the fan-out
     items = (inter.select(F.col("customer_id").alias("neighbour_id"), "product_id")
              .join(products.select("product_id"), "product_id", "left_semi"))
@@ -247,7 +266,7 @@ def recommend_for_users(inter: DataFrame, products: DataFrame, users: DataFrame,
     """C7 with C8 fallback for requested ``users`` (column ``customer_id``):
     users with history get user-based CF, others the most-interacted list."""
     known = users.join(inter.select("customer_id").distinct(), "customer_id", "left_semi")
-    cf = user_cf(inter, products, n).join(known, "customer_id", "left_semi")
+    cf = user_cf(inter, products, n, persist=False, users=known)
     cold = users.join(known, "customer_id", "left_anti")
     pop = popular_by_interactions(inter, products, n)
     pop_list = pop.select(F.collect_list(F.struct(*[F.col(c) for c in pop.columns])).alias("l")).scalar()
@@ -269,10 +288,10 @@ def get_collaborative_recommendations(model: SimilarityModel, products: DataFram
             [(user_id,)], "customer_id " + model.interactions.schema["customer_id"].dataType.simpleString())
         return recommend_for_users(model.interactions, products, users, n).drop("customer_id")
     if product_id is not None:
-        return also_bought(model.edges, products, n, product_id).drop("product1")
+        return also_bought(model.edges_of(product_id), products, n).drop("product1")
     return popular_by_interactions(model.interactions, products, n)
 
 
 def get_also_bought(model: SimilarityModel, products: DataFrame, product_id, n: int = DEFAULT_N) -> DataFrame:
     """C6 for one product (alias kept for the "similar products" name)."""
-    return also_bought(model.edges, products, n, product_id).drop("product1")
+    return also_bought(model.edges_of(product_id), products, n).drop("product1")

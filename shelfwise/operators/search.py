@@ -234,7 +234,7 @@ def dataset_info(products: DataFrame, reviews: DataFrame) -> DataFrame:
     row. NULL is counted as a value, as ``distinct().count()`` does."""
     p = products.agg(F.count(F.lit(1)).alias("total_products"),
                      (F.count_distinct("category")
-                      + F.max(F.col("category").isNull().cast("int"))).alias("categories"))
+                      + F.coalesce(F.max(F.col("category").isNull().cast("int")), F.lit(0))).alias("categories"))
     r = reviews.agg(F.count(F.lit(1)).alias("total_reviews"),
                     (F.count_distinct("customer_id")
                      + F.coalesce(F.max(F.col("customer_id").isNull().cast("int")), F.lit(0))).alias("unique_users"))

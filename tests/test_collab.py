@@ -87,3 +87,21 @@ def test_router_and_cold_start(search_catalog):
     assert pop.first().product_id == "B001"
     ab = collab.get_also_bought(model, c.products, "D002")
     assert [r.product_id for r in ab.collect()] == ["B001"]
+
+
+def test_targeted_user_cf_equals_batch(spark):
+    from shelfwise.sources.testdata import catalog_from_tables
+    from conftest import SF_SMALL
+    c = catalog_from_tables(spark, SF_SMALL)
+    inter = collab.interactions(c.reviews)
+    users = inter.select("customer_id").distinct().orderBy("customer_id").limit(7)
+    batch = collab.user_cf(inter, c.products, 10).join(users, "customer_id", "left_semi")
+    targeted = collab.user_cf(inter, c.products, 10, users=users)
+    assert sorted(map(tuple, batch.collect())) == sorted(map(tuple, targeted.collect()))
+
+
+def test_edges_of_equals_filtered_edges(search_catalog):
+    model = collab.fit_similarity(search_catalog.reviews)
+    one = sorted(map(tuple, model.edges_of("D001").collect()))
+    all_ = sorted(map(tuple, model.edges.where("product1 = 'D001'").collect()))
+    assert one == all_ and len(one) == 2
