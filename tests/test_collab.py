@@ -105,3 +105,11 @@ def test_edges_of_equals_filtered_edges(search_catalog):
     one = sorted(map(tuple, model.edges_of("D001").collect()))
     all_ = sorted(map(tuple, model.edges.where("product1 = 'D001'").collect()))
     assert one == all_ and len(one) == 2
+
+
+def test_model_save_load_roundtrip(search_catalog, tmp_path):
+    model = collab.fit_similarity(search_catalog.reviews)
+    model.save(str(tmp_path / "model"))
+    back = collab.SimilarityModel.load(search_catalog.reviews.sparkSession, str(tmp_path / "model"))
+    assert sorted(map(tuple, back.edges.collect())) == sorted(map(tuple, model.edges.collect()))
+    assert back.interactions.count() == model.interactions.count()
