@@ -247,8 +247,11 @@ def user_cf(inter: DataFrame, products: DataFrame, n: int = DEFAULT_N,
     # partial aggregation cannot merge its candidates; shuffling raw rows by
     # the aggregation key and aggregating once afterwards is cheaper. A key
     # repeats at most ``max_neighbours`` + 1 times, so this cannot skew.
+    # The configured partition count is kept (adaptive coalescing sizes by
+    # compressed bytes and would leave this CPU-heavy aggregation few tasks).
+    parts = int(inter.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cand = (fanned.unionByName(mine)
-            .repartition("customer_id", "product_id")
+            .repartition(parts, "customer_id", "product_id")
             .groupBy("customer_id", "product_id")
             .agg(F.count("common_products").alias("recommendation_score"),
                  F.avg("common_products").alias("user_similarity"),
