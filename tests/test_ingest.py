@@ -151,6 +151,13 @@ def test_streaming_ingest(spark):
         fh.write(JSON_LINES[7] + "\n")
     q = start_catalog_ingest(spark, src, out, ckpt)
     q.awaitTermination(120)
+    products = spark.read.parquet(f"{out}/products")
+    assert products.count() == 5 and "batch_id" in products.columns
+    # replaying a batch (same id) replaces its output instead of duplicating it
+    from shelfwise.streaming.catalog_stream import _write_batch
+    again = json_catalog.parse_catalog_lines(spark.createDataFrame([(JSON_LINES[7],)], "value string"))
+    last = max(r.batch_id for r in products.select("batch_id").distinct().collect())
+    _write_batch(out)(again, last)
     assert spark.read.parquet(f"{out}/products").count() == 5
 
 
