@@ -238,9 +238,12 @@ def dataset_info(products: DataFrame, reviews: DataFrame) -> DataFrame:
     r = reviews.agg(F.count(F.lit(1)).alias("total_reviews"),
                     (F.count_distinct("customer_id")
                      + F.coalesce(F.max(F.col("customer_id").isNull().cast("int")), F.lit(0))).alias("unique_users"))
+    # one pass over the reviews, handed over as a single struct value
+    rs = r.select(F.struct(F.col("total_reviews"), F.col("unique_users").cast("bigint").alias("unique_users"))
+                  .alias("_r")).scalar()
     return p.select(F.col("total_products"), F.col("categories").cast("bigint").alias("categories"),
-                    r.select("total_reviews").scalar().alias("total_reviews"),
-                    r.select(F.col("unique_users").cast("bigint")).scalar().alias("unique_users"))
+                    rs.getField("total_reviews").alias("total_reviews"),
+                    rs.getField("unique_users").alias("unique_users"))
 
 
 SEARCHES = {
