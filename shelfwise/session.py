@@ -76,3 +76,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/tables/{name}"
+
+
+def drop_materialized(spark: SparkSession) -> None:
+    """Delete this session's materialized tables (call when the DataFrames
+    built on them are no longer needed, e.g. at the end of a job)."""
+    path = scratch_path(spark, "")
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(jpath):
+        fs.delete(jpath, True)

@@ -45,3 +45,12 @@ def test_filters_reach_parquet_scan(spark):
     narrow = stored.products.where("category = 'PROMO'").select("product_id")
     scan = narrow._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<product_id:bigint,category:string>" in scan
+
+
+def test_drop_materialized(spark):
+    from shelfwise.session import drop_materialized, materialize, scratch_path
+    df = materialize(spark.range(10))
+    assert df.count() == 10
+    drop_materialized(spark)
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, ""))
+    assert not jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
