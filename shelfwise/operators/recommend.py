@@ -145,8 +145,9 @@ def similar_products(products: DataFrame, n: int = DEFAULT_N, targets: DataFrame
     listed = tgt.select(F.col("product_id").alias("target_id"),
                         F.posexplode(F.coalesce(F.col("similar_products"), F.array())).alias("_p", "_sid"))
     listed = listed.withColumn("_sid", F.col("_sid").cast(products.schema["product_id"].dataType))
-    t1 = listed.join(cat, listed._sid == cat.product_id).drop("_sid")
-    t1 = top_n_per_group(t1, ["target_id", "product_id"], 1, [F.col("_p").asc()], rank_col="_first").drop("_first")
+    # first listed position per (target, item): a partially aggregated min
+    first = listed.groupBy("target_id", "_sid").agg(F.min("_p").alias("_p"))
+    t1 = first.join(cat, first._sid == cat.product_id).drop("_sid")
     t1 = top_n_per_group(t1, ["target_id"], n, [F.col("_p").asc()])
     have_t1 = t1.select("target_id").distinct()
     need = (tgt.select(F.col("product_id").alias("target_id"), "category")
