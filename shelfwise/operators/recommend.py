@@ -116,10 +116,13 @@ def hybrid(products: DataFrame, reviews: DataFrame, users: DataFrame | None = No
         users = users.select("customer_id").distinct()
         content = content.join(users, "customer_id", "left_semi")
     pop_list = _list_scalar(popularity(products, None, 2 * n), REC_COLUMNS)
-    counts = content.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_have"))
-    pop = (users.join(counts, "customer_id", "left")
-           .select("customer_id", F.coalesce(F.col("_have"), F.lit(0)).alias("_have"),
-                   F.explode(pop_list).alias("_e"))
+    if dedupe:
+        have = users.select("customer_id", F.lit(0).alias("_have"))
+    else:
+        counts = content.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_have"))
+        have = (users.join(counts, "customer_id", "left")
+                .select("customer_id", F.coalesce(F.col("_have"), F.lit(0)).alias("_have")))
+    pop = (have.select("customer_id", "_have", F.explode(pop_list).alias("_e"))
            .select("customer_id", "_have", *[F.col("_e").getField(c).alias(c) for c in REC_COLUMNS],
                    F.lit(1).alias("_src"), F.col("_e").getField("_rank").alias("_p")))
     if dedupe:
