@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import order_by, safe_divide, top_n_per_group
+from ..session import materialize
 from .collab import user_cf
 
 DEFAULT_K = 10
@@ -73,8 +74,10 @@ def evaluate_user_cf(reviews_or_inter: DataFrame, products: DataFrame, test_rati
     items: mean precision@k and recall@k over users with both lists."""
     inter = reviews_or_inter.select("customer_id", "product_id").where(
         F.col("customer_id").isNotNull() & F.col("product_id").isNotNull()).distinct()
+    # both splits and the test-user count read one written copy
+    inter = materialize(inter, "interactions")
     train, test = train_test_split(inter, ["customer_id", "product_id"], test_ratio, seed, method)
-    recs = user_cf(train, products, k).select("customer_id", "product_id", "rank")
+    recs = user_cf(train, products, k, persist=False).select("customer_id", "product_id", "rank")
     per_user = precision_recall_at_k(test, recs, k)
     total = test.select(F.count_distinct("customer_id")).scalar()
     return per_user.agg(
