@@ -4,10 +4,10 @@ import tempfile
 
 import pytest
 
-import __spark_entry__ as entry
 from conftest import SF_SMALL
 from shelfwise.catalog import Catalog
 from shelfwise.operators import collab, search
+from shelfwise.plans import PLANS
 from shelfwise.sources.testdata import catalog_from_tables
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin")
@@ -17,11 +17,11 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(PLANS))
 def test_no_cross_products(spark, name):
     if name.startswith("als_"):
         pytest.skip("ALS plans are built by Spark ML")
-    plan = _plan(entry.queries()[name](spark, SF_SMALL))
+    plan = _plan(PLANS[name].build(spark, SF_SMALL))
     for bad in FORBIDDEN:
         assert bad not in plan, f"{name} plans a {bad}"
 
