@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import license_scan, mixing, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,3 +25,89 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash groups: 4-word shingles, at most 4 differing bits."""
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return out.select("doc_id", simhash.fp_hex("fp").alias("fingerprint"), "component_id")
+
+
+@query
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word budgets of 150 % of all sizes by source, at most 2 epochs."""
+    plan = mixing.plan_mix(table(spark, sf_dir, "documents"), budget=1.5, max_epochs=2, weights=(3, 1, 2), seed=7)
+    return plan.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
+
+
+ORACLES["op5_mix_sources"] = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         1 - CAST(0.9 AS DOUBLE) * (length(coalesce(text, '')) - length(translate(coalesce(text, ''), '#*$%&|<>', '')))
+             / greatest(length(coalesce(text, '')), 1) AS w,
+         (CAST(('0x' || substr(md5('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 12)) AS BIGINT) + CAST(0.5 AS DOUBLE))
+             / CAST(281474976710656 AS DOUBLE) AS u
+  FROM documents),
+k AS (SELECT *, -ln(u) / w AS key FROM d),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         CAST([3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS DOUBLE) AS w
+  FROM k GROUP BY source),
+r AS (
+  SELECT *, CAST(2 * source_size AS DOUBLE) AS stop,
+         (CAST(1.5 AS DOUBLE) * sum(source_size) OVER ()
+          - coalesce(sum(2 * source_size) OVER (ORDER BY 2 * source_size / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / sum(w) OVER (ORDER BY 2 * source_size / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM s),
+t AS (
+  SELECT source, source_size,
+         least(stop, w * (SELECT level FROM r WHERE stop > w * level ORDER BY 2 * source_size / w, source LIMIT 1)) AS target
+  FROM r),
+e AS (
+  SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS epochs FROM t),
+p AS (
+  SELECT k.doc_id, k.size, e.source_size, e.target, e.epochs,
+         CAST(round(e.target - e.epochs * e.source_size) AS BIGINT) AS rest,
+         CAST(coalesce(sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.doc_id
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS ahead
+  FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source)
+SELECT doc_id, size, source_size, round(target, 6) AS target,
+       CAST(epochs * size + greatest(0, least(size, rest - ahead)) AS BIGINT) AS taken
+FROM p"""
+
+
+@query
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and templates of every document."""
+    out = license_scan.scan(table(spark, sf_dir, "documents"))
+    starts = F.transform("places", lambda p: p["start"])
+    return out.select("doc_id", "n_words", F.size("places").cast("bigint").alias("n_base"),
+                      F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+                      F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"),
+                      F.round("score", 6).alias("score"))
+
+
+def _phrase_rows(rows) -> str:
+    quote = lambda words: "[" + ", ".join(f"'{w}'" for w in words.split()) + "]"
+    return ", ".join(f"('{n}', {b}, {quote(t)}, {quote(p)}, {t.split().index(p.split()[0])})" for n, b, t, p in rows)
+
+
+ORACLES["op9_license_scan"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents),
+t(label, base, words, phrase, shift) AS (VALUES """ + _phrase_rows(
+    [(n, 1, p, p) for n, p in license_scan.BASE] + [(n, 0, t, p) for n, t, p in license_scan.TEMPLATES]) + r"""),
+w AS (SELECT rid, ws, unnest(ws) AS word, CAST(generate_subscripts(ws, 1) AS BIGINT) AS p FROM d),
+m AS (
+  SELECT w.rid, t.label, t.base, w.p - 1 - t.shift AS start,
+         list_sum([CASE WHEN w.p - t.shift + o > 0 AND w.ws[w.p - t.shift + o] = t.words[o + 1] THEN 1 ELSE 0 END
+                   FOR o IN range(len(t.words))]) / len(t.words) AS share
+  FROM w JOIN t ON w.word = t.phrase[1]
+  WHERE w.ws[w.p : w.p + len(t.phrase) - 1] = t.phrase),
+g AS (
+  SELECT rid, CAST(count(*) FILTER (base = 1) AS BIGINT) AS n_base, min(start) FILTER (base = 1) AS first_word,
+         max(start) FILTER (base = 1) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base = 1) AS base_labels,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base = 1 OR share >= 0.5) AS labels,
+         max(share) AS score
+  FROM m GROUP BY rid)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, round(coalesce(score, 0), 6) AS score
+FROM d LEFT JOIN g USING (rid)"""
