@@ -38,7 +38,7 @@ from .graph import components, local_stars
 
 CHUNK = 8192            # stored fingerprints of one bucket that one task compares with its probes
 PAIRS = 2_000_000       # candidate pairs verified at once
-LAYOUTS = ((4, 4), (3, 3, 2), (2, 2, 2, 2), (2, 2, 2, 1, 1))   # bytes in each partition
+LAYOUTS = ((4, 4), (3, 3, 2), (2, 2, 2, 2))   # bytes in each partition
 PROBE_COST, CANDIDATE_COST = 1.0, 0.02  # a shuffled row against a verified candidate
 
 
