@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, mixing, quality, simhash
+from . import license_scan, mixing, perplexity, quality, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +118,11 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of a regularised quadratic discriminant."""
     out = quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op7_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and perplexity bands by language."""
+    out = perplexity.apply_rules(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                      "kept", F.round("nll", 6).alias("nll"))
