@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, mixing, perplexity, quality, simhash
+from . import line_dedup, license_scan, mixing, perplexity, quality, sentencepiece_codec, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,3 +126,20 @@ def op7_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = perplexity.apply_rules(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                       "kept", F.round("nll", 6).alias("nll"))
+
+
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that patience diff aligns with an earlier document go."""
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), report=True)
+    return out.select("doc_id", "n_lines", "n_cut", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op10_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text, and whether they decode to the text."""
+    docs = table(spark, sf_dir, "documents").withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")), 256))
+    encoded = sentencepiece_codec.encode(docs, keep=("text_sha256",))
+    decoded = sentencepiece_codec.decode(encoded, keep=("doc_id", "n_tokens", "ids", "text_sha256"))
+    return decoded.select("doc_id", "n_tokens", "ids",
+                          (F.sha2("text", 256) == F.col("text_sha256")).alias("round_trip"))
