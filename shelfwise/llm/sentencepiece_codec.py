@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"             # fixed value: the piece mark that stands for a space
 UNKNOWN_PENALTY = 10.0      # fixed value: below the lowest piece score, as in the library's unigram search
-CACHE_WORDS = 200_000       # segmentations that a task keeps
+CACHE_WORDS = 400_000       # segmentations that a task keeps
 CHUNK_CHARS = 2_000_000     # text encoded at once
 LONG = 64                   # a word longer than this is no candidate for the cache
 
@@ -74,7 +74,7 @@ class Pieces:
         out.unknown_score = min(scores, default=0.0) - UNKNOWN_PENALTY
         for length, own in by_length.items():
             points = np.array([[ord(c) for c in p] for p, _, _ in own], np.uint32)
-            keys = prefix_hashes(points)[:, -1]
+            keys = prefix_hashes(points.T)[-1]
             by = np.argsort(keys, kind="stable")
             out.tables[length] = (keys[by], points[by], np.array([i for _, i, _ in own], np.int32)[by],
                                   np.array([s for _, _, s in own], np.float64)[by])
@@ -82,75 +82,76 @@ class Pieces:
 
 
 def prefix_hashes(points: np.ndarray) -> np.ndarray:
-    """h[:, k]: hash of the first k code points of each row."""
-    h = np.zeros((len(points), points.shape[1] + 1), np.uint64)
-    for k in range(points.shape[1]):
-        h[:, k + 1] = h[:, k] * _BASE + (points[:, k].astype(np.uint64) + np.uint64(1))
+    """h[k]: hash of the first k code points of each column."""
+    h = np.zeros((points.shape[0] + 1, points.shape[1]), np.uint64)
+    for k in range(points.shape[0]):
+        h[k + 1] = h[k] * _BASE + (points[k].astype(np.uint64) + np.uint64(1))
     return h
 
 
 def _probe(points: np.ndarray, h: np.ndarray, length: int, table) -> tuple[np.ndarray, np.ndarray]:
-    """For every start: the row of the piece that stands there, and whether
-    one does (hash equal and code points equal)."""
-    keys, own, _, _ = table
+    """For every start and word: score and id of the piece of this length
+    that stands there (hash equal, then code points equal), or -inf."""
+    keys, own, ids, scores = table
     power = np.uint64(pow(int(_BASE), length, 1 << 64))
-    sub = h[:, length:] - h[:, :-length] * power
-    at = np.minimum(np.searchsorted(keys, sub), len(keys) - 1)
-    hit = keys[at] == sub
-    rows, starts = np.nonzero(hit)
-    same = np.ones(len(rows), bool)
+    sub = h[length:] - h[:-length] * power
+    at = np.searchsorted(keys, sub)
+    at[at == len(keys)] = 0
+    start, word = np.nonzero(keys[at] == sub)
+    row = at[start, word]
+    same = np.ones(len(row), bool)
     for k in range(length):
-        same &= points[rows, starts + k] == own[at[rows, starts], k]
-    hit[rows[~same], starts[~same]] = False
-    return at, hit
+        same &= points[start + k, word] == own[row, k]
+    start, word, row = start[same], word[same], row[same]
+    score, id = np.full(sub.shape, -np.inf), np.full(sub.shape, -1, np.int32)
+    score[start, word], id[start, word] = scores[row], ids[row]
+    return score, id
 
 
 def viterbi(words: list[str], pieces: Pieces) -> list[tuple[int, ...]]:
-    """Best segmentations of words of one length (in code points)."""
+    """Best segmentations of words of one length (in code points). Arrays
+    are position by word, so each step runs over contiguous rows."""
     n, size = len(words), len(words[0])
     points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, size)
+    points = np.ascontiguousarray(points.T)
     h = prefix_hashes(points)
     lengths = sorted((x for x in pieces.tables if x <= size), reverse=True)
     probes = {x: _probe(points, h, x, pieces.tables[x]) for x in lengths}
-    best = np.full((n, size + 1), -np.inf)
-    best[:, 0] = 0
-    step = np.ones((n, size + 1), np.int32)
-    piece = np.full((n, size + 1), -1, np.int32)
+    if 1 in probes:     # a character without a piece of its own
+        probes[1] = np.where(probes[1][1] < 0, pieces.unknown_score, probes[1][0]), probes[1][1]
+    else:
+        lengths.append(1)
+        probes[1] = np.full((size, n), pieces.unknown_score), np.full((size, n), -1, np.int32)
+    best = np.zeros((size + 1, n))
+    step = np.ones((size + 1, n), np.int32)
     for end in range(1, size + 1):
-        top = np.full(n, -np.inf)
+        top = best[end]
+        top.fill(-np.inf)
         for x in lengths:
-            if x > end:
-                continue
-            at, hit = probes[x][0][:, end - x], probes[x][1][:, end - x]
-            _, _, ids, scores = pieces.tables[x]
-            new = np.where(hit, best[:, end - x] + scores[at], -np.inf)
-            better = new > top
-            top[better] = new[better]
-            step[better, end] = x
-            piece[better, end] = ids[at[better]]
-        # a character without a piece of its own
-        single = probes[1][1][:, end - 1] if 1 in probes else np.zeros(n, bool)
-        new = np.where(single, -np.inf, best[:, end - 1] + pieces.unknown_score)
-        better = new > top
-        top[better] = new[better]
-        step[better, end], piece[better, end] = 1, -1
-        best[:, end] = top
+            if x <= end:
+                new = best[end - x] + probes[x][0][end - x]
+                better = new > top
+                np.copyto(top, new, where=better)
+                np.copyto(step[end], x, where=better)
     # all words walk back together
-    out = np.full((n, size), -2, np.int32)
+    out = np.full((size, n), -2, np.int32)
     where, rows = np.full(n, size), np.arange(n)
     while len(rows):
         p = where[rows]
-        out[rows, p - 1] = piece[rows, p]
-        where[rows] = p - step[rows, p]
+        x = step[p, rows]
+        for length in np.unique(x):
+            own = x == length
+            out[p[own] - 1, rows[own]] = probes[length][1][p[own] - length, rows[own]]
+        where[rows] = p - x
         rows = rows[where[rows] > 0]
-    found = []
-    for w, ids in zip(words, out):
-        if (ids == -1).any():
-            found.append(tuple(chain.from_iterable(
-                [pieces.byte_ids[b] for b in w[k].encode("utf-8", "surrogatepass")] if i == -1 else [i]
-                for k, i in enumerate(ids.tolist()) if i != -2)))
-        else:
-            found.append(tuple(ids[ids >= 0].tolist()))
+    out = np.ascontiguousarray(out.T)
+    used = out != -2
+    flat, ends = out[used].tolist(), np.cumsum(used.sum(1)).tolist()
+    found = [tuple(flat[i:j]) for i, j in zip([0, *ends], ends)]
+    for k in np.nonzero((out == -1).any(1))[0].tolist():
+        found[k] = tuple(chain.from_iterable(
+            [pieces.byte_ids[b] for b in words[k][c].encode("utf-8", "surrogatepass")] if i == -1 else [i]
+            for c, i in enumerate(out[k].tolist()) if i != -2))
     return found
 
 
@@ -168,10 +169,10 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         cut = [self.words(t) for t in texts]
-        new = set(chain.from_iterable(cut)).difference(self.known)
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known.clear()
-            new = set(chain.from_iterable(cut))
+        new = set(chain.from_iterable(cut))
+        if len(self.known) + len(new) > CACHE_WORDS:     # words that come again stay
+            self.known = {w: self.known[w] for w in new if w in self.known}
+        new.difference_update(self.known)
         by_length: dict = {}
         for w in new:
             by_length.setdefault(len(w), []).append(w)
