@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, license_scan, mixing, perplexity, quality, sentencepiece_codec, simhash
+from . import (line_dedup, license_scan, mixing, perplexity, quality, sentencepiece_codec, simhash,
+               substring_dedup)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,3 +144,25 @@ def op10_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = sentencepiece_codec.decode(encoded, keep=("doc_id", "n_tokens", "ids", "text_sha256"))
     return decoded.select("doc_id", "n_tokens", "ids",
                           (F.sha2("text", 256) == F.col("text_sha256")).alias("round_trip"))
+
+
+@query
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words covered by a 50-word window of an earlier document."""
+    out = substring_dedup.repeated_spans(table(spark, sf_dir, "documents"), window=50)
+    n = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"])
+    return out.select("doc_id", "n_words", n.alias("n_removed"), "kept_sha256")
+
+
+# Every window of every document, grouped as text.
+ORACLES["op3_substring_dedup"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+p AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM d WHERE len(ws) >= 50),
+h AS (SELECT doc_id, i, md5(array_to_string(ws[i : i + 49], ' ')) AS w FROM p),
+f AS (SELECT w, min(doc_id) AS first FROM h GROUP BY w),
+r AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS k FROM h JOIN f USING (w) WHERE first < doc_id),
+g AS (SELECT doc_id, list(k) AS gone FROM r GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(CASE WHEN gone IS NULL THEN ws
+              ELSE [ws[k] FOR k IN range(1, len(ws) + 1) IF NOT list_contains(gone, k)] END, ' ')) AS kept_sha256
+FROM d LEFT JOIN g USING (doc_id)"""
