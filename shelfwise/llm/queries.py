@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (line_dedup, license_scan, mixing, perplexity, quality, sentencepiece_codec, simhash,
-               substring_dedup)
+from . import (chat_tree, embedding_dedup, license_scan, line_dedup, mixing, perplexity, quality, sentencepiece_codec,
+               simhash, substring_dedup)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,3 +166,56 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) A
        sha256(array_to_string(CASE WHEN gone IS NULL THEN ws
               ELSE [ws[k] FOR k IN range(1, len(ws) + 1) IF NOT list_contains(gone, k)] END, ' ')) AS kept_sha256
 FROM d LEFT JOIN g USING (doc_id)"""
+
+
+@query
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors linked at cosine 0.9 or more."""
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+ORACLES["op2_embedding_dedup"] = r"""
+WITH RECURSIVE n AS (
+  SELECT vec_id, [CAST(x AS DOUBLE) FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND list_count(embedding) = len(embedding)
+    AND list_bool_and([isfinite(x) FOR x IN embedding]) AND list_bool_or([x <> 0 FOR x IN embedding])),
+e AS (SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.vec_id <> b.vec_id
+      WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
+r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a),
+d AS (SELECT a, count(*) AS n FROM e GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings LEFT JOIN d ON vec_id = d.a LEFT JOIN c ON vec_id = c.a"""
+
+
+PROBE = "\\### Assistant: </turn> ok"
+
+
+@query
+def op4_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations through the prefix tree and back."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(1).select(F.explode(F.array(*[
+        F.struct(F.lit(-7).cast("bigint").alias("conv_id"), F.lit(i).cast("bigint").alias("turn"), F.lit(r).alias("role"),
+                 F.lit(PROBE).alias("text")) for i, r in enumerate(("user", "assistant"))])).alias("t")).select("t.*")
+    back = chat_tree.read_back(*chat_tree.format_tree(turns.unionByName(probe)))
+    all_turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = F.array_join("loss_texts", "")
+    return back.select("conv_id", F.size("turns").cast("bigint").alias("n_turns"),
+                       F.sha2(all_turns, 256).alias("turns_sha256"), F.length(loss).cast("bigint").alias("loss_chars"),
+                       F.sha2(loss, 256).alias("loss_sha256"), F.length("formatted").cast("bigint").alias("formatted_chars"))
+
+
+ORACLES["op4_chat_tree"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'),
+                                  (-7, 1, 'assistant', '\### Assistant: </turn> ok')) v(conv_id, turn, role, text)),
+e AS (SELECT *, length(text) + length(regexp_replace(text, '[^\\#<]', '', 'g'))
+                + length(role) + length(regexp_replace(role, '[^\\#<:\n]', '', 'g')) + 14 AS chars FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id"""
