@@ -4,14 +4,14 @@ A modified Kneser-Ney model over the bytes of the words, one for each
 language, is counted by Spark over every document (Chen and Goodman, "An
 empirical study of smoothing techniques for language modeling", 1998): raw
 counts for the highest order, numbers of distinct left extensions for the
-lower ones, three discounts for each order from the counts of counts. Joins
-on contexts and suffixes turn the counts into one log-probability for each
-n-gram that occurs.
+lower ones, three discounts for each order from the counts of counts. Every
+n-gram that occurs gets one log-probability.
 
 The model is read in sorted hash arrays, n-grams packed into 64-bit keys
 beside their log-probabilities, sent to the tasks while it has at most
-``BROADCAST_ROWS`` n-grams. A larger model stays a table, and the n-grams of
-the documents join it. Both ways give the same perplexities.
+``BROADCAST_ROWS`` n-grams. A larger model stays a table, made by joins on
+contexts and suffixes, and the n-grams of the documents join it. Both ways
+give the same perplexities.
 
 The perplexity is the usual one of a word: the log-probability of all bytes
 of a text divided by its number of words. (Of a byte it would say less: a
@@ -27,18 +27,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, mix64, texts_of
 
 ORDER = 5
-BROADCAST_ROWS = 2_000_000      # 32 MB of keys and log-probabilities
+BROADCAST_ROWS = 4_000_000      # 64 MB of keys and log-probabilities
 CHUNK = 1 << 22                 # bytes of text counted at once
 SYMBOLS = b"#*$%&|<>"
 WIDTH, ERRORS = 0.08, 5.0       # half a band: a share of its centre, and sampling errors
 GRID = 1000                     # steps of log-perplexity for exact medians from counts
 
+_U = np.uint64
 _IS_SYMBOL = np.zeros(256, bool)
 _IS_SYMBOL[list(SYMBOLS)] = True
 
@@ -57,12 +59,12 @@ def base_statistics(text: bytes) -> tuple[int, int, int, int, int]:
     lines = [x for x in text.split(b"\n") if x and not x.isspace()]
     repeat = 0
     if n >= 10 or len(set(words)) < n:
-        h = np.fromiter(map(hash, words), np.int64, n).view(np.uint64)
+        h = np.fromiter(map(hash, words), np.int64, n).view(_U)
         if n >= 5:
             w = mix64(h)
             key = w[: n - 4].copy()
             for k in range(1, 5):
-                key = mix64(key * np.uint64(3) + w[k: n - 4 + k])
+                key = mix64(key * _U(3) + w[k: n - 4 + k])
             order = np.argsort(key, kind="stable")
             same = key[order[1:]] == key[order[:-1]]
             twice = np.zeros(len(key), bool)
@@ -85,12 +87,12 @@ def _stream(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     parts = [b" ".join(t.split()) for t in texts]
     parts = [pad + p + b" " if p else b"" for p in parts]
     length = np.array([len(p) for p in parts], np.int64)
-    raw = np.frombuffer(b"".join(parts), np.uint8).astype(np.uint64)
+    raw = np.frombuffer(b"".join(parts), np.uint8).astype(_U)
     if not len(raw):
         return raw, length
-    key = np.zeros(len(raw) - order + 1, np.uint64)
+    key = np.zeros(len(raw) - order + 1, _U)
     for k in range(order):
-        key = (key << np.uint64(8)) | raw[k: len(key) + k]
+        key = (key << _U(8)) | raw[k: len(key) + k]
     count = np.maximum(length - (order - 1), 0)
     start = np.cumsum(length) - length
     keep = np.repeat(start - (np.cumsum(count) - count), count) + np.arange(count.sum())
@@ -155,25 +157,48 @@ def count_ngrams(docs: DataFrame, order: int = ORDER, text: str = "text", lang:
 
 
 # ------------------------------------------------------------------ the model
+def _steps(n1: float, n2: float, n3: float, n4: float) -> tuple[float, float, float]:
+    """Discounts of the counts 1, 2 and 3 or more, from the counts of
+    counts; kept inside (0, count) where these are too few."""
+    y = n1 / (n1 + 2 * n2) if n1 else 0.5
+    raw = ((1 - 2 * y * n2 / n1 if n1 else 0.5, 0.95), (2 - 3 * y * n3 / n2 if n2 else 1.0, 1.9),
+           (3 - 4 * y * n4 / n3 if n3 else 1.5, 2.85))
+    return tuple(min(max(v, 0.05), cap) for v, cap in raw)
+
+
+def fit_arrays(grams: np.ndarray, n: np.ndarray, order: int) -> np.ndarray:
+    """Log-probabilities of the n-grams of one language, sorted by key:
+    interpolated modified Kneser-Ney."""
+    levels = [(grams, n)]
+    for k in range(order - 1, 0, -1):       # distinct left extensions
+        levels.insert(0, np.unique(levels[0][0] & _U((1 << 8 * k) - 1), return_counts=True))
+    lower = None
+    for k, (keys, count) in enumerate(levels, start=1):
+        steps = _steps(*np.bincount(count[count <= 4], minlength=5)[1:5].astype(float))
+        d = np.array([0.0, *steps])[np.minimum(count, 3)]
+        at = np.concatenate([[0], np.nonzero(np.diff(keys >> _U(8)))[0] + 1])
+        size = np.diff(np.append(at, len(keys)))
+        total = np.repeat(np.add.reduceat(count, at).astype(float), size)
+        back = np.repeat(np.add.reduceat(d, at), size) / total
+        below = 1 / 256 if lower is None else lower[1][np.searchsorted(lower[0], keys & _U((1 << 8 * (k - 1)) - 1))]
+        lower = keys, (count - d) / total + back * below
+    return np.log(lower[1])
+
+
 def _discounts(counts: DataFrame) -> Column:
     """The discount of a count, by language, from the counts of counts."""
     rows = counts.where("n <= 4").groupBy("lang").pivot("n", [1, 2, 3, 4]).count().na.fill(0).collect()
     out = F.lit(0.5)
     for lang, *c in rows:       # one row for each language
-        a, b, d, e = (float(x) for x in c)
-        y = a / (a + 2 * b) if a else 0.5
-        steps = [min(max(v, 0.05), cap) for v, cap in ((1 - 2 * y * b / a if a else 0.5, 0.95),
-                                                       (2 - 3 * y * d / b if b else 1.0, 1.9),
-                                                       (3 - 4 * y * e / d if d else 1.5, 2.85))]
+        steps = _steps(*(float(x) for x in c))
         own = F.when(F.col("n") == 1, steps[0]).when(F.col("n") == 2, steps[1]).otherwise(steps[2])
         out = F.when(F.col("lang").eqNullSafe(F.lit(lang)), own).otherwise(out)
     return out
 
 
-def fit(docs: DataFrame, order: int = ORDER, text: str = "text", lang: str = "lang") -> DataFrame:
-    """``(lang, gram, logp)`` for every n-gram of the highest order that
-    occurs in ``docs``: its interpolated modified Kneser-Ney probability."""
-    top = materialize(count_ngrams(docs, order, text, lang), "ngrams")
+def fit_table(top: DataFrame, order: int) -> DataFrame:
+    """``fit_arrays`` as Spark joins, for models of any size: ``top(lang,
+    gram, n)`` -> ``(lang, gram, logp)``."""
     levels = [top]
     for k in range(order - 1, 0, -1):       # distinct left extensions
         shorter = F.col("gram").bitwiseAND((1 << 8 * k) - 1)
@@ -260,20 +285,21 @@ def log_perplexity(docs: DataFrame, order: int = ORDER, broadcast_rows: int = BR
     """Base statistics of every row and ``nll``, the negative log-probability
     of its text under the model of all of ``docs`` for each word; null for a
     text without words."""
-    model = materialize(fit(docs, order, text, lang), "model")
-    if model.count() <= broadcast_rows:
+    counts = materialize(count_ngrams(docs, order, text, lang), "ngrams")
+    if counts.count() <= broadcast_rows:
         arrays = {}
-        got = model.toArrow()
+        got = counts.toArrow()
         for x in got.column("lang").unique().to_pylist():
             own = got.filter(pa.compute.equal(got["lang"], x) if x is not None else pa.compute.is_null(got["lang"]))
-            keys = own["gram"].to_numpy().view(np.uint64)
+            keys, n = own["gram"].to_numpy().view(_U), own["n"].to_numpy()
             by = np.argsort(keys)
-            arrays[x] = keys[by], own["logp"].to_numpy()[by]
+            arrays[x] = keys[by], fit_arrays(keys[by], n[by], order)
+        del got
         shared = docs.sparkSession.sparkContext.broadcast(arrays)
         out = _statistics(docs, _Shared(shared), order, text, lang, id)
     else:
         base = materialize(_statistics(docs, None, order, text, lang, id).drop("logp"), "base")
-        out = base.join(_by_join(docs, model, order, text, lang),
+        out = base.join(_by_join(docs, fit_table(counts, order), order, text, lang),
                         F.col("lang").eqNullSafe(F.col("t_lang")) & (F.col("h") == F.col("t_h")), "left") \
             .withColumn("logp", F.col("mean") * F.col("n_grams")).drop("t_lang", "t_h", "mean")
     return out.withColumn("nll", F.when(F.col("n_words") > 0, -F.col("logp") / F.col("n_words"))).drop("logp")
