@@ -1,8 +1,9 @@
 """SentencePiece encoding and decoding by a batched numpy Viterbi search.
 
 A text is cut at its spaces into words (a space is the piece mark in front
-of a word); no piece of a model that splits at white space crosses such a
-cut, so the best segmentation of the text is that of its words. New words of
+of a word) and around line feeds and tabs that are in no piece; no piece of a
+model that splits at white space crosses such a cut, so the best segmentation
+of the text is that of its words. New words of
 a batch are grouped by length and each group advances together: polynomial
 prefix hashes give the hash of every substring, a binary search probes the
 sorted keys of the pieces of that length, and for each end position the
@@ -23,17 +24,18 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"             # fixed value: the piece mark that stands for a space
 UNKNOWN_PENALTY = 10.0      # fixed value: below the lowest piece score, as in the library's unigram search
-CACHE_WORDS = 400_000       # segmentations that a task keeps
-CHUNK_CHARS = 2_000_000     # text encoded at once
+CACHE_WORDS = 300_000       # segmentations that a task keeps
+CHUNK_CHARS = 1_000_000     # text encoded at once
+BLOCK_CELLS = 50_000        # words times length that advance together
 LONG = 64                   # a word longer than this is no candidate for the cache
 
-_WORDS = re.compile(" *[^ ]+| +")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -46,6 +48,7 @@ class Pieces:
     byte_ids: list = field(default_factory=list)
     unknown_score: float = 0.0
     surface: list = field(default_factory=list)     # bytes of each id
+    words: str = " *[^ ]+| +"                       # what a text is cut into
 
     @staticmethod
     def load(path: str = MODEL) -> "Pieces":
@@ -68,6 +71,10 @@ class Pieces:
                 piece = piece.replace(MARK, " ")
                 out.surface[i] = piece.encode()
                 by_length.setdefault(len(piece), []).append((piece, i, score))
+        used = set("".join(p for p, _ in rows))
+        breaks = "".join(re.escape(c) for c in "\n\r\t" if c not in used)
+        if breaks:      # no piece can cross a character that is in none
+            out.words = f" *[^ {breaks}]+| +|[{breaks}]"
         if -1 in out.byte_ids:
             raise ValueError("the model has no byte pieces")
         scores = [s for own in by_length.values() for _, _, s in own]
@@ -159,13 +166,13 @@ class Encoder:
     """Encodes texts; remembers the segmentation of short words."""
 
     def __init__(self, pieces: Pieces):
-        self.pieces, self.known = pieces, {}
+        self.pieces, self.known, self.cut = pieces, {}, re.compile(pieces.words).findall
 
     def words(self, text: str) -> list[str]:
         """A space goes before a text that is not empty. A literal piece
         mark has no piece of its own here, so it becomes bytes and is told
         from a space."""
-        return _WORDS.findall(" " + text) if text else []
+        return self.cut(" " + text) if text else []
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         cut = [self.words(t) for t in texts]
@@ -178,8 +185,8 @@ class Encoder:
             by_length.setdefault(len(w), []).append(w)
         got = self.known
         for size, own in by_length.items():
-            for i in range(0, len(own), max(1, 400_000 // size)):
-                part = own[i:i + max(1, 400_000 // size)]
+            for i in range(0, len(own), max(1, BLOCK_CELLS // size)):
+                part = own[i:i + max(1, BLOCK_CELLS // size)]
                 got.update(zip(part, viterbi(part, self.pieces)))
         out = [list(chain.from_iterable(map(got.__getitem__, ws))) for ws in cut]
         for size, own in by_length.items():
@@ -221,9 +228,9 @@ def encode(docs: DataFrame, model: str = MODEL, text: str = "text", id: str = "d
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Encoder(pieces)
         for b in batches:
-            texts = ["" if t is None else t for t in b.column(len(names)).to_pylist()]
-            for i, j in _slices([len(t) for t in texts]):
-                got = coder.encode(texts[i:j])
+            column = b.column(len(names))
+            for i, j in _slices(pa.compute.utf8_length(column).fill_null(0).to_pylist()):
+                got = coder.encode(["" if t is None else t for t in column.slice(i, j - i).to_pylist()])
                 n = np.array([len(x) for x in got], np.int64)
                 flat = np.fromiter(chain.from_iterable(got), np.int32, int(n.sum()))
                 ids = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(n)]).astype(np.int32), flat)
