@@ -361,7 +361,7 @@ def apply_rules(docs: DataFrame, order: int = ORDER, width: float = WIDTH, error
     scored = materialize(scored.withColumn("base_failed", failed), "scored")
     band = materialize(bands(scored), "bands")
     out = scored.join(F.broadcast(band), F.col("lang").eqNullSafe(F.col("b_lang")), "left")   # a row for each language
-    half = width * F.col("centre") + errors * F.col("sd") / F.sqrt("n_words")
+    half = width * F.col("centre") + errors * F.col("sd") / F.sqrt(F.greatest("n_words", F.lit(1)))
     out = out.withColumn("lower", F.col("centre") - half).withColumn("upper", F.col("centre") + half)
     return out.select("doc_id", "lang", *[c.split()[0] for c in _BASE.split(", ")], "base_failed", "nll", "lower", "upper",
                       F.coalesce(~F.col("base_failed") & F.col("nll").between(F.col("lower"), F.col("upper")),
