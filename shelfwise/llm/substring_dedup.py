@@ -13,10 +13,12 @@ for word equations", 2016):
    Beside each symbol stands the range of words its naming depended on. Inside
    equal substrings the symbols whose range lies inside are the same.
 2. Each window has an anchor: among the last round's symbols that its own
-   words determine, the one with the smallest hash. Equal windows have equal
-   anchors. (Windows inside periodic text may determine none; their own hash
-   is the anchor.) Spark groups the anchors of all documents; a repeat can
-   only be where an anchor occurs in two of them.
+   words determine, one of the longest (the one with the smallest hash); long
+   symbols are seldom shared by chance), with all words that its name
+   depended on. Equal windows have equal anchors.
+   (Windows inside periodic text may determine none; their own hash is the
+   anchor.) Spark groups the anchors of all documents; a repeat can only be
+   where an anchor occurs in two of them.
 3. In the documents with shared anchors the windows at those anchors are
    verified: a 128-bit hash of all words, grouped by Spark, gives the first
    document of each window.
@@ -38,7 +40,7 @@ from pyspark.sql import functions as F
 from .common import materialize, mix64, texts_of
 
 WINDOW = 50
-ROUNDS = 5
+ROUNDS = 6
 LONGEST = 12            # words of a symbol that still grows
 CHUNK_WORDS = 200_000   # words parsed at once (one longer text alone)
 _U = np.uint64
@@ -66,8 +68,7 @@ def recompress(words: np.ndarray, first: np.ndarray, rounds: int = ROUNDS, longe
             at = np.nonzero(np.concatenate([[True], ~same]))[0]
             k = np.diff(np.append(at, len(name)))
             end = at + k - 1
-            run = mix64(name[at] + _U(k) * _tag(r, "run")) if np.isscalar(k) else \
-                mix64(name[at] + k.astype(_U) * _tag(r, "run"))
+            run = mix64(name[at] + k.astype(_U) * _tag(r, "run"))
             name = np.where(k > 1, run, name[at])
             head, st, lo, en, hi = head[at], st[at], lo[at], en[end], hi[end]
         tail = np.append(head[1:], True)
@@ -115,6 +116,16 @@ def window_hashes(words: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarra
     return out[0], out[1]
 
 
+def _range_hashes(words: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Polynomial hashes of words[lo:hi], from sums with falling powers."""
+    base = int(_tag("base")) | 1
+    falling = np.full(len(words), pow(base, -1, 1 << 64), _U)
+    rising = np.full(len(words) + 1, base, _U)
+    falling[:1], rising[0] = 1, 1
+    sums = np.concatenate([np.zeros(1, _U), np.cumsum(mix64(words) * np.cumprod(falling))])
+    return mix64((sums[hi] - sums[lo]) * np.cumprod(rising)[lo])
+
+
 def anchors(words: np.ndarray, first: np.ndarray, window: int, rounds: int = ROUNDS):
     """For every window: (start, anchor, hash, second hash)."""
     n = len(words)
@@ -126,13 +137,17 @@ def anchors(words: np.ndarray, first: np.ndarray, window: int, rounds: int = ROU
         none = np.empty(0, _U)
         return i, none, none, none
     d1, d2 = window_hashes(words, window)
-    name, _, _, lo, hi = recompress(words, first, rounds)
+    name, st, en, lo, hi = recompress(words, first, rounds)
     a = np.searchsorted(lo, i, "left")
     b = np.searchsorted(hi, i + window, "right")
     out = mix64(d1[i] + _tag("window"))
     inside = b > a
-    # smallest hash over the symbols a..b-1: two overlapping powers of two
-    level, size = mix64(name), b - a
+    # Every window with this symbol as anchor holds the words that its name
+    # depends on, so these go into the anchor: fewer are shared by chance.
+    name = mix64(name + _range_hashes(words, np.maximum(lo, 0), np.minimum(hi, n)))
+    # least of the symbols a..b-1, by length downwards and hash: two overlapping powers of two
+    length = np.minimum(en - st, 255).astype(_U)
+    level, size = ((_U(255) - length) << _U(56)) | (name >> _U(8)), b - a
     width = 1
     while inside.any():
         own = inside & (size >= width) & (size < 2 * width)
