@@ -1,15 +1,17 @@
 """Chat formatting in a prefix tree.
 
-Conversations that begin with the same turns share tree nodes: a node is a
-turn after one certain sequence of turns. The formatted text of every node
-is written once, all trees depth-first one after another, in one coordinate
-(code points). Beside it stand what training needs to use the shared text:
-the position id of its first code point (as if the conversation stood
-alone), the intervals of its ancestors, which it attends to beside itself,
-and the spans under the loss mask.
-
-Depth-first order is the order of the nodes' key paths, so no tree has to be
-in one task: nodes are range-sorted and lengths prefix-summed by Spark.
+Conversations that begin with the same turns share the nodes of a tree: a
+node is a turn after one certain sequence of turns. Sorted by the keys of
+their nodes, the conversations follow each other depth-first, and each adds
+the turns that no earlier one has: its segment. So shared turns are written
+once, and all segments form one sequence (in code points). Beside a segment
+stand what training needs to use the shared text: the position id of its
+first code point (as if the conversation stood alone), the intervals of the
+sequence that are its ancestors, which it attends to beside itself, and the
+spans under the loss mask.
+
+No tree has to be in one task: conversations are range-sorted, lengths
+prefix-summed and node owners found by Spark. Rows grow with the turns.
 """
 
 from __future__ import annotations
@@ -58,65 +60,88 @@ def conversation_paths(turns: DataFrame) -> DataFrame:
     return conv.withColumn("path", F.aggregate("turns", F.array().cast("array<string>"), step))
 
 
+def _formatted(t: Column) -> Column:
+    return F.concat(F.lit(OPEN), escape(t["role"], ROLE_ESCAPES), F.lit(COLON), escape(t["text"]), F.lit(CLOSE))
+
+
+def _loss_spans(turns: Column, loss_role: str) -> Column:
+    """Spans of the escaped texts of ``loss_role``, from the start of the
+    turns; empty texts have none."""
+    head = lambda t: F.length(escape(t["role"], ROLE_ESCAPES)) + len(OPEN + COLON)
+    size = lambda t: F.length(escape(t["text"]))
+    step = lambda acc, t: F.struct(
+        (acc["at"] + head(t) + size(t) + len(CLOSE)).cast("bigint").alias("at"),
+        F.when((t["role"] == loss_role) & (size(t) > 0), F.concat(acc["spans"], F.array(F.struct(
+            (acc["at"] + head(t)).cast("bigint").alias("start"), (acc["at"] + head(t) + size(t)).cast("bigint").alias("end")))))
+        .otherwise(acc["spans"]).alias("spans"))
+    none = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans"))
+    return F.aggregate(turns, none, step, lambda acc: acc["spans"])
+
+
 def format_tree(turns: DataFrame, loss_role: str = LOSS_ROLE) -> tuple[DataFrame, DataFrame]:
     """``turns(conv_id, turn, role, text)`` -> (segments, leaves).
 
-    segments: ``(node, depth, text, start, end, position, attends, loss)``,
-    one row for each node: text is the formatted turn, [start, end) its place
-    in the depth-first sequence, position the position id of its start,
-    attends the [start, end) intervals of its ancestors from the root, loss
+    segments: ``(segment, text, start, end, position, attends, loss)``, one
+    row for each different conversation: segment is its number in
+    depth-first order, text its formatted turns that no earlier segment has,
+    [start, end) their place in the sequence, position the position id of
+    their start, attends the ``(segment, start, end)`` intervals of the
+    turns before them, each the beginning of an earlier segment, and loss
     the spans of the sequence under the loss mask (the escaped texts of
-    ``loss_role``). leaves: ``(conv_id, node)``, the node of each
-    conversation's last turn.
+    ``loss_role``). leaves: ``(conv_id, segment)``.
 
     A conversation's turns go by turn (null first), then role, then text;
     repeated rows are turns of their own; a null role or text is empty. Rows
     with a null conv_id are one conversation. Other columns are ignored and
     an empty table gives no rows.
     """
-    conv = materialize(conversation_paths(turns), "paths")
-    leaves = conv.select("conv_id", F.element_at("path", -1).alias("node"))
-    each = conv.select("path", F.posexplode("turns").alias("depth", "t")) \
-        .select("depth", F.element_at("path", F.col("depth") + 1).alias("node"),
-                F.slice("path", 1, F.col("depth") + 1).alias("path"), "t.role", "t.text")
-    nodes = each.groupBy("node").agg(F.first("depth").alias("depth"), F.first("path").alias("path"),
-                                     F.first("role").alias("role"), F.first("text").alias("body"))
-    role, body = escape(F.col("role"), ROLE_ESCAPES), escape(F.col("body"))
-    nodes = nodes.select("node", "depth", "path", F.concat(F.lit(OPEN), role, F.lit(COLON), body, F.lit(CLOSE)).alias("text"),
-                         F.when(F.col("role") == loss_role, F.length(role) + len(OPEN + COLON)).alias("loss_from"),
-                         F.length(body).alias("loss_length"))
-    placed = running_count(nodes.withColumn("chars", F.length("text")), [], [F.col("path")], flag=F.col("chars"), out="start")
-    placed = materialize(placed.withColumn("end", F.col("start") + F.col("chars")), "placed")
-    above = placed.select(F.col("node").alias("of"), F.posexplode("path").alias("at", "ancestor")) \
-        .where(F.col("of") != F.col("ancestor")) \
-        .join(placed.select(F.col("node").alias("a_node"), "start", "end"), F.col("ancestor") == F.col("a_node"))
-    above = above.groupBy("of").agg(F.sort_array(F.collect_list(F.struct("at", "start", "end"))).alias("up"))
-    loss = F.when(F.col("loss_from").isNotNull() & (F.col("loss_length") > 0), F.array(F.struct(
-        (F.col("start") + F.col("loss_from")).alias("start"),
-        (F.col("start") + F.col("loss_from") + F.col("loss_length")).alias("end")))) \
-        .otherwise(F.array().cast("array<struct<start:bigint,end:bigint>>"))
-    attends = F.transform("up", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
-    segments = placed.join(above, F.col("node") == F.col("of"), "left").select(
-        "node", "depth", "text", "start", "end",
-        F.coalesce(F.aggregate("up", F.lit(0).cast("bigint"), lambda s, x: s + x["end"] - x["start"]), F.lit(0))
-        .alias("position"),
-        F.coalesce(attends, F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("attends"), loss.alias("loss"))
+    conv = materialize(conversation_paths(turns).withColumn("leaf", F.element_at("path", -1)), "paths")
+    paths = conv.groupBy("leaf").agg(F.first("turns").alias("turns"), F.first("path").alias("path"))
+    paths = materialize(running_count(paths, [], [F.col("path")], out="segment"), "paths")
+    leaves = materialize(conv.select("conv_id", F.col("leaf").alias("c_leaf"))
+                         .join(paths.select("leaf", "segment"), F.col("c_leaf") == F.col("leaf"))
+                         .select("conv_id", "segment"), "leaves")
+    each = materialize(paths.select("segment", F.posexplode(F.arrays_zip("path", "turns")).alias("depth", "x"))
+                       .select("segment", "depth", F.col("x.path").alias("node"),
+                               F.length(_formatted(F.col("x.turns"))).cast("bigint").alias("chars")), "nodes")
+    owner = materialize(each.groupBy(F.col("node").alias("o_node")).agg(F.min("segment").alias("owner")), "owners")
+    parts = materialize(each.join(owner, F.col("node") == F.col("o_node")).groupBy("segment", "owner")
+                        .agg(F.min("depth").alias("depth"), F.sum("chars").alias("chars")), "parts")
+    own = parts.where("segment = owner").select(F.col("segment").alias("p_segment"), "depth", "chars")
+    placed = materialize(running_count(own, [], [F.col("p_segment")], flag=F.col("chars"), out="start"), "placed")
+    above = parts.where("segment <> owner").select(F.col("segment").alias("of"), "owner", F.col("depth").alias("at"),
+                                                   F.col("chars").alias("taken")) \
+        .join(placed.select("p_segment", "start"), F.col("owner") == F.col("p_segment")) \
+        .groupBy("of").agg(F.sort_array(F.collect_list(F.struct("at", "owner", "start", "taken"))).alias("up"))
+    new = F.slice("turns", F.col("depth") + 1, F.size("turns"))
+    shifted = F.transform(_loss_spans(new, loss_role), lambda x: F.struct(
+        (F.col("start") + x["start"]).alias("start"), (F.col("start") + x["end"]).alias("end")))
+    attends = F.transform("up", lambda x: F.struct(x["owner"].alias("segment"), x["start"].alias("start"),
+                                                   (x["start"] + x["taken"]).alias("end")))
+    none = F.array().cast("array<struct<segment:bigint,start:bigint,end:bigint>>")
+    segments = paths.join(placed, F.col("segment") == F.col("p_segment")) \
+        .join(above, F.col("segment") == F.col("of"), "left") \
+        .select("segment", F.array_join(F.transform(new, _formatted), "").alias("text"), "start",
+                (F.col("start") + F.col("chars")).alias("end"),
+                F.coalesce(F.aggregate("up", F.lit(0).cast("bigint"), lambda s, x: s + x["taken"]), F.lit(0)).alias("position"),
+                F.coalesce(attends, none).alias("attends"), shifted.alias("loss"))
     return materialize(segments, "segments"), leaves
 
 
 def read_back(segments: DataFrame, leaves: DataFrame) -> DataFrame:
     """``(conv_id, formatted, turns array<struct<role, text>>, loss_texts
     array<string>)`` of every conversation, from the written tree alone: the
-    leaf's ancestor intervals and the leaf itself, in order; loss_texts are
-    the unescaped texts under the mask."""
-    last = leaves.join(segments.select(F.col("node").alias("l_node"), "start", "end", "attends"),
-                       F.col("node") == F.col("l_node"))
-    seen = last.select("conv_id", F.explode(F.concat("attends", F.array(F.struct("start", "end")))).alias("seen"))
-    parts = seen.join(segments.select(F.col("start").alias("s_start"), "text", "loss"),
-                      F.col("seen.start") == F.col("s_start"))
-    masked = F.transform("loss", lambda x: unescape(F.col("text").substr(
-        (x["start"] - F.col("s_start") + 1).cast("int"), (x["end"] - x["start"]).cast("int"))))
-    conv = parts.select("conv_id", F.struct(F.col("s_start").alias("at"), "text", masked.alias("masked")).alias("p")) \
+    intervals that its segment attends to and the segment itself, in order;
+    loss_texts are the unescaped texts under the mask."""
+    last = leaves.join(segments.select(F.col("segment").alias("l_segment"), "start", "end", "attends"),
+                       F.col("segment") == F.col("l_segment"))
+    seen = last.select("conv_id", F.explode(F.concat("attends", F.array(F.struct("segment", "start", "end")))).alias("seen"))
+    parts = seen.join(segments.select("segment", "start", "text", "loss"), F.col("seen.segment") == F.col("segment"))
+    at = lambda x: (x - F.col("start") + 1).cast("int")
+    masked = F.transform(F.filter("loss", lambda x: x["end"] <= F.col("seen.end")), lambda x: unescape(
+        F.col("text").substr(at(x["start"]), (x["end"] - x["start"]).cast("int"))))
+    text = F.col("text").substr(F.lit(1), (F.col("seen.end") - F.col("start")).cast("int"))
+    conv = parts.select("conv_id", F.struct(F.col("start").alias("at"), text.alias("text"), masked.alias("masked")).alias("p")) \
         .groupBy("conv_id").agg(F.sort_array(F.collect_list("p")).alias("p"))
     formatted = F.array_join(F.transform("p", lambda x: x["text"]), "")
     raw = F.filter(F.split("formatted", CLOSE, -1), lambda x: x != "")

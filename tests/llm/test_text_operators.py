@@ -242,7 +242,7 @@ def chat_rows():
 def test_chat_tree_round_trip(spark):
     rows = chat_rows()
     df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(5)
-    df = df.withColumns({c: F.lit("clash") for c in ("node", "path", "start", "t", "p", "loss")})
+    df = df.withColumns({c: F.lit("clash") for c in ("node", "path", "start", "t", "p", "loss", "segment", "leaf")})
     segments, leaves = chat_tree.format_tree(df)
     conv = defaultdict(list)
     for c, k, r, t in rows:
@@ -256,22 +256,25 @@ def test_chat_tree_round_trip(spark):
         assert "".join(got[c]["loss_texts"]) == "".join(t for _, r, t in v if r == "assistant")
     # every shared beginning is written once, depth-first without gaps
     seg = sorted(segments.collect(), key=lambda s: s["start"])
-    prefixes = {tuple(x[1:] for x in v[:k + 1]) for v in conv.values() for k in range(len(v))}
-    assert len(seg) == len(prefixes)
+    assert len(seg) == len({tuple(x[1:] for x in v) for v in conv.values()})
+    nodes = {tuple(x[1:] for x in v[:k + 1]) for v in conv.values() for k in range(len(v))}
+    assert sum(s["text"].count(chat_tree.CLOSE) for s in seg) == len(nodes)
     whole = "".join(s["text"] for s in seg)
     at = 0
-    for s in seg:
-        assert s["start"] == at and s["end"] == at + len(s["text"])
+    for k, s in enumerate(seg):
+        assert s["segment"] == k and s["start"] == at and s["end"] == at + len(s["text"])
         at = s["end"]
-        assert s["position"] == sum(a["end"] - a["start"] for a in s["attends"]) and len(s["attends"]) == s["depth"]
+        assert s["position"] == sum(a["end"] - a["start"] for a in s["attends"])
         assert all(s["start"] < x["start"] < x["end"] < s["end"] for x in s["loss"])
-        # depth-first: what lies between the nearest ancestor and here hangs below it
+        for a in s["attends"]:
+            o = seg[a["segment"]]
+            assert a["start"] == o["start"] and whole[:a["end"]].endswith(chat_tree.CLOSE) and a["end"] <= o["end"]
+        # depth-first: what lies between the nearest ancestor and here hangs below its beginning
         if s["attends"]:
-            up = s["attends"][-1]
-            assert all(up in o["attends"] for o in seg if up["end"] <= o["start"] < s["start"])
-    by = {s["node"]: s for s in seg}
+            up = s["attends"][-1]["segment"]
+            assert all(up in [a["segment"] for a in o["attends"]] for o in seg[up + 1:k])
     for r in leaves.collect():
-        s = by[r["node"]]
+        s = seg[r["segment"]]
         path = [*((a["start"], a["end"]) for a in s["attends"]), (s["start"], s["end"])]
         assert "".join(whole[a:b] for a, b in path) == got[r["conv_id"]]["formatted"]
 
