@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
+
 # Comparison operators accepted by the threshold queries.
 COMPARATORS = {
     ">": lambda c, v: c > v,
@@ -39,13 +41,6 @@ def safe_divide(num: Column, den: Column, default: float = 0.0) -> Column:
     return F.coalesce(F.try_divide(num.cast("double"), den.cast("double")), F.lit(default))
 
 
-def col_or(df: DataFrame, name: str, default) -> Column:
-    """The column ``name`` when ``df`` has it, else a literal."""
-    if name in df.columns:
-        return F.col(name)
-    return F.lit(default)
-
-
 def order_by(*spec: tuple[str, str]) -> list[Column]:
     """Sort expressions from ``(column, 'asc'|'desc')`` pairs, nulls last."""
     out = []
@@ -78,17 +73,10 @@ def top_n_per_group(df: DataFrame, keys: Sequence[str], n: int, order: Sequence[
                     rank_col: str = "rank") -> DataFrame:
     """First ``n`` rows per key group; ``row_number() <= n`` is planned as a
     WindowGroupLimit, which trims every map task to ``n`` rows per key
-    before the shuffle, so a hot key never reaches one task whole."""
+    before the shuffle, so a hot key never reaches one task whole. The
+    optimizer does so up to a threshold, which is raised to ``n`` if lower."""
+    conf = df.sparkSession.conf
+    if n > int(conf.get(GROUP_LIMIT_CONF)):
+        conf.set(GROUP_LIMIT_CONF, str(n))
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= n)
-
-
-def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double column (output shaping for exact comparisons)."""
-    exprs = []
-    for f in df.schema.fields:
-        if f.dataType.typeName() in ("double", "float"):
-            exprs.append(F.round(F.col(f.name), digits).alias(f.name))
-        else:
-            exprs.append(F.col(f.name))
-    return df.select(*exprs)

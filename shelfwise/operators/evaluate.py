@@ -13,77 +13,91 @@ from .collab import user_cf
 DEFAULT_K = 10
 DEFAULT_TEST_RATIO = 0.2
 DEFAULT_SEED = 42
+ARITH_STEPS = 1_000_003     # a prime
 
 
-def split_bucket(keys: list[str], seed: int = DEFAULT_SEED, method: str = "hash") -> Column:
-    """E5: a deterministic bucket 0..99 per row from its key columns.
+def split_fraction(keys: list[str], seed: int = DEFAULT_SEED, method: str = "hash") -> Column:
+    """E5: a deterministic number in [0, 1) per row from its key columns.
 
-    ``hash`` (default) works for any id type; ``arith`` is plain integer
-    arithmetic on numeric ids that a SQL engine reproduces exactly.
+    ``hash`` (default) has 2**32 steps and works for any id type; ``arith``
+    is plain integer arithmetic on numeric ids, modulo a prime, that a SQL
+    engine reproduces exactly.
     """
     if method == "hash":
-        return F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)), F.lit(100))
+        steps = 1 << 32
+        return F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)), F.lit(steps)) / F.lit(float(steps))
     if method == "arith":
-        expr = F.lit(seed)
+        expr = F.lit(seed).cast("bigint")
         for i, k in enumerate(keys):
             expr = expr + F.col(k) * F.lit([7919, 104729, 1299709][i % 3])
-        return F.pmod(expr, F.lit(100))
+        return F.pmod(expr, F.lit(ARITH_STEPS)) / F.lit(float(ARITH_STEPS))
     raise ValueError(f"unknown split method: {method}")
 
 
 def train_test_split(df: DataFrame, keys: list[str], test_ratio: float = DEFAULT_TEST_RATIO,
                      seed: int = DEFAULT_SEED, method: str = "hash") -> tuple[DataFrame, DataFrame]:
-    """E5: rows go to test when their bucket < 100 * ratio; same rows on
-    every run and every retry (unlike an unseeded random split)."""
-    bucket = split_bucket(keys, seed, method)
-    cut = int(round(100 * test_ratio))
-    return df.where(bucket >= cut), df.where(bucket < cut)
+    """E5: rows go to test when their fraction is below ``test_ratio``; same
+    rows on every run and every retry (unlike an unseeded random split)."""
+    fraction = split_fraction(keys, seed, method)
+    return df.where(fraction >= test_ratio), df.where(fraction < test_ratio)
 
 
 def split_counts(df: DataFrame, keys: list[str], test_ratio: float = DEFAULT_TEST_RATIO,
                  seed: int = DEFAULT_SEED, method: str = "hash") -> DataFrame:
     """E5 summary: rows and distinct first-key values per side."""
-    cut = int(round(100 * test_ratio))
-    side = F.when(split_bucket(keys, seed, method) < cut, F.lit("test")).otherwise(F.lit("train"))
+    side = F.when(split_fraction(keys, seed, method) < test_ratio, F.lit("test")).otherwise(F.lit("train"))
     return (df.withColumn("split", side).groupBy("split")
             .agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(keys[0]).alias("distinct_keys")))
 
 
-def precision_recall_at_k(actual: DataFrame, predicted: DataFrame, k: int = DEFAULT_K) -> DataFrame:
-    """E1/E2 per user. ``predicted`` has (customer_id, product_id, rank);
-    ``actual`` has (customer_id, product_id) and is cut to its first ``k``
-    by product id. Users with no actual or no predicted item are absent
-    (their metric is 0 by definition)."""
-    a = top_n_per_group(actual.select("customer_id", "product_id").distinct(), ["customer_id"], k,
-                        order_by(("product_id", "asc")), rank_col="_ar").drop("_ar")
-    p = predicted.where(F.col("rank") <= k).select("customer_id", "product_id").distinct()
-    hits = a.join(p, ["customer_id", "product_id"]).groupBy("customer_id").agg(F.count(F.lit(1)).alias("hits"))
-    na = a.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n_actual"))
-    np_ = p.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n_predicted"))
-    h = F.coalesce(F.col("hits"), F.lit(0))
-    return (na.join(np_, "customer_id").join(hits, "customer_id", "left")
-            .select("customer_id", h.alias("hits"), "n_actual", "n_predicted",
-                    (h / F.col("n_predicted")).alias("precision"),
-                    (h / F.col("n_actual")).alias("recall")))
+def precision_recall_at_k(actual: DataFrame, predicted: DataFrame, k: int = DEFAULT_K,
+                          cut_actual: bool = False) -> DataFrame:
+    """E1/E2 for every user of ``actual(customer_id, product_id)``.
 
-
-def evaluate_user_cf(reviews_or_inter: DataFrame, products: DataFrame, test_ratio: float = DEFAULT_TEST_RATIO,
-                     k: int = DEFAULT_K, seed: int = DEFAULT_SEED, method: str = "hash") -> DataFrame:
-    """User-based CF fitted on the train split (neighbours and
-    exclusions from train only), scored on every test user's held-out
-    items: mean precision@k and recall@k over users with both lists."""
+    ``predicted`` has (customer_id, product_id, rank) and counts up to rank
+    ``k``. All actual items count; with ``cut_actual`` (the list helpers'
+    rule) only the first ``k`` by product id. A user without predicted items
+    scores 0. One row of flags for each (user, product) and one aggregate by
+    user; neither side is joined.
+    """
+    a = actual.select("customer_id", "product_id")
+    if cut_actual:
+        a = top_n_per_group(a.distinct(), ["customer_id"], k, order_by(("product_id", "asc")), rank_col="_ar").drop("_ar")
+    flags = a.select("customer_id", "product_id", F.lit(1).alias("_a"), F.lit(0).alias("_p")).unionByName(
+        predicted.where(F.col("rank") <= k).select("customer_id", "product_id", F.lit(0).alias("_a"), F.lit(1).alias("_p")))
+    per_item = flags.groupBy("customer_id", "product_id").agg(F.max("_a").alias("_a"), F.max("_p").alias("_p"))
+    per_user = per_item.groupBy("customer_id").agg(F.sum(F.col("_a") * F.col("_p")).alias("hits"),
+                                                   F.sum("_a").alias("n_actual"), F.sum("_p").alias("n_predicted"))
+    return per_user.where("n_actual > 0").select(
+        "customer_id", "hits", "n_actual", "n_predicted",
+        safe_divide(F.col("hits"), F.col("n_predicted")).alias("precision"),
+        safe_divide(F.col("hits"), F.col("n_actual")).alias("recall"))
+
+
+def user_cf_precision_recall(reviews_or_inter: DataFrame, products: DataFrame, test_ratio: float = DEFAULT_TEST_RATIO,
+                             k: int = DEFAULT_K, seed: int = DEFAULT_SEED, method: str = "hash") -> DataFrame:
+    """E1/E2 of user-based CF for every test user: fitted on the train split
+    (neighbours and exclusions from train only), scored on all held-out
+    items of the user."""
     inter = reviews_or_inter.select("customer_id", "product_id").where(
         F.col("customer_id").isNotNull() & F.col("product_id").isNotNull()).distinct()
-    # both splits and the test-user count read one written copy
+    # both splits read one written copy
     inter = materialize(inter, "interactions")
     train, test = train_test_split(inter, ["customer_id", "product_id"], test_ratio, seed, method)
     recs = user_cf(train, products, k, persist=False).select("customer_id", "product_id", "rank")
-    per_user = precision_recall_at_k(test, recs, k)
-    total = test.select(F.count_distinct("customer_id")).scalar()
+    return precision_recall_at_k(test, recs, k)
+
+
+def evaluate_user_cf(reviews_or_inter: DataFrame, products: DataFrame, test_ratio: float = DEFAULT_TEST_RATIO,
+                     k: int = DEFAULT_K, seed: int = DEFAULT_SEED, method: str = "hash") -> DataFrame:
+    """Mean precision@k and recall@k over the test users that have
+    recommendations, and how many these are of all test users."""
+    per_user = user_cf_precision_recall(reviews_or_inter, products, test_ratio, k, seed, method)
+    has = F.col("n_predicted") > 0
     return per_user.agg(
-        F.coalesce(F.avg("precision"), F.lit(0.0)).alias("precision_at_k"),
-        F.coalesce(F.avg("recall"), F.lit(0.0)).alias("recall_at_k"),
-        F.count(F.lit(1)).alias("users_evaluated")).withColumn("test_users_total", total)
+        F.coalesce(F.avg(F.when(has, F.col("precision"))), F.lit(0.0)).alias("precision_at_k"),
+        F.coalesce(F.avg(F.when(has, F.col("recall"))), F.lit(0.0)).alias("recall_at_k"),
+        F.count(F.when(has, 1)).alias("users_evaluated"), F.count(F.lit(1)).alias("test_users_total"))
 
 
 def diversity(recs: DataFrame, by: str | None = "customer_id") -> DataFrame:
@@ -112,15 +126,19 @@ def mean_baseline_predictions(train: DataFrame, test: DataFrame) -> DataFrame:
     """Predict each test rating by the product's train mean, else the
     global train mean (a plain baseline for E7)."""
     global_mean = train.select(F.avg("rating")).scalar()
-    means = train.groupBy("product_id").agg(F.avg("rating").alias("_m"))
+    # written first: the join then has two plain exchanges, and a product with
+    # very many test rows can be split
+    means = materialize(train.groupBy("product_id").agg(F.avg("rating").alias("_m")), "means")
     return (test.join(means, "product_id", "left")
             .withColumn("prediction", F.coalesce(F.col("_m"), global_mean)).drop("_m"))
 
 
-def category_distribution(products: DataFrame, top: int = 10) -> DataFrame:
-    """Product count per category, largest ``top`` categories."""
+def category_distribution(products: DataFrame, top: int | None = None) -> DataFrame:
+    """Product count of every category, largest first; only the
+    ``top`` largest if given."""
     counts = products.groupBy("category").agg(F.count(F.lit(1)).alias("count"))
-    return counts.orderBy(F.col("count").desc(), F.col("category").asc_nulls_last()).limit(top)
+    counts = counts.orderBy(F.col("count").desc(), F.col("category").asc_nulls_last())
+    return counts.limit(top) if top else counts
 
 
 def rating_distribution(reviews: DataFrame) -> DataFrame:
