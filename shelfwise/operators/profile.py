@@ -7,11 +7,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from ..functions.columns import safe_divide
+from ..functions.columns import order_by, safe_divide
 
 DEFAULT_FRACTION = 0.1
 DEFAULT_SEED = 42
-DISPLAY_COLUMNS = ["product_id", "title", "category", "average_rating", "sales_rank"]
+DISPLAY_COLUMNS = ["product_id", "title", "category", "average_rating", "review_count", "sales_rank"]
 
 
 def sample(df: DataFrame, fraction: float = DEFAULT_FRACTION, seed: int = DEFAULT_SEED) -> DataFrame:
@@ -53,9 +53,11 @@ def safe_ratio(num, den, default: float = 0.0):
 
 
 def display_join(recs: DataFrame, products: DataFrame, score_cols: list[str] | None = None) -> DataFrame:
-    """U4: recommendations with catalogue display columns; only the key
-    and score columns of ``recs`` are kept, so no name is ambiguous."""
+    """U4: recommendations with the catalogue's display columns, best rated
+    first, then by sales rank; only the key and score columns of ``recs``
+    are kept, so no name is ambiguous."""
     keep = [c for c in recs.columns if c not in DISPLAY_COLUMNS or c == "product_id"]
     if score_cols is not None:
         keep = ["product_id", *score_cols]
-    return recs.select(*keep).join(products.select(*DISPLAY_COLUMNS), "product_id")
+    return (recs.select(*keep).join(products.select(*DISPLAY_COLUMNS), "product_id")
+            .orderBy(*order_by(("average_rating", "desc"), ("sales_rank", "asc"), ("product_id", "asc"))))
