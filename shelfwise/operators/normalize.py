@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import safe_int
+from ..schemas import RAW_JSON_PRODUCT
 
 # Fixed values of the catalogue format.
 DEFAULT_TITLE = "Unknown"
@@ -112,47 +113,53 @@ def dedupe_products(products: DataFrame) -> DataFrame:
     return best.select(*[F.col("_best._row").getField(c).alias(c) for c in products.columns])
 
 
+# Canonical columns that a source may lack: type, and value where it is NULL.
+CANONICAL_FILL = {
+    "title": ("string", DEFAULT_TITLE), "category": ("string", LOADER_CATEGORY),
+    "sales_rank": ("bigint", DEFAULT_RANK), "image_url": ("string", ""), "description": ("string", DEFAULT_DESCRIPTION),
+    "price": ("double", DEFAULT_PRICE), "brand": ("string", DEFAULT_BRAND), "similar_products": ("array<string>", None),
+    "category_count": ("int", 0), "review_count": ("bigint", 0), "average_rating": ("double", PRIOR_AVERAGE),
+}
+
+
+def fill_canonical(df: DataFrame, **defaults) -> DataFrame:
+    """The canonical products table from rows with a ``product_id``
+    and any of the canonical columns. Absent and NULL values get the
+    defaults (those given here first), rows without an id go, and one row
+    stays for each id."""
+    def filled(name: str) -> Column:
+        kind, value = CANONICAL_FILL[name]
+        value = defaults.get(name, value)
+        default = F.array().cast(kind) if value is None else F.lit(value).cast(kind)
+        return (F.coalesce(F.col(name).cast(kind), default) if name in df.columns else default).alias(name)
+
+    rows = df.where(F.col("product_id").isNotNull() & (F.col("product_id") != ""))
+    return dedupe_products(rows.select("product_id", F.col("product_id").alias("asin"),
+                                       *[filled(name) for name in CANONICAL_FILL]))
+
+
+def complete_raw(raw: DataFrame) -> DataFrame:
+    """``raw`` with every field of the JSON catalogue schema: columns that a
+    source was inferred without are typed NULLs."""
+    return raw.select(*[F.col(f.name) if f.name in raw.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                        for f in RAW_JSON_PRODUCT.fields])
+
+
 def products_from_raw(raw: DataFrame, category_default: str = LOADER_CATEGORY,
                       rank_key: str = RANK_KEY, default_rank: int = DEFAULT_RANK,
                       related_mode: str = "priority") -> DataFrame:
     """Canonical products from raw JSON catalogue rows.
 
-    Missing raw columns fall back to literals (schema-adaptive projection).
     ``review_count``/``average_rating`` start at 0 / 4.0 and are replaced
     by ``enrich_review_stats`` once reviews exist.
     """
-    cols = set(raw.columns)
-
-    def has(name):
-        return name in cols
-
-    title = (F.coalesce(F.col("title"), F.lit(DEFAULT_TITLE)) if has("title")
-             else F.lit(MISSING_TITLE))
-    related = F.col("related")
-    similar = ((related_priority(related) if related_mode == "priority" else related_merge(related))
-               if has("related") else F.array().cast("array<string>"))
-    out = raw.select(
-        F.col("asin").alias("product_id"),
-        F.col("asin").alias("asin"),
-        title.alias("title"),
-        (first_category(F.col("categories"), category_default) if has("categories")
-         else F.lit(category_default)).alias("category"),
-        (sales_rank(F.col("salesRank"), rank_key, default_rank) if has("salesRank")
-         else F.lit(default_rank).cast("bigint")).alias("sales_rank"),
-        (F.coalesce(F.col("imUrl"), F.lit("")) if has("imUrl") else F.lit("")).alias("image_url"),
-        (F.coalesce(F.col("description"), F.lit(DEFAULT_DESCRIPTION)) if has("description")
-         else F.lit(DEFAULT_DESCRIPTION)).alias("description"),
-        (F.coalesce(F.col("price").cast("double"), F.lit(DEFAULT_PRICE)) if has("price")
-         else F.lit(DEFAULT_PRICE)).alias("price"),
-        (F.coalesce(F.col("brand"), F.lit(DEFAULT_BRAND)) if has("brand")
-         else F.lit(DEFAULT_BRAND)).alias("brand"),
-        similar.alias("similar_products"),
-        (category_count(F.col("categories")) if has("categories") else F.lit(0)).alias("category_count"),
-        F.lit(0).cast("bigint").alias("review_count"),
-        F.lit(PRIOR_AVERAGE).alias("average_rating"))
-    out = out.where(F.col("product_id").isNotNull() & (F.col("product_id") != "")
-                    & F.col("title").isNotNull())
-    return dedupe_products(out)
+    related = related_priority if related_mode == "priority" else related_merge
+    typed = complete_raw(raw).select(
+        F.col("asin").alias("product_id"), "title", F.col("imUrl").alias("image_url"), "description", "price", "brand",
+        first_category(F.col("categories"), category_default).alias("category"),
+        sales_rank(F.col("salesRank"), rank_key, default_rank).alias("sales_rank"),
+        related(F.col("related")).alias("similar_products"), category_count(F.col("categories")).alias("category_count"))
+    return fill_canonical(typed, title=DEFAULT_TITLE if "title" in raw.columns else MISSING_TITLE)
 
 
 def reviews_from_raw(raw: DataFrame) -> DataFrame:
@@ -220,13 +227,15 @@ def parser_products(raw: DataFrame) -> DataFrame:
         F.when(given != 0.0, given).otherwise(mean).alias("avg_rating"))
 
 
+def parser_to_canonical(parsed: DataFrame) -> DataFrame:
+    """Map the tolerant parsers' product fields to the canonical table."""
+    names = {"asin": "product_id", "group": "category", "salesrank": "sales_rank", "similar": "similar_products",
+             "categories_count": "category_count", "reviews_total": "review_count", "avg_rating": "average_rating"}
+    typed = parsed.select(*[F.col(old).alias(new) for old, new in names.items()], "title")
+    return fill_canonical(typed, category=PARSER_CATEGORY)
+
+
 def text_to_canonical(parsed: DataFrame) -> DataFrame:
-    """Map block-text field names to the canonical products vocabulary."""
-    return parsed.select(
-        F.col("asin").alias("product_id"), "asin", "title",
-        F.col("group").alias("category"),
-        F.col("salesrank").alias("sales_rank"),
-        F.coalesce(F.col("similar"), F.array().cast("array<string>")).alias("similar_products"),
-        F.col("categories_count").alias("category_count"),
-        F.col("reviews_total").alias("review_count"),
-        F.col("avg_rating").alias("average_rating"))
+    """Block-text records as the canonical products table (the format has
+    the tolerant parser's field names, and no price, brand or description)."""
+    return parser_to_canonical(parsed)

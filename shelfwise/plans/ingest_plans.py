@@ -6,10 +6,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import normalize
+from ..functions.columns import order_by
+from ..functions.sequence import running_count
+from ..operators import normalize, recommend, search
+from ..session import materialize
 from ..sources import json_catalog, text_catalog
 from ..sources.testdata import block_records_from_part, json_lines_from_part
-from .registry import plan
+from .registry import PLANS, plan
 
 JSON_STATUS = """
 st AS (SELECT p.*, p.p_partkey AS pk,
@@ -31,6 +34,11 @@ def _parallelism(spark) -> int:
     return spark.sparkContext.defaultParallelism
 
 
+def _text_records(spark, d, records=None):
+    records = block_records_from_part(spark, d) if records is None else records
+    return text_catalog.parse_block_records(records, min_partitions=_parallelism(spark))
+
+
 def _parsed(spark, d):
     return json_catalog.parse_catalog_lines(json_lines_from_part(spark, d), min_partitions=_parallelism(spark))
 
@@ -47,9 +55,13 @@ SELECT 'P' || pk AS product_id, 'P' || pk AS asin,
        coalesce(rs.n, 0) AS review_count, round(coalesce(rs.a, 4.0), 6) AS average_rating
 FROM acc LEFT JOIN rs USING (pk)"""))
 def q_json_ingest(spark, d):
-    parsed = json_catalog.accepted(_parsed(spark, d))
+    # read by products and reviews: parsed once; every third line comes twice
+    lines = json_lines_from_part(spark, d)
+    lines = lines.unionByName(lines.where(F.pmod(F.length("value"), F.lit(3)) == 0))
+    parsed = materialize(json_catalog.accepted(json_catalog.parse_catalog_lines(lines, min_partitions=_parallelism(spark))),
+                         "parsed")
     products = normalize.products_from_raw(parsed)
-    reviews = normalize.reviews_from_raw(parsed)
+    reviews = normalize.reviews_from_raw(parsed).distinct()
     return normalize.enrich_review_stats(products, reviews)
 
 
@@ -82,6 +94,15 @@ def q_parser_products(spark, d):
     return normalize.parser_products(json_catalog.accepted(_parsed(spark, d)))
 
 
+@plan("parser_canonical", f"""
+SELECT product_id, asin, title, "group" AS category, salesrank AS sales_rank, '' AS image_url,
+       'No description' AS description, CAST(0.0 AS DOUBLE) AS price, 'Unknown' AS brand, "similar" AS similar_products,
+       categories_count AS category_count, reviews_total AS review_count, avg_rating AS average_rating
+FROM ({PLANS["parser_products"].sql})""")
+def q_parser_canonical(spark, d):
+    return normalize.parser_to_canonical(normalize.parser_products(json_catalog.accepted(_parsed(spark, d))))
+
+
 TEXT_SQL = """
 SELECT p_partkey AS source_id, 'B' || p_partkey AS asin,
        CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE p_name END AS title,
@@ -99,30 +120,63 @@ FROM part"""
 
 @plan("text_ingest", TEXT_SQL)
 def q_text_ingest(spark, d):
-    return text_catalog.parse_block_records(block_records_from_part(spark, d), min_partitions=_parallelism(spark)).drop("reviews")
+    return _text_records(spark, d).drop("reviews")
+
+
+TEXT_REVIEW_LINES = """
+FROM (SELECT p_partkey AS pk, unnest(range(p_partkey % 3)) AS i FROM part WHERE p_partkey % 13 <> 0)"""
 
 
 @plan("text_reviews", """
 SELECT 'B' || pk AS product_id, 'C' || ((pk * 3 + i) % 40) AS customer_id, CAST((pk + i) % 5 + 1 AS DOUBLE) AS rating,
-       strftime(make_date(2001, CAST(i + 1 AS INTEGER), CAST(pk % 28 + 1 AS INTEGER)), '%Y-%m-%d') AS review_date,
-       CAST(i AS BIGINT) AS helpful_votes, CAST(i + 2 AS BIGINT) AS total_votes
-FROM (SELECT p_partkey AS pk, unnest(range(p_partkey % 3)) AS i FROM part WHERE p_partkey % 13 <> 0)""")
+       CASE WHEN pk % 17 <> 0 THEN strftime(make_date(2001, CAST(i + 1 AS INTEGER), CAST(pk % 28 + 1 AS INTEGER)), '%Y-%m-%d')
+       END AS review_date,
+       CASE WHEN pk % 17 = 0 THEN '2001-2-30' ELSE '2001-' || (i + 1) || '-' || (pk % 28 + 1) END AS review_date_text,
+       CAST(i AS BIGINT) AS helpful_votes, CASE WHEN pk % 19 <> 0 THEN CAST(i + 2 AS BIGINT) END AS total_votes"""
+      + TEXT_REVIEW_LINES)
 def q_text_reviews(spark, d):
-    return text_catalog.block_reviews(text_catalog.parse_block_records(block_records_from_part(spark, d), min_partitions=_parallelism(spark)))
+    return text_catalog.block_reviews(_text_records(spark, d))
 
 
-@plan("text_canonical", """
-SELECT 'B' || p_partkey AS product_id, 'B' || p_partkey AS asin,
-       CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE p_name END AS title,
-       CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE p_type END AS category,
-       CASE WHEN p_partkey % 13 = 0 OR p_partkey % 9 = 0 THEN NULL ELSE CAST(p_size * 1000 AS BIGINT) END AS sales_rank,
-       CASE WHEN p_partkey % 13 = 0 OR p_partkey % 4 = 0 THEN ''
-            ELSE array_to_string(list_transform(range(1, p_partkey % 4 + 1), lambda i: 'S' || (p_partkey + i)), ',')
-       END AS similar_products,
-       CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE CAST(p_partkey % 3 AS BIGINT) END AS category_count,
-       CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE CAST(p_partkey % 3 AS BIGINT) END AS review_count,
-       CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE round(p_size / 10, 6) END AS average_rating
-FROM part""")
+@plan("text_review_line_counts", """
+SELECT count(*) AS review_lines, count(*) FILTER (pk % 17 = 0) AS bad_dates, count(*) FILTER (pk % 19 = 0) AS bad_numbers"""
+      + TEXT_REVIEW_LINES)
+def q_text_review_line_counts(spark, d):
+    return text_catalog.review_line_counts(_text_records(spark, d))
+
+
+TEXT_CANONICAL_SQL = f"""
+SELECT asin AS product_id, asin, coalesce(title, 'Unknown') AS title, coalesce("group", 'General') AS category,
+       coalesce(salesrank, 9999999) AS sales_rank, '' AS image_url, 'No description' AS description,
+       CAST(0.0 AS DOUBLE) AS price, 'Unknown' AS brand, coalesce("similar", '') AS similar_products,
+       coalesce(categories_count, 0) AS category_count, coalesce(reviews_total, 0) AS review_count,
+       coalesce(avg_rating, 4.0) AS average_rating
+FROM ({TEXT_SQL})"""
+
+
+def _text_products(spark, d):
+    """Canonical products of the block text, some records of which come twice."""
+    records = block_records_from_part(spark, d)
+    again = records.where(F.pmod(F.length("value"), F.lit(3)) == 0)
+    return normalize.text_to_canonical(_text_records(spark, d, records.unionByName(again)))
+
+
+@plan("text_canonical", TEXT_CANONICAL_SQL)
 def q_text_canonical(spark, d):
-    parsed = text_catalog.parse_block_records(block_records_from_part(spark, d), min_partitions=_parallelism(spark))
-    return normalize.text_to_canonical(parsed).where(F.col("product_id").isNotNull())
+    return _text_products(spark, d)
+
+
+@plan("text_catalog_search", f"""
+WITH c AS ({TEXT_CANONICAL_SQL})
+SELECT 'filter' AS kind, product_id, row_number() OVER (ORDER BY sales_rank, product_id) AS rank
+FROM c WHERE average_rating >= 2.0 AND sales_rank <= 40000 AND price <= 10.0
+UNION ALL
+SELECT 'popular', product_id, row_number() OVER (ORDER BY sales_rank, average_rating DESC, product_id) AS rank
+FROM c WHERE average_rating >= 3.5 OR sales_rank <= 100000 QUALIFY rank <= 10""")
+def q_text_catalog_search(spark, d):
+    products = materialize(_text_products(spark, d), "text-products")
+    found = search.search(products, "complex", min_rating=2.0, max_salesrank=40_000, max_price=10.0)
+    found = running_count(found.select("sales_rank", "product_id"), [], order_by(*search.BY_RANK), out="rank")
+    popular = recommend.popularity(products, None, 10)
+    return found.select(F.lit("filter").alias("kind"), "product_id", (F.col("rank") + 1).alias("rank")).unionByName(
+        popular.select(F.lit("popular").alias("kind"), "product_id", F.col("rank").cast("bigint").alias("rank")))

@@ -22,8 +22,8 @@ TOLERANT_OPTIONS = {
     "columnNameOfCorruptRecord": CORRUPT_COLUMN,
 }
 # Fixed repair rule: drop a comma that directly precedes a closing brace
-# or bracket.
-TRAILING_COMMA = r",\s*([}\]])"
+# or bracket. Quoted text is matched first and put back as it is.
+TRAILING_COMMA = r"""("[^"\\]*+(?:\\.[^"\\]*+)*+"|'[^'\\]*+(?:\\.[^'\\]*+)*+')|,\s*([}\]])"""
 
 PROBE_SCHEMA = "_probe string, _corrupt_record string"
 
@@ -81,7 +81,7 @@ def parse_catalog_lines(lines: DataFrame, value_col: str = "value", min_partitio
         "_a", F.from_json(line, RAW_JSON_PRODUCT_WITH_CORRUPT, TOLERANT_OPTIONS))
     flagged_a = F.col(f"_a.{CORRUPT_COLUMN}").isNotNull()
     staged = staged.withColumn("_sa", F.when(flagged_a, _syntax_ok(line)).otherwise(F.lit(True)))
-    repaired = F.regexp_replace(line, TRAILING_COMMA, "$1")
+    repaired = F.regexp_replace(line, TRAILING_COMMA, "$1$2")
     staged = staged.withColumn("_b", F.when(~F.col("_sa"), F.from_json(repaired, RAW_JSON_PRODUCT_WITH_CORRUPT,
                                                                         TOLERANT_OPTIONS)))
     flagged_b = F.col(f"_b.{CORRUPT_COLUMN}").isNotNull()

@@ -149,8 +149,9 @@ def block_records_from_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     split at ``\\nId:`` yields them: even keys keep the ``Id:`` prefix, odd
     keys start after it. CRLF line ends for %5=0; %13=0 records hold only
     Id and ASIN; salesrank -1 for %9=0; ``similar`` announces %4 ids but
-    lists one more (``similar: 0`` has none); %3 review lines; %7=0 adds an
-    orphan line after a blank line."""
+    lists one more (``similar: 0`` has none); %3 review lines, dated on an
+    impossible day for %17=0 and with an overlong vote count for %19=0; %7=0
+    adds an orphan line after a blank line."""
     part = read_table(spark, sf_dir, "part")
     pk = F.col("p_partkey")
     nl = F.when(pk % 5 == 0, F.lit("\r\n")).otherwise(F.lit("\n"))
@@ -160,9 +161,11 @@ def block_records_from_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     similar = F.when(k == 0, F.lit("  similar: 0")).otherwise(F.concat(F.lit("  similar: "), _s(k), F.lit("  "), sim_ids))
 
     def review(i):
-        return F.concat(F.lit("    2001-"), _s(i + 1), F.lit("-"), _s(pk % 28 + 1), F.lit("  cutomer: C"),
+        day = F.when(pk % 17 == 0, F.lit("2-30")).otherwise(F.concat(_s(i + 1), F.lit("-"), _s(pk % 28 + 1)))
+        votes = F.when(pk % 19 == 0, F.lit("9" * 25)).otherwise(_s(i + 2))
+        return F.concat(F.lit("    2001-"), day, F.lit("  cutomer: C"),
                         _s((pk * 3 + i) % 40), F.lit("  rating: "), _s((pk + i) % 5 + 1),
-                        F.lit("  votes:  "), _s(i + 2), F.lit("  helpful:   "), _s(i))
+                        F.lit("  votes:  "), votes, F.lit("  helpful:   "), _s(i))
 
     reviews = F.filter(F.array(*[F.when(F.lit(i) < r, review(F.lit(i))) for i in range(2)]), lambda x: x.isNotNull())
     body_lines = F.concat(

@@ -62,9 +62,9 @@ def parse_block_records(records: DataFrame, value_col: str = "value",
     reviews = F.when(rv_total > 0, F.transform(review_lines, lambda ln: F.struct(
         F.regexp_extract(ln, P_REVIEW, 1).alias("date"),
         F.regexp_extract(ln, P_REVIEW, 2).alias("customer_id"),
-        F.regexp_extract(ln, P_REVIEW, 3).cast("bigint").alias("rating"),
-        F.regexp_extract(ln, P_REVIEW, 4).cast("bigint").alias("votes"),
-        F.regexp_extract(ln, P_REVIEW, 5).cast("bigint").alias("helpful"))))
+        F.regexp_extract(ln, P_REVIEW, 3).try_cast("bigint").alias("rating"),
+        F.regexp_extract(ln, P_REVIEW, 4).try_cast("bigint").alias("votes"),
+        F.regexp_extract(ln, P_REVIEW, 5).try_cast("bigint").alias("helpful"))))
     parsed = rec.select(
         F.regexp_extract(t, P_ID, 1).alias("_id"),
         _last(t, P_ASIN).alias("asin"),
@@ -84,13 +84,30 @@ def parse_block_records(records: DataFrame, value_col: str = "value",
                     "reviews_total", "reviews_downloaded", "avg_rating", "reviews"))
 
 
+def review_date(text: Column) -> Column:
+    """The date of a review line, NULL for one that the calendar has not."""
+    return F.try_to_timestamp(text, F.lit("yyyy-M-d")).cast("date")
+
+
+def review_line_counts(parsed: DataFrame) -> DataFrame:
+    """S4 for the block format: review lines in all, with an impossible date,
+    and with a number that does not fit."""
+    r = F.col("_r")
+    bad_number = r.getField("rating").isNull() | r.getField("votes").isNull() | r.getField("helpful").isNull()
+    return (parsed.select(F.explode("reviews").alias("_r"))
+            .agg(F.count(F.lit(1)).alias("review_lines"), F.count_if(review_date(r.getField("date")).isNull()).alias("bad_dates"),
+                 F.count_if(bad_number).alias("bad_numbers")))
+
+
 def block_reviews(parsed: DataFrame) -> DataFrame:
-    """N14 for the block format: one canonical review row per review line."""
+    """N14 for the block format: one canonical review row per review line. An
+    impossible date or an overlong number is NULL; the line's own date text
+    stays in ``review_date_text``."""
     r = F.col("_r")
     return (parsed.select(F.col("asin").alias("product_id"), F.explode("reviews").alias("_r"))
             .select("product_id", r.getField("customer_id").alias("customer_id"),
                     r.getField("rating").cast("double").alias("rating"),
-                    F.to_date(r.getField("date"), "yyyy-M-d").alias("review_date"),
+                    review_date(r.getField("date")).alias("review_date"), r.getField("date").alias("review_date_text"),
                     r.getField("helpful").alias("helpful_votes"),
                     r.getField("votes").alias("total_votes")))
 
