@@ -1,7 +1,7 @@
 """Application facade: the reference's public entry points
-as methods over one catalogue. Every method returns a lazy DataFrame;
-nothing is collected here. The item-item model is fitted once, on first
-use, and kept (checkpointed) for later calls."""
+as methods over one catalogue. Single-key methods return lazy DataFrames
+that read what the key needs and start no job. ``evaluate`` and ``fit`` write
+intermediate tables when called."""
 
 from __future__ import annotations
 
@@ -16,22 +16,21 @@ class Shelf:
 
     def __init__(self, catalog: Catalog):
         self.catalog = catalog
-        self._model: collab.SimilarityModel | None = None
+        self.interactions = collab.interactions(catalog.reviews)
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "Shelf":
         """``initialize_data``: open a catalogue saved with ``Catalog.save``."""
         return Shelf(Catalog.load(spark, path))
 
-    @property
-    def model(self) -> collab.SimilarityModel:
-        if self._model is None:
-            self._model = collab.fit_similarity(self.catalog.reviews)
-        return self._model
+    def fit(self) -> collab.SimilarityModel:
+        """The whole item-item model, written to the shared folder; keep or
+        ``save`` it to answer many products."""
+        return collab.fit_similarity(self.catalog.reviews)
 
     # -- catalogue ------------------------------------------------------
     def search(self, query_type: str, **kwargs) -> DataFrame:
-        return search.search(self.catalog.products, query_type, **kwargs)
+        return search.search(self.catalog.products, query_type, self.catalog.reviews, **kwargs)
 
     def category_stats(self) -> DataFrame:
         return search.category_stats(self.catalog.products)
@@ -65,17 +64,17 @@ class Shelf:
         return recommend.get_recommendations(self.catalog.products, self.catalog.reviews, user_id, product_id, n)
 
     def collaborative(self, user_id=None, product_id=None, n: int = 10) -> DataFrame:
-        return collab.get_collaborative_recommendations(self.model, self.catalog.products, user_id, product_id, n)
+        return collab.get_collaborative_recommendations(self.interactions, self.catalog.products, user_id, product_id, n)
 
     def also_bought(self, product_id, n: int = 10) -> DataFrame:
-        return collab.get_also_bought(self.model, self.catalog.products, product_id, n)
+        return collab.also_bought_for(self.interactions, self.catalog.products, product_id, n)
 
     def user_similarity(self, user1, user2) -> DataFrame:
         spark = self.catalog.reviews.sparkSession
-        t = self.model.interactions.schema["customer_id"].dataType.simpleString()
+        t = self.interactions.schema["customer_id"].dataType.simpleString()
         pair = spark.createDataFrame([(user1, user2)], f"customer1 {t}, customer2 {t}")
-        return collab.user_jaccard_pairs(self.model.interactions, pair).select("similarity")
+        return collab.user_jaccard_pairs(self.interactions, pair).select("similarity")
 
     # -- evaluation -----------------------------------------------------
     def evaluate(self, test_ratio: float = 0.2, k: int = 10) -> DataFrame:
-        return evaluate.evaluate_user_cf(self.model.interactions, self.catalog.products, test_ratio, k)
+        return evaluate.evaluate_user_cf(self.interactions, self.catalog.products, test_ratio, k)

@@ -40,6 +40,9 @@ def item_cooccurrence(inter: DataFrame, chunk: int = DEFAULT_CHUNK, persist: boo
     intermediate -- is shuffled once (for the pair aggregation) only.
     """
     freq = item_frequency(inter)
+    if persist:
+        # a written side joins by a plain exchange: a hot product can be split
+        freq = materialize(freq, "frequency")
     tagged = inter.select("customer_id", "product_id").join(freq, "product_id")
     pairs = co_members(tagged, "customer_id", "product_id", carry=["product_frequency"],
                        chunk=chunk, count_col="co_occurrence_count", persist=persist)
@@ -281,20 +284,34 @@ def recommend_for_users(inter: DataFrame, products: DataFrame, users: DataFrame,
     return cf.unionByName(fallback)
 
 
-def get_collaborative_recommendations(model: SimilarityModel, products: DataFrame, user_id=None,
+def also_bought_for(inter: DataFrame, products: DataFrame, product_id, n: int = DEFAULT_N) -> DataFrame:
+    """C6 for one product straight from the interactions: what its customers
+    have, and the sizes of these products. No pair table is built."""
+    mine = inter.where(F.col("product_id") == F.lit(product_id)).select("customer_id")
+    size = mine.select(F.count(F.lit(1))).scalar()
+    co = (inter.join(mine, "customer_id", "left_semi").where(F.col("product_id") != F.lit(product_id))
+          .groupBy("product_id").agg(F.count(F.lit(1)).alias("_co")))
+    freq = item_frequency(inter.join(co.select("product_id"), "product_id", "left_semi"))
+    scored = co.join(freq, "product_id").select("product_id", (
+        F.col("_co") / (size + F.col("product_frequency") - F.col("_co"))).alias("similarity_score"))
+    joined = products.select(*PRODUCT_COLUMNS).join(scored, "product_id")
+    return top_n(joined, n, order_by(("similarity_score", "desc"), ("product_id", "asc")), rank_col="rank")
+
+
+def get_collaborative_recommendations(inter: DataFrame, products: DataFrame, user_id=None,
                                       product_id=None, n: int = DEFAULT_N) -> DataFrame:
     """A user gets C7 (C8 when without history), a product gets C6,
-    otherwise C8."""
+    otherwise C8. Reads what the key needs; no model is fitted."""
     spark = products.sparkSession
     if user_id is not None:
         users = spark.createDataFrame(
-            [(user_id,)], "customer_id " + model.interactions.schema["customer_id"].dataType.simpleString())
-        return recommend_for_users(model.interactions, products, users, n).drop("customer_id")
+            [(user_id,)], "customer_id " + inter.schema["customer_id"].dataType.simpleString())
+        return recommend_for_users(inter, products, users, n).drop("customer_id")
     if product_id is not None:
-        return also_bought(model.edges_of(product_id), products, n).drop("product1")
-    return popular_by_interactions(model.interactions, products, n)
+        return also_bought_for(inter, products, product_id, n)
+    return popular_by_interactions(inter, products, n)
 
 
 def get_also_bought(model: SimilarityModel, products: DataFrame, product_id, n: int = DEFAULT_N) -> DataFrame:
-    """C6 for one product (alias kept for the "similar products" name)."""
+    """C6 for one product of a fitted model."""
     return also_bought(model.edges_of(product_id), products, n).drop("product1")

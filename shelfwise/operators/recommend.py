@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import order_by, top_n, top_n_per_group
 from ..functions.sequence import running_count
+from ..session import materialize
 
 # Fixed thresholds of the reference recommenders.
 POPULAR_MIN_RATING = 3.5
@@ -64,30 +65,26 @@ def content_based(products: DataFrame, reviews: DataFrame, n: int = DEFAULT_N,
     """R2 for every user with reviews: products rated >= 4.0 in the
     categories the user reviewed, by rating desc, rank asc; top ``n``.
 
-    Each (user, category) probes positions 0..n-1 of its category's ranked
-    list (plus the user's own items there when ``exclude_seen``), an
-    equi-join on (category, position) that never pairs a user with a whole
-    category.
+    A user meets the best n products of a category only. With
+    ``exclude_seen`` each (user, category) probes as many more positions of
+    its category's ranked list as the user has items there, an equi-join on
+    (category, position) that never pairs a user with a whole category.
     """
     prof = user_category_profile(products, reviews).select("customer_id", "category")
-    ranked = _ranked_in_category(products, CONTENT_MIN_RATING)
-    if exclude_seen:
-        seen = (reviews.select("customer_id", "product_id").distinct()
-                .join(ranked.select("product_id", "category"), "product_id")
-                .groupBy("customer_id", "category").agg(F.count(F.lit(1)).alias("_seen")))
-        prof = prof.join(seen, ["customer_id", "category"], "left")
-        extra = F.coalesce(F.col("_seen"), F.lit(0))
-    else:
-        extra = F.lit(0)
-    probes = prof.select("customer_id", "category",
-                         F.explode(F.sequence(F.lit(0), F.lit(n - 1) + extra)).alias("_pos"))
     if not exclude_seen:
-        # only the first n positions are ever probed: n rows per category
-        ranked = ranked.where(F.col("_pos") < n)
-    cand = probes.join(ranked, ["category", "_pos"])
-    if exclude_seen:
-        cand = cand.join(reviews.select("customer_id", "product_id").distinct(),
-                         ["customer_id", "product_id"], "left_anti")
+        # n products of each category are enough
+        eligible = products.where(F.col("average_rating") >= CONTENT_MIN_RATING).select(*REC_COLUMNS)
+        best = top_n_per_group(eligible, ["category"], n, order_by(*BY_RATING_THEN_RANK), rank_col="_pos")
+        out = top_n_per_group(prof.join(best, "category"), ["customer_id"], n, order_by(*BY_RATING_THEN_RANK))
+        return out.select("customer_id", *REC_COLUMNS, "rank")
+    ranked = _ranked_in_category(products, CONTENT_MIN_RATING)
+    own = materialize(reviews.select("customer_id", "product_id").distinct(), "seen")
+    seen = (own.join(ranked.select("product_id", "category"), "product_id")
+            .groupBy("customer_id", "category").agg(F.count(F.lit(1)).alias("_seen")))
+    prof = prof.join(seen, ["customer_id", "category"], "left")
+    probes = prof.select("customer_id", "category", F.explode(F.sequence(
+        F.lit(0), F.lit(n - 1) + F.coalesce(F.col("_seen"), F.lit(0)))).alias("_pos"))
+    cand = probes.join(ranked, ["category", "_pos"]).join(own, ["customer_id", "product_id"], "left_anti")
     out = top_n_per_group(cand, ["customer_id"], n, order_by(*BY_RATING_THEN_RANK))
     return out.select("customer_id", *REC_COLUMNS, "rank")
 
@@ -108,23 +105,21 @@ def hybrid(products: DataFrame, reviews: DataFrame, users: DataFrame | None = No
     items already recommended (``False`` keeps the reference's repeats).
     Users without reviews get the popularity list.
     """
-    content = content_based(products, reviews, n).select(
-        "customer_id", *REC_COLUMNS, F.lit(0).alias("_src"), F.col("rank").alias("_p"))
     if users is None:
         users = reviews.select("customer_id").where(F.col("customer_id").isNotNull()).distinct()
     else:
         users = users.select("customer_id").distinct()
-        content = content.join(users, "customer_id", "left_semi")
-    pop_list = _list_scalar(popularity(products, None, 2 * n), REC_COLUMNS)
-    if dedupe:
-        have = users.select("customer_id", F.lit(0).alias("_have"))
-    else:
-        counts = content.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_have"))
-        have = (users.join(counts, "customer_id", "left")
-                .select("customer_id", F.coalesce(F.col("_have"), F.lit(0)).alias("_have")))
-    pop = (have.select("customer_id", "_have", F.explode(pop_list).alias("_e"))
-           .select("customer_id", "_have", *[F.col("_e").getField(c).alias(c) for c in REC_COLUMNS],
-                   F.lit(1).alias("_src"), F.col("_e").getField("_rank").alias("_p")))
+        reviews = reviews.join(users, "customer_id", "left_semi")
+    content = content_based(products, reviews, n).select("customer_id", "product_id", F.lit(0).alias("_src"),
+                                                         F.col("rank").alias("_p"))
+    # only users short of n need popular products, and of these only the ids
+    counts = content.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_have"))
+    short = (users.join(counts, "customer_id", "left")
+             .select("customer_id", F.coalesce(F.col("_have"), F.lit(0)).alias("_have")).where(F.col("_have") < n))
+    pop_list = _list_scalar(popularity(products, None, 2 * n), ["product_id"])
+    pop = (short.select("customer_id", "_have", F.explode(pop_list).alias("_e"))
+           .select("customer_id", "_have", F.col("_e").getField("product_id").alias("product_id"), F.lit(1).alias("_src"),
+                   F.col("_e").getField("_rank").alias("_p")))
     if dedupe:
         pop = pop.join(content.select("customer_id", "product_id"), ["customer_id", "product_id"], "left_anti")
     else:
@@ -132,7 +127,7 @@ def hybrid(products: DataFrame, reviews: DataFrame, users: DataFrame | None = No
         pop = pop.where(F.col("_p") <= F.lit(n) - F.col("_have"))
     both = content.unionByName(pop.drop("_have"))
     out = top_n_per_group(both, ["customer_id"], n, [F.col("_src").asc(), F.col("_p").asc()])
-    return out.select("customer_id", *REC_COLUMNS, "rank")
+    return out.join(products.select(*REC_COLUMNS), "product_id").select("customer_id", *REC_COLUMNS, "rank")
 
 
 def similar_products(products: DataFrame, n: int = DEFAULT_N, targets: DataFrame | None = None) -> DataFrame:
@@ -155,11 +150,12 @@ def similar_products(products: DataFrame, n: int = DEFAULT_N, targets: DataFrame
     have_t1 = t1.select("target_id").distinct()
     need = (tgt.select(F.col("product_id").alias("target_id"), "category")
             .join(have_t1, "target_id", "left_anti"))
-    ranked = running_count(products.where(F.col("average_rating") >= SIMILAR_MIN_RATING).select(*REC_COLUMNS),
-                           ["category"], order_by(*BY_RATING_THEN_RANK), out="_pos")
-    probes = need.select("target_id", "category", F.explode(F.sequence(F.lit(0), F.lit(n))).alias("_pos"))
-    t2 = (probes.join(ranked.where(F.col("_pos") <= n), ["category", "_pos"])
-          .where(F.col("product_id") != F.col("target_id")))
+    # n + 1 products of a category are enough: the target itself may be one
+    eligible = products.where(F.col("average_rating") >= SIMILAR_MIN_RATING).select(*REC_COLUMNS)
+    if targets is not None:
+        eligible = eligible.join(need.select("category").distinct(), "category", "left_semi")
+    best = top_n_per_group(eligible, ["category"], n + 1, order_by(*BY_RATING_THEN_RANK), rank_col="_pos")
+    t2 = need.join(best, "category").where(F.col("product_id") != F.col("target_id"))
     t2 = top_n_per_group(t2, ["target_id"], n, [F.col("_pos").asc()])
     out = (t1.select("target_id", *REC_COLUMNS, F.lit(1).alias("tier"), "rank")
            .unionByName(t2.select("target_id", *REC_COLUMNS, F.lit(2).alias("tier"), "rank")))

@@ -1,5 +1,5 @@
-"""Catalogue queries (Q1-Q19). Each single-key form is a filter of a batch
-form that answers for every key (category, product, user) in one plan."""
+"""Catalogue queries (Q1-Q19): single-key forms, which read only what the key
+needs, and batch forms that answer for every key in one plan."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import compare, order_by, top_n, top_n_per_group
 from ..functions.sequence import running_count
+from ..session import materialize
 
 # Fixed thresholds of the reference queries.
 TOP_MIN_RATING = 4.0
@@ -42,18 +43,24 @@ def best_sellers(products: DataFrame, category: str, n: int = DEFAULT_N) -> Data
 
 def best_sellers_per_category(products: DataFrame, n: int = DEFAULT_N) -> DataFrame:
     """Q1 batch: top ``n`` by sales rank in every category."""
+    validate_search_parameters(n=n)
     return top_n_per_group(products, ["category"], n, order_by(*BY_RANK))
 
 
 def products_by_review_count(products: DataFrame, op: str, threshold: int) -> DataFrame:
     """Q2: ``review_count <op> threshold``, no limit."""
+    validate_search_parameters(min_reviews=threshold)
     return products.where(compare("review_count", op, threshold))
 
 
 def products_by_rating(products: DataFrame, op: str, threshold: float,
-                       n: int | None = DEFAULT_N) -> DataFrame:
-    """Q3: ``average_rating <op> threshold``; falsy ``n`` = no limit. The
-    limit takes the documented order (rating desc, rank asc, id)."""
+                       n: int | None = DEFAULT_N, category: str | None = None) -> DataFrame:
+    """Q3: ``average_rating <op> threshold``, of one category if given; falsy
+    ``n`` = no limit. The limit takes the documented order (rating desc, rank
+    asc, id)."""
+    validate_search_parameters(category=category, min_rating=threshold, n=n or None)
+    if category is not None:
+        products = products.where(F.col("category") == category)
     filtered = products.where(compare("average_rating", op, threshold))
     return top_n(filtered, n or None, order_by(*BY_RATING), "rank") if n else filtered
 
@@ -92,12 +99,14 @@ def price_range_search(products: DataFrame, min_price: float, max_price: float)
 
 def search_by_title(products: DataFrame, term: str, n: int = DEFAULT_N) -> DataFrame:
     """Q7: Q5 ordered by sales rank, top ``n``."""
+    validate_search_parameters(n=n)
     return top_n(title_search(products, term), n, order_by(*BY_RANK), "rank")
 
 
 def products_by_price_range(products: DataFrame, min_price: float = 0, max_price: float = 1000,
                             n: int = DEFAULT_N) -> DataFrame:
     """Q8: Q6 ordered by sales rank, top ``n``."""
+    validate_search_parameters(n=n)
     return top_n(price_range_search(products, min_price, max_price), n, order_by(*BY_RANK), "rank")
 
 
@@ -107,23 +116,27 @@ def _top_filter(products: DataFrame) -> DataFrame:
 
 def top_products(products: DataFrame, category: str | None = None, n: int = DEFAULT_N) -> DataFrame:
     """Q9: rating >= 4.0 with reviews, by rating desc then rank."""
+    validate_search_parameters(category=category, n=n)
     base = products.where(F.col("category") == category) if category is not None else products
     return top_n(_top_filter(base), n, order_by(*BY_RATING), "rank")
 
 
 def top_products_per_category(products: DataFrame, n: int = DEFAULT_N) -> DataFrame:
     """Q9 batch: top ``n`` per category."""
+    validate_search_parameters(n=n)
     return top_n_per_group(_top_filter(products), ["category"], n, order_by(*BY_RATING))
 
 
 def popular_products(products: DataFrame, n: int = DEFAULT_N) -> DataFrame:
     """Q10: sales rank below 1,000,000, by rank then rating."""
+    validate_search_parameters(n=n)
     return top_n(products.where(F.col("sales_rank") < POPULAR_MAX_RANK), n,
                  order_by(("sales_rank", "asc"), ("average_rating", "desc"), ("product_id", "asc")), "rank")
 
 
 def high_engagement(products: DataFrame, min_reviews: int = 10, n: int = DEFAULT_N) -> DataFrame:
     """Q11: at least ``min_reviews`` reviews, by review count then rating."""
+    validate_search_parameters(min_reviews=min_reviews, n=n)
     return top_n(products.where(F.col("review_count") >= min_reviews), n,
                  order_by(("review_count", "desc"), ("average_rating", "desc"), ("product_id", "asc")), "rank")
 
@@ -182,9 +195,19 @@ def similar_in_band(products: DataFrame, n: int = DEFAULT_N, band: float = BAND,
     same order. Both numberings run on a range-partitioned sort, so a
     category with most of the catalogue is still spread over all tasks.
     """
+    validate_search_parameters(n=n)
     base = products.select("product_id", "category", "average_rating", "sales_rank")
     base = base.where(F.col("average_rating").isNotNull() & F.col("category").isNotNull())
-    tgt = base if targets is None else base.join(targets.select("product_id"), "product_id", "left_semi")
+    if targets is not None:
+        # requested products: their categories only, one join and a top-n
+        tgt = base.join(targets.select("product_id"), "product_id", "left_semi") \
+            .select(F.col("product_id").alias("target_id"), "category", F.col("average_rating").alias("_r"))
+        cand = base.join(tgt, "category").where(
+            (F.col("product_id") != F.col("target_id"))
+            & F.col("average_rating").between(F.col("_r") - F.lit(band), F.col("_r") + F.lit(band)))
+        ranked = top_n_per_group(cand, ["target_id"], n, order_by(*BY_RATING))
+        return ranked.select("target_id", "product_id", "category", "average_rating", "sales_rank", "rank")
+    tgt = base
     # data rows sort by (rating desc, rank, id); a probe at rating r + band
     # sorts before every data row rated exactly r + band.
     data_rows = base.select("category", F.col("average_rating").alias("_key"), F.lit(1).alias("_kind"),
@@ -217,9 +240,16 @@ def copurchasers(reviews: DataFrame, pairs: DataFrame | None = None) -> DataFram
     ``pairs`` holds the requested (customer_id, product_id); by default all
     reviewed pairs. A NULL customer never counts.
     """
-    buyers = (reviews.select("customer_id", "product_id").where(F.col("customer_id").isNotNull())
-              .distinct())
+    buyers = reviews.select("customer_id", "product_id").where(F.col("customer_id").isNotNull())
+    if pairs is None:
+        # written once: read three times, and joined by plain exchanges, so that
+        # a product with very many buyers can be split
+        buyers = materialize(buyers.distinct(), "buyers")
+    else:
+        buyers = buyers.join(pairs.select("product_id").distinct(), "product_id", "left_semi").distinct()
     per_product = buyers.groupBy("product_id").agg(F.count(F.lit(1)).alias("_buyers"))
+    if pairs is None:
+        per_product = materialize(per_product, "buyers")
     req = buyers if pairs is None else pairs.select("customer_id", "product_id").distinct()
     own = buyers.withColumn("_own", F.lit(1))
     return (req.join(per_product, "product_id", "left")
@@ -246,24 +276,37 @@ def dataset_info(products: DataFrame, reviews: DataFrame) -> DataFrame:
                     rs.getField("unique_users").alias("unique_users"))
 
 
+# Query name -> (function, whether it also takes the reviews, {argument: parameter}).
+_N = {"n": "n"}
 SEARCHES = {
-    "best_sellers": lambda p, **kw: best_sellers(p, kw["category"], kw.get("n", DEFAULT_N)),
-    "review_count": lambda p, **kw: products_by_review_count(p, kw["operator"], kw["count_threshold"]),
-    "rating": lambda p, **kw: products_by_rating(p, kw["operator"], kw["rating_threshold"], kw.get("n", DEFAULT_N)),
-    "complex": lambda p, **kw: complex_query(p, kw.get("category"), kw.get("min_rating"), kw.get("min_reviews"),
-                                             kw.get("max_salesrank"), kw.get("max_price")),
-    "title": lambda p, **kw: search_by_title(p, kw["search_term"], kw.get("n", DEFAULT_N)),
-    "price_range": lambda p, **kw: products_by_price_range(p, kw.get("min_price", 0), kw.get("max_price", 1000),
-                                                           kw.get("n", DEFAULT_N)),
-    "top": lambda p, **kw: top_products(p, kw.get("category"), kw.get("n", DEFAULT_N)),
-    "popular": lambda p, **kw: popular_products(p, kw.get("n", DEFAULT_N)),
-    "engagement": lambda p, **kw: high_engagement(p, kw.get("min_reviews", 10), kw.get("n", DEFAULT_N)),
+    "best_sellers": (best_sellers, False, {"category": "category", **_N}),
+    "review_count": (products_by_review_count, False, {"operator": "op", "count_threshold": "threshold"}),
+    "rating": (products_by_rating, False, {"operator": "op", "rating_threshold": "threshold", "category": "category", **_N}),
+    "complex": (complex_query, False, {k: k for k in ("category", "min_rating", "min_reviews", "max_salesrank", "max_price")}),
+    "title": (search_by_title, False, {"search_term": "term", **_N}),
+    "price_range": (products_by_price_range, False, {"min_price": "min_price", "max_price": "max_price", **_N}),
+    "top": (top_products, False, {"category": "category", **_N}),
+    "popular": (popular_products, False, _N),
+    "engagement": (high_engagement, False, {"min_reviews": "min_reviews", **_N}),
+    "product": (product_info, True, {"product_id": "product_id"}),
+    "user_history": (user_review_history, True, {"user_id": "user_id"}),
+    "category_stats": (category_stats, False, {}),
+    "similar": (similar_in_band, False, {"targets": "targets", "band": "band", **_N}),
+    "copurchasers": (lambda products, reviews, pairs=None: copurchasers(reviews, pairs), True, {"pairs": "pairs"}),
+    "info": (dataset_info, True, {}),
 }
 
 
-def search(products: DataFrame, query_type: str, **kwargs) -> DataFrame:
+def search(products: DataFrame, query_type: str, reviews: DataFrame | None = None, **kwargs) -> DataFrame:
     """Q17: dispatch by query name; every catalogue query is reachable and
-    every argument forwarded. Unknown names raise ValueError."""
+    every argument forwarded. Unknown names, unknown arguments, and a missing
+    ``reviews`` where the query reads them raise ValueError."""
     if query_type not in SEARCHES:
         raise ValueError(f"Unsupported query type: {query_type}")
-    return SEARCHES[query_type](products, **kwargs)
+    fn, needs_reviews, names = SEARCHES[query_type]
+    unknown = sorted(set(kwargs) - set(names))
+    if unknown:
+        raise ValueError(f"Unknown arguments for {query_type}: {', '.join(unknown)}")
+    if needs_reviews and reviews is None:
+        raise ValueError(f"{query_type} needs the reviews")
+    return fn(*([products, reviews] if needs_reviews else [products]), **{names[k]: v for k, v in kwargs.items()})
