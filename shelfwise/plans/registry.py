@@ -7,6 +7,7 @@ them, otherwise values that make every filter selective on the test data.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -17,6 +18,8 @@ from ..functions.columns import order_by
 from ..functions.sequence import running_count
 from ..operators import collab, evaluate, profile, recommend, search
 from ..operators.normalize import review_stats
+from ..session import materialize, scratch_path
+from ..sources import sinks
 from ..sources.testdata import catalog_from_tables
 from .shaping import shape
 
@@ -444,11 +447,11 @@ def q_user_cf_batch(spark, d):
 
 
 # ------------------------------------------------------------- evaluation
-SPLIT = "(((42 + customer_id * 7919 + product_id * 104729) % 100) + 100) % 100"
+SPLIT = "((((42 + customer_id * 7919 + product_id * 104729) % 1000003) + 1000003) % 1000003) / CAST(1000003 AS DOUBLE)"
 
 
 @plan("split_counts", sql(f"""
-SELECT CASE WHEN {SPLIT} < 20 THEN 'test' ELSE 'train' END AS split, count(*) AS rows,
+SELECT CASE WHEN {SPLIT} < 0.2 THEN 'test' ELSE 'train' END AS split, count(*) AS rows,
        count(DISTINCT customer_id) AS distinct_keys
 FROM inter GROUP BY 1"""))
 def q_split_counts(spark, d):
@@ -456,27 +459,39 @@ def q_split_counts(spark, d):
     return evaluate.split_counts(inter, ["customer_id", "product_id"], 0.2, 42, "arith")
 
 
+SCORED_CTES = f"""
+train AS (SELECT * FROM inter WHERE {SPLIT} >= 0.2),
+test AS (SELECT * FROM inter WHERE {SPLIT} < 0.2),""" + user_cf_ctes("train") + """,
+scored AS (
+  SELECT t.customer_id, coalesce(max(h.hits), 0) AS hits, count(*) AS n_actual, coalesce(max(p.n), 0) AS n_predicted
+  FROM test t
+  LEFT JOIN (SELECT customer_id, count(*) AS n FROM cf GROUP BY customer_id) p ON p.customer_id = t.customer_id
+  LEFT JOIN (SELECT a.customer_id, count(*) AS hits FROM test a JOIN cf c
+             ON a.customer_id = c.customer_id AND a.product_id = c.product_id GROUP BY a.customer_id) h
+    ON h.customer_id = t.customer_id
+  GROUP BY t.customer_id)"""
+
+
 @plan("precision_recall_at_k", sql("""
-SELECT round(coalesce(avg(precision), 0), 6) AS precision_at_k, round(coalesce(avg(recall), 0), 6) AS recall_at_k,
-       count(*) AS users_evaluated, (SELECT count(DISTINCT customer_id) FROM test) AS test_users_total
-FROM (
-  SELECT a.customer_id, coalesce(h.hits, 0) / np.n AS precision, coalesce(h.hits, 0) / na.n AS recall
-  FROM (SELECT customer_id, count(*) AS n FROM act GROUP BY customer_id) na
-  JOIN (SELECT customer_id, count(*) AS n FROM cf GROUP BY customer_id) np ON na.customer_id = np.customer_id
-  LEFT JOIN (SELECT a.customer_id, count(*) AS hits FROM act a JOIN cf p
-             ON a.customer_id = p.customer_id AND a.product_id = p.product_id GROUP BY a.customer_id) h
-    ON na.customer_id = h.customer_id
-  JOIN (SELECT DISTINCT customer_id FROM act) a ON a.customer_id = na.customer_id)""",
-    f"""
-train AS (SELECT * FROM inter WHERE {SPLIT} >= 20),
-test AS (SELECT * FROM inter WHERE {SPLIT} < 20),
-act AS (SELECT * FROM test QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY product_id) <= 10),"""
-    + user_cf_ctes("train")))
+SELECT round(coalesce(avg(hits / n_predicted) FILTER (n_predicted > 0), 0), 6) AS precision_at_k,
+       round(coalesce(avg(hits / n_actual) FILTER (n_predicted > 0), 0), 6) AS recall_at_k,
+       count(*) FILTER (n_predicted > 0) AS users_evaluated, count(*) AS test_users_total
+FROM scored""", SCORED_CTES))
 def q_precision_recall_at_k(spark, d):
     c = catalog(spark, d)
     return evaluate.evaluate_user_cf(c.reviews, c.products, 0.2, 10, 42, "arith")
 
 
+@plan("precision_recall_per_user", sql("""
+SELECT customer_id, hits, n_actual, n_predicted,
+       round(CASE WHEN n_predicted > 0 THEN hits / n_predicted ELSE 0 END, 6) AS precision,
+       round(hits / n_actual, 6) AS recall
+FROM scored""", SCORED_CTES))
+def q_precision_recall_per_user(spark, d):
+    c = catalog(spark, d)
+    return evaluate.user_cf_precision_recall(c.reviews, c.products, 0.2, 10, 42, "arith")
+
+
 @plan("rec_diversity", sql("""
 SELECT customer_id, round(coalesce((count(DISTINCT category) + max(CAST(category IS NULL AS INTEGER)))
                                    / count(*), 0), 6) AS diversity
@@ -497,10 +512,10 @@ def q_rec_avg_rating(spark, d):
 @plan("rating_error", sql(f"""
 SELECT round(sqrt(avg((t.rating - coalesce(m.m, g.m)) * (t.rating - coalesce(m.m, g.m)))), 6) AS rmse,
        round(avg(abs(t.rating - coalesce(m.m, g.m))), 6) AS mae, count(*) AS n
-FROM (SELECT * FROM reviews WHERE {SPLIT} < 20) t
-LEFT JOIN (SELECT product_id, avg(rating) AS m FROM reviews WHERE {SPLIT} >= 20 GROUP BY product_id) m
+FROM (SELECT * FROM reviews WHERE {SPLIT} < 0.2) t
+LEFT JOIN (SELECT product_id, avg(rating) AS m FROM reviews WHERE {SPLIT} >= 0.2 GROUP BY product_id) m
   ON t.product_id = m.product_id
-CROSS JOIN (SELECT avg(rating) AS m FROM reviews WHERE {SPLIT} >= 20) g"""))
+CROSS JOIN (SELECT avg(rating) AS m FROM reviews WHERE {SPLIT} >= 0.2) g"""))
 def q_rating_error(spark, d):
     reviews = catalog(spark, d).reviews
     train, test = evaluate.train_test_split(reviews, ["customer_id", "product_id"], 0.2, 42, "arith")
@@ -508,9 +523,9 @@ def q_rating_error(spark, d):
 
 
 @plan("category_distribution", sql("""
-SELECT category, count(*) AS count FROM products GROUP BY category ORDER BY count DESC, category LIMIT 10"""))
+SELECT category, count(*) AS count FROM products GROUP BY category"""))
 def q_category_distribution(spark, d):
-    return evaluate.category_distribution(catalog(spark, d).products, 10)
+    return evaluate.category_distribution(catalog(spark, d).products)
 
 
 @plan("rating_distribution", sql("SELECT rating, count(*) AS count FROM reviews GROUP BY rating"))
@@ -556,7 +571,7 @@ def q_safe_ratio(spark, d):
 
 @plan("display_join", sql("""
 SELECT n.product_id, n.cnt AS interaction_count, p.title, p.category, round(p.average_rating, 6) AS average_rating,
-       p.sales_rank
+       p.review_count, p.sales_rank
 FROM (SELECT product_id, count(*) AS cnt FROM inter GROUP BY product_id) n
 JOIN products p ON n.product_id = p.product_id"""))
 def q_display_join(spark, d):
@@ -566,6 +581,117 @@ def q_display_join(spark, d):
     return profile.display_join(recs, c.products, ["interaction_count"])
 
 
+@plan("sample_facts", sql("""
+SELECT true AS within_bounds, CAST(0 AS BIGINT) AS not_in_table"""))
+def q_sample_facts(spark, d):
+    """The sample's size is within five standard deviations and all its rows
+    are the table's."""
+    r = catalog(spark, d).reviews
+    s = profile.sample(r, 0.1, 42)
+    n, total = (x.select(F.count(F.lit(1))).scalar() for x in (s, r))
+    strange = s.exceptAll(r).select(F.count(F.lit(1))).scalar()
+    return spark.range(1).select((F.abs(n - 0.1 * total) <= 5 * F.sqrt(0.09 * total)).alias("within_bounds"),
+                                 strange.alias("not_in_table"))
+
+
+# ------------------------------------------------------ requested keys only
+REQUESTED = "(SELECT c_custkey AS customer_id FROM customer WHERE c_custkey % 50 = 0 UNION ALL SELECT -1 UNION ALL SELECT -2)"
+
+
+def requested_customers(spark, d):
+    """Every fiftieth customer, most with history, and two unknown ids."""
+    known = spark.read.parquet(f"{d}/customer.parquet").where("c_custkey % 50 = 0").select(F.col("c_custkey").alias("customer_id"))
+    return known.unionByName(spark.createDataFrame([(-1,), (-2,)], "customer_id bigint"))
+
+
+@plan("user_cf_requested", sql(f"""
+SELECT u.customer_id, cf.product_id, cf.title, cf.category, round(cf.average_rating, 6) AS average_rating, cf.review_count,
+       cf.price, cf.recommendation_score, round(cf.user_similarity, 6) AS user_similarity, cf.rank
+FROM {REQUESTED} u JOIN cf ON u.customer_id = cf.customer_id
+UNION ALL
+SELECT u.customer_id, p.product_id, p.title, p.category, round(p.average_rating, 6), p.review_count, p.price, p.cnt, NULL, p.rank
+FROM {REQUESTED} u CROSS JOIN (
+  SELECT c.*, n.cnt, row_number() OVER (ORDER BY n.cnt DESC, c.product_id) AS rank
+  FROM (SELECT product_id, count(*) AS cnt FROM inter GROUP BY product_id) n JOIN products c ON n.product_id = c.product_id
+  QUALIFY rank <= 10) p
+WHERE u.customer_id NOT IN (SELECT customer_id FROM inter)""", user_cf_ctes("inter")))
+def q_user_cf_requested(spark, d):
+    c = catalog(spark, d)
+    return collab.recommend_for_users(collab.interactions(c.reviews), c.products, requested_customers(spark, d), 10)
+
+
+@plan("hybrid_recs_requested", sql(f"""
+SELECT customer_id, {R_COLS}, row_number() OVER (PARTITION BY customer_id ORDER BY src, p) AS rank
+FROM (
+  SELECT c.customer_id, c.product_id, c.title, c.category, c.average_rating, c.sales_rank, c.review_count, c.price, 0 AS src,
+         c.rank AS p
+  FROM content c JOIN {REQUESTED} u ON c.customer_id = u.customer_id
+  UNION ALL
+  SELECT u.customer_id, pop.product_id, pop.title, pop.category, pop.average_rating, pop.sales_rank,
+         pop.review_count, pop.price, 1 AS src, pop.p
+  FROM {REQUESTED} u CROSS JOIN pop
+  WHERE NOT EXISTS (SELECT 1 FROM content c WHERE c.customer_id = u.customer_id AND c.product_id = pop.product_id))
+QUALIFY rank <= 10""", CONTENT_CTES + """,
+pop AS (SELECT *, row_number() OVER (ORDER BY sales_rank, average_rating DESC, product_id) AS p
+        FROM products WHERE average_rating >= 3.5 OR sales_rank <= 100000 QUALIFY p <= 20)"""))
+def q_hybrid_recs_requested(spark, d):
+    c = catalog(spark, d)
+    return recommend.hybrid(c.products, c.reviews, requested_customers(spark, d), 10)
+
+
+@plan("similar_products_requested", PLANS["similar_products_tiered"].sql.replace(
+    "SELECT target_id, product_id, title, category, round(average_rating, 6) AS average_rating, sales_rank, review_count, "
+    "price, tier, rank FROM (", f"""
+SELECT -5 AS target_id, {R_COLS}, 0 AS tier, row_number() OVER (ORDER BY sales_rank, average_rating DESC, product_id) AS rank
+FROM products WHERE average_rating >= 3.5 OR sales_rank <= 100000 QUALIFY rank <= 10
+UNION ALL
+SELECT target_id, {R_COLS}, tier, rank FROM (""") + " WHERE target_id % 20 = 0")
+def q_similar_products_requested(spark, d):
+    products = catalog(spark, d).products
+    targets = products.where("product_id % 20 = 0").select("product_id").unionByName(
+        spark.createDataFrame([(-5,)], "product_id bigint"))
+    return recommend.similar_products(products, 10, targets)
+
+
+@plan("user_jaccard_pairs", sql("""
+SELECT q.customer1, q.customer2,
+       round(CASE WHEN coalesce(d1.d, 0) + coalesce(d2.d, 0) > 0
+                  THEN coalesce(c.n, 0) / (coalesce(d1.d, 0) + coalesce(d2.d, 0) - coalesce(c.n, 0)) ELSE 0 END, 6) AS similarity
+FROM req q LEFT JOIN udeg d1 ON q.customer1 = d1.customer_id LEFT JOIN udeg d2 ON q.customer2 = d2.customer_id
+LEFT JOIN (SELECT q.customer1, q.customer2, count(*) AS n FROM req q JOIN inter a ON a.customer_id = q.customer1
+           JOIN inter b ON b.customer_id = q.customer2 AND a.product_id = b.product_id GROUP BY q.customer1, q.customer2) c
+  ON c.customer1 = q.customer1 AND c.customer2 = q.customer2""", """
+udeg AS (SELECT customer_id, count(*) AS d FROM inter GROUP BY customer_id),
+req AS (SELECT c_custkey AS customer1, c_custkey + 1 AS customer2 FROM customer UNION ALL SELECT -1, -2)"""))
+def q_user_jaccard_pairs(spark, d):
+    pairs = spark.read.parquet(f"{d}/customer.parquet").select(F.col("c_custkey").alias("customer1"),
+                                                               (F.col("c_custkey") + 1).alias("customer2"))
+    pairs = pairs.unionByName(spark.createDataFrame([(-1, -2)], "customer1 bigint, customer2 bigint"))
+    return collab.user_jaccard_pairs(collab.interactions(catalog(spark, d).reviews), pairs)
+
+
+@plan("model_roundtrip", ALSO_SQL)
+def q_model_roundtrip(spark, d):
+    """Fit, save, load, query."""
+    c = catalog(spark, d)
+    path = scratch_path(spark, f"model-{uuid.uuid4().hex}")
+    collab.fit_similarity(c.reviews).save(path)
+    return collab.also_bought(collab.SimilarityModel.load(spark, path).edges, c.products, 10)
+
+
+@plan("csv_roundtrip", sql(f"""
+SELECT {P_COLS}, CASE WHEN len(similar_products) = 0 THEN '[]' ELSE '[' || array_to_string(similar_products, ',') || ']' END
+       AS similar_products FROM products"""))
+def q_csv_roundtrip(spark, d):
+    """Write as CSV, read the files back."""
+    p = catalog(spark, d).products.select(*P_SPARK, "similar_products")
+    path = scratch_path(spark, f"csv-{uuid.uuid4().hex}")
+    sinks.write_csv(p, path, single_file=False)
+    kinds = {f.name: f.dataType.simpleString() for f in p.schema.fields} | {"similar_products": "string"}
+    return spark.read.option("header", True).option("escape", '"').schema(
+        ", ".join(f"{n} {kinds[n]}" for n in p.columns)).csv(path)
+
+
 # --------------------------------------------------- matrix factorisation
 @plan("als_recs", None)
 def q_als_recs(spark, d):
@@ -579,3 +705,33 @@ def q_als_rating_error(spark, d):
     reviews = catalog(spark, d).reviews
     train, test = evaluate.train_test_split(reviews, ["customer_id", "product_id"], 0.2, 42, "arith")
     return als_rating_error(train, test)
+
+
+@plan("als_recs_facts", sql("""
+SELECT customer_id, CAST(10 AS BIGINT) AS recs, 1 AS first_rank, 10 AS last_rank, CAST(10 AS BIGINT) AS products,
+       true AS falling, CAST(0 AS BIGINT) AS unknown_products
+FROM inter GROUP BY customer_id"""))
+def q_als_recs_facts(spark, d):
+    """Every customer with history gets ten different products that were
+    bought, ranked 1 to 10 by falling score."""
+    from ..operators.als import als_recommendations
+    inter = collab.interactions(catalog(spark, d).reviews)
+    recs = materialize(als_recommendations(inter, k=10), "recs")
+    known = inter.select("product_id").distinct().withColumn("known", F.lit(True))
+    by_rank = F.transform(F.array_sort(F.collect_list(F.struct("rank", "score"))), lambda x: -x["score"])
+    return recs.join(known, "product_id", "left").groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("recs"), F.min("rank").alias("first_rank"), F.max("rank").alias("last_rank"),
+        F.count_distinct("product_id").alias("products"), (F.array_sort(by_rank) == by_rank).alias("falling"),
+        F.count_if(F.col("known").isNull()).alias("unknown_products"))
+
+
+@plan("als_rating_error_facts", sql(f"""
+SELECT count(*) AS n, true AS mae_below_rmse, true AS rmse_in_range
+FROM reviews t WHERE {SPLIT} < 0.2
+ AND customer_id IN (SELECT customer_id FROM reviews WHERE {SPLIT} >= 0.2)
+ AND product_id IN (SELECT product_id FROM reviews WHERE {SPLIT} >= 0.2)"""))
+def q_als_rating_error_facts(spark, d):
+    """Scored are the test rows whose customer and product the model knows."""
+    e = q_als_rating_error(spark, d)
+    return e.select("n", (F.col("mae") <= F.col("rmse")).alias("mae_below_rmse"),
+                    F.col("rmse").between(0.0, 4.0).alias("rmse_in_range"))

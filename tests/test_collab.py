@@ -1,43 +1,66 @@
+from collections import Counter
+from itertools import combinations
+
 import pytest
+from conftest import PRODUCTS, SF_SMALL, ids, owned
 from pyspark.sql import functions as F
 
-from shelfwise.functions.skew import co_members
+from shelfwise.functions.skew import co_members, pair_partitions
 from shelfwise.operators import collab
 
+OWNED = owned()
+FREQ = Counter(p for own in OWNED.values() for p in own)
+PAIRS = Counter(x for own in OWNED.values() for x in combinations(sorted(own), 2))
+SCORE = {x: n / (FREQ[x[0]] + FREQ[x[1]] - n) for x, n in PAIRS.items()}
+CATALOGUED = {p[0] for p in PRODUCTS}
+
+
+def plain_also_bought(product):
+    out = [(b if a == product else a, s) for (a, b), s in SCORE.items() if product in (a, b)]
+    return sorted(((p, s) for p, s in out if p in CATALOGUED), key=lambda x: (-x[1], x[0]))
+
+
+def plain_popular():
+    return sorted((p for p in FREQ if p in CATALOGUED), key=lambda p: (-FREQ[p], p))
 
-def test_interactions_and_frequency(search_catalog):
-    inter = collab.interactions(search_catalog.reviews)
-    assert inter.count() == 6
-    freq = {r.product_id: r.product_frequency for r in collab.item_frequency(inter).collect()}
-    assert freq == {"B001": 2, "B002": 1, "D001": 2, "D002": 1}
 
+def plain_user_cf(user):
+    near = [len(OWNED[user] & own) for u, own in OWNED.items() if u != user and OWNED[user] & own]
+    score, common = Counter(), Counter()
+    for u, own in OWNED.items():
+        n = len(OWNED[user] & own)
+        if u != user and n:
+            for p in (own - OWNED[user]) & CATALOGUED:
+                score[p] += 1
+                common[p] += n
+    assert len(near) <= collab.MAX_NEIGHBOURS
+    return {p: (n, common[p] / n) for p, n in score.items()}
 
-def test_cooccurrence_and_jaccard(search_catalog):
-    inter = collab.interactions(search_catalog.reviews)
-    co = {(r.product1, r.product2): r.co_occurrence_count for r in collab.item_cooccurrence(inter).collect()}
-    assert co == {("B001", "B002"): 1, ("B001", "D001"): 1, ("B002", "D001"): 1, ("B001", "D002"): 1}
-    jac = {(r.product1, r.product2): r.similarity_score for r in collab.item_jaccard(inter).collect()}
-    assert jac[("B001", "B002")] == pytest.approx(0.5)
-    assert jac[("B001", "D001")] == pytest.approx(1 / 3)
-    assert jac[("B002", "D001")] == pytest.approx(0.5)
-    assert jac[("B001", "D002")] == pytest.approx(0.5)
 
+def test_interactions_and_frequency(shop):
+    inter = collab.interactions(shop.reviews)
+    assert {(r.customer_id, r.product_id) for r in inter.collect()} == {(u, p) for u, own in OWNED.items() for p in own}
+    assert {r.product_id: r.product_frequency for r in collab.item_frequency(inter).collect()} == FREQ
 
-def test_also_bought_golden(search_catalog):
-    model = collab.fit_similarity(search_catalog.reviews)
-    out = collab.also_bought(model.edges, search_catalog.products, 10, "B001").orderBy("rank").collect()
-    assert [(r.product_id, round(r.similarity_score, 6)) for r in out] == [
-        ("B002", 0.5), ("D002", 0.5), ("D001", 0.333333)]
-    # the batch form filtered to one key is the single-key form
-    batch = collab.also_bought(model.edges, search_catalog.products, 10).where("product1 = 'B001'")
-    assert sorted(r.product_id for r in batch.collect()) == ["B002", "D001", "D002"]
 
+def test_cooccurrence_and_jaccard(shop):
+    inter = collab.interactions(shop.reviews)
+    assert {(r.product1, r.product2): r.co_occurrence_count for r in collab.item_cooccurrence(inter).collect()} == PAIRS
+    got = {(r.product1, r.product2): r.similarity_score for r in collab.item_jaccard(inter).collect()}
+    assert got == {k: pytest.approx(v) for k, v in SCORE.items()}
+    assert got[("K-10", "K-11")] == pytest.approx(1 / 3) and got[("G-32", "T-51")] == 1.0
 
-def test_similarity_invariants(search_catalog):
-    model = collab.fit_similarity(search_catalog.reviews, persist=False)
-    e = {(r.product1, r.product2): r.similarity_score for r in model.edges.collect()}
-    for (a, b), s in e.items():
-        assert 0 < s <= 1 and e[(b, a)] == s
+
+def test_also_bought(shop):
+    edges = collab.fit_similarity(shop.reviews).edges
+    batch = collab.also_bought(edges, shop.products, 10)
+    for product in FREQ:
+        want = [(p, pytest.approx(s)) for p, s in plain_also_bought(product)]
+        for out in (batch.where(F.col("product1") == product), collab.also_bought(edges, shop.products, 10, product),
+                    collab.also_bought_for(collab.interactions(shop.reviews), shop.products, product, 10)):
+            assert [(r.product_id, r.similarity_score) for r in out.orderBy("rank").collect()] == want, product
+    both = {(r.product1, r.product2): r.similarity_score for r in edges.collect()}
+    assert all(0 < s <= 1 and both[(b, a)] == s for (a, b), s in both.items())
 
 
 def test_salted_pairs_equal_plain_self_join(spark):
@@ -53,45 +76,45 @@ def test_salted_pairs_equal_plain_self_join(spark):
     assert salted == {(r.m1, r.m2): r["count"] for r in plain.collect()}
 
 
-def test_user_jaccard(search_catalog, spark):
-    inter = collab.interactions(search_catalog.reviews)
-    got = {(r.customer1, r.customer2): r.similarity for r in collab.user_jaccard(inter).collect()}
-    assert got[("U001", "U002")] == pytest.approx(0.25)
-    assert got[("U001", "U003")] == pytest.approx(1 / 3)
-    assert ("U002", "U003") not in got
-    pairs = spark.createDataFrame([("U002", "U003"), ("U001", "U002"), ("U001", "NOBODY")],
-                                  "customer1 string, customer2 string")
-    got = {(r.customer1, r.customer2): r.similarity for r in collab.user_jaccard_pairs(inter, pairs).collect()}
-    assert got == {("U002", "U003"): 0.0, ("U001", "U002"): 0.25, ("U001", "NOBODY"): 0.0}
+def test_pair_partitions_follow_the_pairs(spark):
+    df = spark.createDataFrame([("hot", i) for i in range(200)], "g string, m int")
+    assert pair_partitions(df, "g", 1000) == 21      # 200 * 200 / 2 pairs
+    assert pair_partitions(df.limit(0), "g") == int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def test_user_cf_golden_and_invariants(search_catalog):
-    c = search_catalog
-    inter = collab.interactions(c.reviews)
-    out = collab.user_cf(inter, c.products, 10)
-    u3 = {r.product_id: (r.recommendation_score, r.user_similarity) for r in out.where("customer_id = 'U003'").collect()}
-    assert u3 == {"B001": (1, 1.0), "B002": (1, 1.0)}
-    owned = {(r.customer_id, r.product_id) for r in inter.collect()}
-    assert not {(r.customer_id, r.product_id) for r in out.collect()} & owned
-    # repartitioning the input does not change the answer
-    again = collab.user_cf(inter.repartition(7), c.products, 10)
+def test_user_jaccard(shop, spark):
+    inter = collab.interactions(shop.reviews)
+    want = {(a, b): len(OWNED[a] & OWNED[b]) / len(OWNED[a] | OWNED[b]) for a, b in combinations(sorted(OWNED), 2)}
+    got = {(r.customer1, r.customer2): r.similarity for r in collab.user_jaccard(inter).collect()}
+    assert got == {k: pytest.approx(v) for k, v in want.items() if v}
+    ask = spark.createDataFrame([*want, ("ada", "nobody"), ("no", "one")], "customer1 string, customer2 string")
+    got = {(r.customer1, r.customer2): r.similarity for r in collab.user_jaccard_pairs(inter, ask).collect()}
+    assert got == {**{k: pytest.approx(v) for k, v in want.items()}, ("ada", "nobody"): 0.0, ("no", "one"): 0.0}
+
+
+def test_user_cf(shop):
+    inter = collab.interactions(shop.reviews)
+    out = collab.user_cf(inter, shop.products, 10)
+    for user in OWNED:
+        got = {r.product_id: (r.recommendation_score, r.user_similarity) for r in out.where(F.col("customer_id") == user).collect()}
+        assert got == plain_user_cf(user), user
+    again = collab.user_cf(inter.repartition(7), shop.products, 10)
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, again.collect()))
 
 
-def test_router_and_cold_start(search_catalog):
-    c = search_catalog
-    model = collab.fit_similarity(c.reviews)
-    cold = collab.get_collaborative_recommendations(model, c.products, user_id="NEW", n=2)
-    assert [r.product_id for r in cold.orderBy("rank").collect()] == ["B001", "D001"]
-    pop = collab.get_collaborative_recommendations(model, c.products, n=1)
-    assert pop.first().product_id == "B001"
-    ab = collab.get_also_bought(model, c.products, "D002")
-    assert [r.product_id for r in ab.collect()] == ["B001"]
+def test_router_and_cold_start(shop):
+    c, inter = shop, collab.interactions(shop.reviews)
+    assert ids(collab.get_collaborative_recommendations(inter, c.products, user_id="new", n=3)) == plain_popular()[:3]
+    assert ids(collab.get_collaborative_recommendations(inter, c.products, n=1)) == plain_popular()[:1]
+    warm = collab.get_collaborative_recommendations(inter, c.products, user_id="ben")
+    assert {r.product_id for r in warm.collect()} == set(plain_user_cf("ben"))
+    want = [p for p, _ in plain_also_bought("G-32")]
+    assert ids(collab.get_collaborative_recommendations(inter, c.products, product_id="G-32")) == want
+    assert ids(collab.get_also_bought(collab.fit_similarity(c.reviews), c.products, "G-32")) == want
 
 
 def test_targeted_user_cf_equals_batch(spark):
     from shelfwise.sources.testdata import catalog_from_tables
-    from conftest import SF_SMALL
     c = catalog_from_tables(spark, SF_SMALL)
     inter = collab.interactions(c.reviews)
     users = inter.select("customer_id").distinct().orderBy("customer_id").limit(7)
@@ -100,16 +123,16 @@ def test_targeted_user_cf_equals_batch(spark):
     assert sorted(map(tuple, batch.collect())) == sorted(map(tuple, targeted.collect()))
 
 
-def test_edges_of_equals_filtered_edges(search_catalog):
-    model = collab.fit_similarity(search_catalog.reviews)
-    one = sorted(map(tuple, model.edges_of("D001").collect()))
-    all_ = sorted(map(tuple, model.edges.where("product1 = 'D001'").collect()))
-    assert one == all_ and len(one) == 2
+def test_edges_of_equals_filtered_edges(shop):
+    model = collab.fit_similarity(shop.reviews)
+    one = sorted(map(tuple, model.edges_of("K-10").collect()))
+    all_ = sorted(map(tuple, model.edges.where("product1 = 'K-10'").collect()))
+    assert one == all_ and len(one) == 4
 
 
-def test_model_save_load_roundtrip(search_catalog, tmp_path):
-    model = collab.fit_similarity(search_catalog.reviews)
+def test_model_save_load_roundtrip(shop, tmp_path):
+    model = collab.fit_similarity(shop.reviews)
     model.save(str(tmp_path / "model"))
-    back = collab.SimilarityModel.load(search_catalog.reviews.sparkSession, str(tmp_path / "model"))
+    back = collab.SimilarityModel.load(shop.reviews.sparkSession, str(tmp_path / "model"))
     assert sorted(map(tuple, back.edges.collect())) == sorted(map(tuple, model.edges.collect()))
     assert back.interactions.count() == model.interactions.count()

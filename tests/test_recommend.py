@@ -1,72 +1,93 @@
+import pytest
+from conftest import PRODUCTS, REVIEWS, best, ids
 from pyspark.sql import functions as F
 
 from shelfwise.operators import recommend
 
+BY_RANK = lambda p: (p[3], -(p[6] or 0), p[0])
+BY_RATING = lambda p: (-p[6], p[3], p[0])
+POPULAR = best(BY_RANK, lambda p: (p[6] or 0) >= 3.5 or p[3] <= 100_000)
+CATEGORY = {p[0]: p[2] for p in PRODUCTS}
 
-def test_popularity_first_is_d001(rec_catalog):
-    out = recommend.popularity(rec_catalog.products, None, 2).orderBy("rank").collect()
-    assert [r.product_id for r in out] == ["D001", "B001"]
 
+def content(user, n=None, unseen=False):
+    mine = {r[0] for r in REVIEWS if r[1] == user}
+    cats = {CATEGORY[x] for x in mine if CATEGORY.get(x) and any(r[0] == x and r[1] == user and r[2] is not None for r in REVIEWS)}
+    return best(BY_RATING, lambda p: p[2] in cats and (p[6] or 0) >= 4.0 and not (unseen and p[0] in mine), n)
 
-def test_popularity_per_category(rec_catalog):
-    out = recommend.popularity_per_category(rec_catalog.products, 1)
-    assert {r.category: r.product_id for r in out.collect()} == {"Book": "B001", "DVD": "D001", "Music": "M001"}
 
+def test_popularity(shop):
+    assert ids(recommend.popularity(shop.products, None, 4)) == POPULAR[:4] == ["G-30", "K-10", "K-11", "G-32"]
+    assert ids(recommend.popularity(shop.products, "Toys", 4)) == ["T-51"]
+    per = recommend.popularity_per_category(shop.products, 1)
+    assert {r.category: r.product_id for r in per.collect()} == {"Garden": "G-30", "Kitchen": "K-10", "Toys": "T-51"}
 
-def test_user_category_profile(rec_catalog):
-    out = recommend.user_category_profile(rec_catalog.products, rec_catalog.reviews)
+
+def test_user_category_profile(shop):
+    out = recommend.user_category_profile(shop.products, shop.reviews)
     got = {(r.customer_id, r.category): (r.review_count, r.avg_user_rating) for r in out.collect()}
-    assert got[("U001", "Book")] == (2, 4.0)
-    assert got[("U001", "Music")] == (1, 4.0)
-
-
-def test_content_based_all_users(rec_catalog):
-    out = recommend.content_based(rec_catalog.products, rec_catalog.reviews, 10)
-    u1 = [r.product_id for r in out.where("customer_id = 'U001'").orderBy("rank").collect()]
-    # categories Book, Music; rated >= 4.0, by rating desc then rank
-    assert u1 == ["B001", "B002", "M001"]
-    u3 = [r.product_id for r in out.where("customer_id = 'U003'").orderBy("rank").collect()]
-    assert u3 == ["D001"]
-    unseen = recommend.content_based(rec_catalog.products, rec_catalog.reviews, 10, exclude_seen=True)
-    assert unseen.where("customer_id = 'U003'").count() == 0
-
-
-def test_content_based_single_user_fallback(rec_catalog):
-    out = recommend.content_based_for(rec_catalog.products, rec_catalog.reviews, "NOBODY", 2)
-    assert [r.product_id for r in out.orderBy("rank").collect()] == ["D001", "B001"]
-
-
-def test_hybrid_fills_from_popularity(rec_catalog):
-    out = recommend.hybrid(rec_catalog.products, rec_catalog.reviews, None, 3)
-    u3 = [r.product_id for r in out.where("customer_id = 'U003'").orderBy("rank").collect()]
-    assert u3 == ["D001", "B001", "M001"]  # content D001, then popular minus duplicates
-    users = rec_catalog.reviews.sparkSession.createDataFrame([("U003",), ("NEW",)], "customer_id string")
-    out = recommend.hybrid(rec_catalog.products, rec_catalog.reviews, users, 2)
-    assert [r.product_id for r in out.where("customer_id = 'NEW'").orderBy("rank").collect()] == ["D001", "B001"]
-    raw = recommend.hybrid(rec_catalog.products, rec_catalog.reviews, None, 3, dedupe=False)
-    assert [r.product_id for r in raw.where("customer_id = 'U003'").orderBy("rank").collect()] == ["D001", "D001", "B001"]
-
-
-def test_similar_products_tiers(search_catalog, spark):
-    p = search_catalog.products
-    out = recommend.similar_products(p, 10)
-    b001 = out.where("target_id = 'B001'").orderBy("rank").collect()
-    assert [r.product_id for r in b001] == ["B002", "B003"] and {r.tier for r in b001} == {1}
-    # tier 2: a product whose curated list is not in the catalogue
-    extra = spark.createDataFrame([("X1", "X", "DVD", 10, ["ZZZ"], 1, 4.0, 1.0)],
-                                  p.schema)
-    out = recommend.similar_products(p.unionByName(extra), 10)
-    x1 = out.where("target_id = 'X1'").orderBy("rank").collect()
-    assert [r.product_id for r in x1] == ["D001", "D002"] and {r.tier for r in x1} == {2}
-    # unknown requested id -> popularity
-    t = spark.createDataFrame([("NOPE",)], "product_id string")
-    fb = recommend.similar_products(p, 2, t).orderBy("rank").collect()
-    assert [r.product_id for r in fb] == ["D001", "B001"] and {r.tier for r in fb} == {0}
-
-
-def test_router(rec_catalog):
-    c = rec_catalog
-    assert recommend.get_recommendations(c.products, c.reviews, user_id="U003", n=1).first().product_id == "D001"
-    assert recommend.get_recommendations(c.products, c.reviews, n=1).first().product_id == "D001"
-    by_product = recommend.get_recommendations(c.products, c.reviews, product_id="B001", n=5)
-    assert {r.product_id for r in by_product.collect()} == {"B002"}
+    assert got[("ada", "Kitchen")] == (3, pytest.approx(10 / 3)) and got[("cleo", "Garden")] == (2, 2.5)
+    assert ("dan", "Kitchen") not in got        # only a review without a rating
+
+
+@pytest.mark.parametrize("unseen", [False, True])
+def test_content_based(shop, unseen):
+    out = recommend.content_based(shop.products, shop.reviews, 2, exclude_seen=unseen)
+    for user in ("ada", "ben", "cleo", "dan"):
+        assert ids(out.where(F.col("customer_id") == user)) == content(user, 2, unseen), user
+
+
+def test_content_for_one_user(shop):
+    assert ids(recommend.content_based_for(shop.products, shop.reviews, "dan", 5)) == content("dan", 5)
+    assert ids(recommend.content_based_for(shop.products, shop.reviews, "nobody", 3)) == POPULAR[:3]
+
+
+def test_hybrid_fills_from_popularity(shop, spark):
+    out = recommend.hybrid(shop.products, shop.reviews, None, 4)
+    for user in ("ada", "ben", "cleo", "dan"):
+        want = content(user, 4)
+        want += [p for p in POPULAR[:8] if p not in want]
+        assert ids(out.where(F.col("customer_id") == user)) == want[:4], user
+    users = spark.createDataFrame([("cleo",), ("new",), ("new",)], "customer_id string")
+    some = recommend.hybrid(shop.products, shop.reviews, users, 4)
+    assert sorted({r.customer_id for r in some.collect()}) == ["cleo", "new"]
+    assert ids(some.where("customer_id = 'new'")) == POPULAR[:4]
+    assert ids(some.where("customer_id = 'cleo'")) == ids(out.where("customer_id = 'cleo'"))
+    repeats = recommend.hybrid(shop.products, shop.reviews, None, 4, dedupe=False)
+    cleo = content("cleo", 4)
+    assert ids(repeats.where("customer_id = 'cleo'")) == cleo + POPULAR[:4 - len(cleo)]
+
+
+def test_similar_products_tiers(shop, spark):
+    out = recommend.similar_products(shop.products, 3)
+    tier = {r.target_id: r.tier for r in out.collect()}
+    listed = {"K-10": ["K-12", "G-30"], "K-12": ["K-10"], "G-30": ["G-31"], "T-50": ["T-50", "K-10"]}
+    for p in PRODUCTS:
+        got = ids(out.where(F.col("target_id") == p[0]))
+        if p[0] in listed:
+            assert got == listed[p[0]] and tier[p[0]] == 1
+        else:
+            assert got == best(BY_RATING, lambda c: c[2] == p[2] and c[0] != p[0] and (c[6] or 0) >= 3.5, 3)
+            assert tier.get(p[0], 2) == 2
+    ask = spark.createDataFrame([("G-31",), ("K-10",), ("unknown",)], "product_id string")
+    some = recommend.similar_products(shop.products, 3, ask)
+    assert ids(some.where("target_id = 'unknown'")) == POPULAR[:3] and ids(some.where("target_id = 'G-31'")) == ["G-32", "G-30"]
+    assert ids(some.where("target_id = 'K-10'")) == ["K-12", "G-30"]
+
+
+def test_router(shop):
+    c = shop
+    assert ids(recommend.get_recommendations(c.products, c.reviews, user_id="ben", n=2)) == content("ben", 2)
+    assert ids(recommend.get_recommendations(c.products, c.reviews, n=1)) == POPULAR[:1]
+    assert ids(recommend.get_recommendations(c.products, c.reviews, product_id="K-12", n=5)) == ["K-10"]
+
+
+def test_one_user_reads_only_their_reviews(shop):
+    plan = recommend.get_recommendations(shop.products, shop.reviews, user_id="ben")._jdf.queryExecution().optimizedPlan()
+    reviews = [i for i, line in enumerate(plan.toString().split("\n")) if "LogicalRDD" in line and "review_date" in line]
+    lines = plan.toString().split("\n")
+    # the nearest join above every scan of the reviews is the one with the asked users
+    for i in reviews:
+        above = [x for x in lines[:i] if "Join " in x and x.index("Join ") < lines[i].index("LogicalRDD")]
+        assert "LeftSemi" in above[-1]
+    assert reviews
