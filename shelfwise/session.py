@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,13 +54,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if sc.master.split("[")[0] != "local":
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="shelfwise-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+_SCOPE: ContextVar[list | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables materialized inside the block are deleted at its end. Write or
+    collect the results inside; a service that answers many calls uses one
+    block for each, so the shared folder does not fill up."""
+    token = _SCOPE.set([])
+    try:
+        yield
+    finally:
+        for path in _SCOPE.get():
+            _delete(spark, path)
+        _SCOPE.reset(token)
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Cut lineage by writing ``df`` as Parquet under the shared checkpoint
     folder and reading it back.
@@ -69,6 +88,8 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
+    if _SCOPE.get() is not None:
+        _SCOPE.get().append(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -81,7 +102,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def drop_materialized(spark: SparkSession) -> None:
     """Delete this session's materialized tables (call when the DataFrames
     built on them are no longer needed, e.g. at the end of a job)."""
-    path = scratch_path(spark, "")
+    _delete(spark, scratch_path(spark, ""))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
     if fs.exists(jpath):

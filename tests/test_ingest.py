@@ -182,12 +182,19 @@ def test_streaming_ingest(spark):
     q.awaitTermination(120)
     products = spark.read.parquet(f"{out}/products")
     assert products.count() == 5 and "batch_id" in products.columns
+    from shelfwise.streaming.catalog_stream import read_products
+    with open(os.path.join(src, "part-3.json"), "w") as fh:
+        fh.write(JSON_LINES[9] + "\n")      # an id of the first batch again
+    start_catalog_ingest(spark, src, out, ckpt).awaitTermination(120)
+    assert spark.read.parquet(f"{out}/products").count() == 6
+    assert {r.product_id: r.title for r in read_products(spark, out).collect()}["A1"] == "Good"
+    products = spark.read.parquet(f"{out}/products").where("title <> 'Duplicate'")
     # replaying a batch (same id) replaces its output instead of duplicating it
     from shelfwise.streaming.catalog_stream import _write_batch
     again = json_catalog.parse_catalog_lines(spark.createDataFrame([(JSON_LINES[7],)], "value string"))
     last = max(r.batch_id for r in products.select("batch_id").distinct().collect())
     _write_batch(out)(again, last)
-    assert spark.read.parquet(f"{out}/products").count() == 5
+    assert spark.read.parquet(f"{out}/products").count() == 6
 
 
 def test_json_scanner_multiline_failfast_and_gzip(spark):

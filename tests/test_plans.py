@@ -47,6 +47,18 @@ def test_filters_reach_parquet_scan(spark):
     assert "ReadSchema: struct<product_id:bigint,category:string>" in scan
 
 
+def test_scratch_scope_deletes_its_tables_only(spark):
+    from shelfwise.session import materialize, scratch_scope
+    kept = materialize(spark.range(5))
+    with scratch_scope(spark):
+        inside = materialize(spark.range(7))
+        path = inside.inputFiles()[0]
+        assert inside.count() == 7
+    assert kept.count() == 5
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    assert not jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+
+
 def test_drop_materialized(spark):
     from shelfwise.session import drop_materialized, materialize, scratch_path
     df = materialize(spark.range(10))
