@@ -35,7 +35,8 @@ from .common import materialize, mix64, texts_of
 
 ORDER = 5
 BROADCAST_ROWS = 4_000_000      # 64 MB of keys and log-probabilities
-CHUNK = 1 << 22                 # bytes of text counted at once
+CHUNK = 1 << 20                 # bytes of text packed into n-grams at once
+MERGE = 2_000_000               # counts that a task holds before it adds them up
 SYMBOLS = b"#*$%&|<>"
 WIDTH, ERRORS = 0.08, 5.0       # half a band: a share of its centre, and sampling errors
 GRID = 1000                     # steps of log-perplexity for exact medians from counts
@@ -126,19 +127,20 @@ def count_ngrams(docs: DataFrame, order: int = ORDER, text: str = "text", lang:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict = {}
 
-        def add(x, grams, n):
-            if x in held:
-                grams, n = np.concatenate([held[x][0], grams]), np.concatenate([held[x][1], n])
-                grams, at = np.unique(grams, return_inverse=True)
-                n = np.bincount(at, n).astype(np.int64)
-            held[x] = grams, n
+        def merge() -> int:
+            for x, parts in held.items():
+                grams, at = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
+                held[x] = [(grams, np.bincount(at, np.concatenate([n for _, n in parts])).astype(np.int64))]
+            return sum(len(parts[0][1]) for parts in held.values())
 
         def out():
-            for x, (grams, n) in held.items():
+            merge()
+            for x, ((grams, n),) in held.items():
                 yield pa.RecordBatch.from_pydict({"lang": pa.array([x] * len(n), pa.string()),
                                                   "gram": grams.view(np.int64), "n": n})
             held.clear()
 
+        size = 0
         for b in batches:
             texts = texts_of(b.column(1))
             for x, rows in _languages(b.column(0)).items():
@@ -146,9 +148,13 @@ def count_ngrams(docs: DataFrame, order: int = ORDER, text: str = "text", lang:
                 for i, j in _chunks(own):
                     grams, n = np.unique(_stream(own[i:j], order)[0], return_counts=True)
                     if len(grams):
-                        add(x, grams, n.astype(np.int64))
-            if sum(len(v[1]) for v in held.values()) > 4_000_000:
-                yield from out()
+                        held.setdefault(x, []).append((grams, n))
+                        size += len(grams)
+                    if size > MERGE:
+                        size = merge()
+                        if size > MERGE // 2:
+                            yield from out()
+                            size = 0
         yield from out()
 
     counts = docs.select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text")) \
@@ -318,14 +324,14 @@ class _Shared:
         return self.shared.value[x]
 
 
-def _median(rows: DataFrame, value: Column) -> DataFrame:
+def _median(rows: DataFrame, value: Column, grid: int = GRID) -> DataFrame:
     """``(m_lang, median)`` of a value in [0, inf) by language, exact to one
     step of the grid: counts by step, then a running sum over the steps."""
-    steps = rows.groupBy("lang", F.floor(value * GRID).alias("step")).agg(F.count(F.lit(1)).alias("n"))
+    steps = rows.groupBy("lang", F.floor(value * grid).alias("step")).agg(F.count(F.lit(1)).alias("n"))
     by = Window.partitionBy("lang")
     upto = F.sum("n").over(by.orderBy("step"))
     return steps.select("lang", "step", upto.alias("upto"), F.sum("n").over(by).alias("all")) \
-        .where(F.col("upto") * 2 >= F.col("all")).groupBy("lang").agg((F.min("step") / GRID).alias("median")) \
+        .where(F.col("upto") * 2 >= F.col("all")).groupBy("lang").agg((F.min("step") / grid).alias("median")) \
         .select(F.col("lang").alias("m_lang"), "median")
 
 
@@ -337,7 +343,7 @@ def bands(scored: DataFrame) -> DataFrame:
     centre = _median(ok, F.col("nll"))
     far = ok.join(F.broadcast(centre), F.col("lang").eqNullSafe(F.col("m_lang")))       # a row for each language
     far = far.select("lang", (F.abs(F.col("nll") - F.col("median")) * F.sqrt("n_words")).alias("far"))
-    sd = _median(far, F.col("far")).select(F.col("m_lang").alias("s_lang"), (F.col("median") * 1.4826).alias("sd"))
+    sd = _median(far, F.col("far"), GRID // 10).select(F.col("m_lang").alias("s_lang"), (F.col("median") * 1.4826).alias("sd"))
     return centre.join(sd, F.col("m_lang").eqNullSafe(F.col("s_lang"))) \
         .select(F.col("m_lang").alias("b_lang"), F.col("median").alias("centre"), "sd")
 
