@@ -160,6 +160,8 @@ def user_overlap(inter: DataFrame, chunk: int = DEFAULT_CHUNK, with_degrees: boo
                            persist=persist)
         return pairs.select(F.col("m1").alias("customer1"), F.col("m2").alias("customer2"), "common_products")
     degree = inter.groupBy("customer_id").agg(F.count(F.lit(1)).alias("items"))
+    if persist:
+        degree = materialize(degree, "degree")
     tagged = base.join(degree, "customer_id")
     pairs = co_members(tagged, "product_id", "customer_id", carry=["items"],
                        chunk=chunk, count_col="common_products", persist=persist)
