@@ -340,8 +340,9 @@ def bands(scored: DataFrame) -> DataFrame:
     pass the base rules: the median of nll, and the standard deviation of one
     word as 1.4826 times the median of ``|nll - centre| * sqrt(n_words)``."""
     ok = scored.where(~F.col("base_failed") & F.col("nll").isNotNull()).select("lang", "nll", "n_words")
-    centre = _median(ok, F.col("nll"))
-    far = ok.join(F.broadcast(centre), F.col("lang").eqNullSafe(F.col("m_lang")))       # a row for each language
+    # written, so that the joins see its size: a row for each language
+    centre = materialize(_median(ok, F.col("nll")), "centre")
+    far = ok.join(centre, F.col("lang").eqNullSafe(F.col("m_lang")))
     far = far.select("lang", (F.abs(F.col("nll") - F.col("median")) * F.sqrt("n_words")).alias("far"))
     sd = _median(far, F.col("far"), GRID // 10).select(F.col("m_lang").alias("s_lang"), (F.col("median") * 1.4826).alias("sd"))
     return centre.join(sd, F.col("m_lang").eqNullSafe(F.col("s_lang"))) \
@@ -366,7 +367,7 @@ def apply_rules(docs: DataFrame, order: int = ORDER, width: float = WIDTH, error
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     scored = materialize(scored.withColumn("base_failed", failed), "scored")
     band = materialize(bands(scored), "bands")
-    out = scored.join(F.broadcast(band), F.col("lang").eqNullSafe(F.col("b_lang")), "left")   # a row for each language
+    out = scored.join(band, F.col("lang").eqNullSafe(F.col("b_lang")), "left")
     half = width * F.col("centre") + errors * F.col("sd") / F.sqrt(F.greatest("n_words", F.lit(1)))
     out = out.withColumn("lower", F.col("centre") - half).withColumn("upper", F.col("centre") + half)
     return out.select("doc_id", "lang", *[c.split()[0] for c in _BASE.split(", ")], "base_failed", "nll", "lower", "upper",
