@@ -4,12 +4,14 @@ straight from ``part``."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions.columns import order_by
 from ..functions.sequence import running_count
 from ..operators import normalize, recommend, search
-from ..session import materialize
+from ..session import materialize, scratch_path
 from ..sources import json_catalog, text_catalog
 from ..sources.testdata import block_records_from_part, json_lines_from_part
 from .registry import PLANS, plan
@@ -180,3 +182,28 @@ def q_text_catalog_search(spark, d):
     popular = recommend.popularity(products, None, 10)
     return found.select(F.lit("filter").alias("kind"), "product_id", (F.col("rank") + 1).alias("rank")).unionByName(
         popular.select(F.lit("popular").alias("kind"), "product_id", F.col("rank").cast("bigint").alias("rank")))
+
+
+@plan("json_scan_modes", """
+WITH l AS (
+  SELECT p_partkey % 10 AS d, p_partkey % 37 = 0 AS plain, p_partkey % 19 = 0 AND p_partkey % 7 <> 0 AS mistyped
+  FROM part WHERE p_partkey % 10 <> 5),
+c AS (
+  SELECT mistyped OR d = 3 OR (d IN (1, 2, 4) AND NOT plain) AS strict,
+         mistyped OR d = 3 OR (d IN (2, 4) AND NOT plain) AS quoted FROM l)
+SELECT 'permissive' AS mode, count(*) AS rows, count(*) FILTER (strict) AS corrupt FROM c
+UNION ALL SELECT 'permissive, single quotes', count(*), count(*) FILTER (quoted) FROM c
+UNION ALL SELECT 'drop malformed', count(*) FILTER (NOT strict), 0 FROM c""")
+def q_json_scan_modes(spark, d):
+    """The rendered lines as files, scanned in each mode."""
+    path = scratch_path(spark, f"lines-{uuid.uuid4().hex}")
+    json_lines_from_part(spark, d).write.text(path)
+    out = []
+    for name, options in (("permissive", {}), ("permissive, single quotes", {"allow_single_quotes": True}),
+                          ("drop malformed", {"mode": "DROPMALFORMED"})):
+        df = json_catalog.read_catalog_json(spark, path, **options)
+        # the whole row is used, so that every field is parsed
+        bad = F.col("_corrupt_record").isNotNull() if "_corrupt_record" in df.columns else F.lit(False)
+        out.append(df.where(F.length(F.to_json(F.struct("*"))) > 0).select(bad.alias("bad"))
+                   .agg(F.count("bad").alias("rows"), F.count_if("bad").alias("corrupt")).withColumn("mode", F.lit(name)))
+    return out[0].unionByName(out[1]).unionByName(out[2])
