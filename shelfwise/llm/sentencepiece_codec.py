@@ -115,9 +115,10 @@ def _probe(points: np.ndarray, h: np.ndarray, length: int, table) -> tuple[np.nd
     return score, id
 
 
-def viterbi(words: list[str], pieces: Pieces) -> list[tuple[int, ...]]:
-    """Best segmentations of words of one length (in code points). Arrays
-    are position by word, so each step runs over contiguous rows."""
+def viterbi(words: list[str], pieces: Pieces) -> list[bytes]:
+    """Best segmentations of words of one length (in code points), as the
+    bytes of int32 ids. Arrays are position by word, so each step runs over
+    contiguous rows."""
     n, size = len(words), len(words[0])
     points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, size)
     points = np.ascontiguousarray(points.T)
@@ -153,12 +154,12 @@ def viterbi(words: list[str], pieces: Pieces) -> list[tuple[int, ...]]:
         rows = rows[where[rows] > 0]
     out = np.ascontiguousarray(out.T)
     used = out != -2
-    flat, ends = out[used].tolist(), np.cumsum(used.sum(1)).tolist()
-    found = [tuple(flat[i:j]) for i, j in zip([0, *ends], ends)]
+    flat, ends = out[used].tobytes(), (4 * np.cumsum(used.sum(1))).tolist()
+    found = [flat[i:j] for i, j in zip([0, *ends], ends)]
     for k in np.nonzero((out == -1).any(1))[0].tolist():
-        found[k] = tuple(chain.from_iterable(
+        found[k] = np.array(list(chain.from_iterable(
             [pieces.byte_ids[b] for b in words[k][c].encode("utf-8", "surrogatepass")] if i == -1 else [i]
-            for c, i in enumerate(out[k].tolist()) if i != -2))
+            for c, i in enumerate(out[k].tolist()) if i != -2)), np.int32).tobytes()
     return found
 
 
@@ -175,6 +176,10 @@ class Encoder:
         return self.cut(" " + text) if text else []
 
     def encode(self, texts: list[str]) -> list[list[int]]:
+        return [np.frombuffer(x, np.int32).tolist() for x in self.encode_bytes(texts)]
+
+    def encode_bytes(self, texts: list[str]) -> list[bytes]:
+        """The bytes of the int32 ids of each text."""
         cut = [self.words(t) for t in texts]
         new = set(chain.from_iterable(cut))
         if len(self.known) + len(new) > CACHE_WORDS:     # words that come again stay
@@ -188,7 +193,7 @@ class Encoder:
             for i in range(0, len(own), max(1, BLOCK_CELLS // size)):
                 part = own[i:i + max(1, BLOCK_CELLS // size)]
                 got.update(zip(part, viterbi(part, self.pieces)))
-        out = [list(chain.from_iterable(map(got.__getitem__, ws))) for ws in cut]
+        out = [b"".join(map(got.__getitem__, ws)) for ws in cut]
         for size, own in by_length.items():
             if size > LONG:
                 for w in own:
@@ -196,16 +201,36 @@ class Encoder:
         return out
 
 
+class Decoder:
+    """Texts of lists of ids: the exact inverse of the encoder. The bytes of
+    all pieces lie in one array, from which those of all ids are gathered."""
+
+    def __init__(self, surface: list[bytes]):
+        self.size = np.array([len(x) for x in surface], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.blob = np.frombuffer(b"".join(surface), np.uint8)
+
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """Texts of the lists that end at ``ends`` in ``ids``."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.size)):
+            raise ValueError("an id is outside the vocabulary")
+        size = self.size[ids]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        raw = self.blob[np.repeat(self.start[ids] - upto[:-1], size) + np.arange(upto[-1])].tobytes()
+        at = upto[np.concatenate([[0], ends])].tolist()
+        return [(raw[i + 1:j] if raw[i:i + 1] == b" " and j > i else raw[i:j]).decode("utf-8", "replace")
+                for i, j in zip(at, at[1:])]
+
+
 def decode_ids(ids, surface: list[bytes]) -> str:
-    """The text of a list of ids: exact inverse of the encoder."""
-    raw = b"".join([surface[i] for i in ids])
-    return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
+    """The text of one list of ids."""
+    return Decoder(surface).decode(np.array(ids, np.int64), np.array([len(ids)]))[0]
 
 
-def _slices(sizes: list[int]) -> Iterator[tuple[int, int]]:
+def _slices(sizes: list[int], most: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
     at, total = 0, 0
     for i, n in enumerate(sizes):
-        if total and total + n > CHUNK_CHARS:
+        if total and total + n > most:
             yield at, i
             at, total = i, 0
         total += n
@@ -230,9 +255,9 @@ def encode(docs: DataFrame, model: str = MODEL, text: str = "text", id: str = "d
         for b in batches:
             column = b.column(len(names))
             for i, j in _slices(pa.compute.utf8_length(column).fill_null(0).to_pylist()):
-                got = coder.encode(["" if t is None else t for t in column.slice(i, j - i).to_pylist()])
-                n = np.array([len(x) for x in got], np.int64)
-                flat = np.fromiter(chain.from_iterable(got), np.int32, int(n.sum()))
+                got = coder.encode_bytes(["" if t is None else t for t in column.slice(i, j - i).to_pylist()])
+                n = np.array([len(x) // 4 for x in got], np.int64)
+                flat = np.frombuffer(b"".join(got), np.int32)
                 ids = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(n)]).astype(np.int32), flat)
                 yield pa.RecordBatch.from_arrays([*[b.column(k).slice(i, j - i) for k in range(len(names))], ids,
                                                   pa.array(n)],
@@ -249,12 +274,13 @@ def decode(encoded: DataFrame, model: str = MODEL, ids: str = "ids", keep: tuple
     kinds = ", ".join(f"`{c}` {encoded.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decoder = Decoder(surface)
         for b in batches:
-            rows = b.column(len(keep))
-            rows = rows.combine_chunks() if isinstance(rows, pa.ChunkedArray) else rows
-            for at in range(0, b.num_rows, 512):
-                texts = [decode_ids(x or (), surface) for x in rows.slice(at, 512).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*[b.column(k).slice(at, 512) for k in range(len(keep))],
+            size = pa.compute.list_value_length(b.column(len(keep))).fill_null(0).to_numpy(zero_copy_only=False)
+            for i, j in _slices(size.tolist(), CHUNK_CHARS // 4):
+                own = b.column(len(keep)).slice(i, j - i)
+                texts = decoder.decode(own.flatten().to_numpy(zero_copy_only=False), np.cumsum(size[i:j]))
+                yield pa.RecordBatch.from_arrays([*[b.column(k).slice(i, j - i) for k in range(len(keep))],
                                                   pa.array(texts, pa.string())], names=[*keep, "text"])
 
     return encoded.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{ids}`")).mapInArrow(run, f"{kinds}, text string")
