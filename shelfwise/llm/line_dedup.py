@@ -1,21 +1,26 @@
 """Line dedup by pairwise alignment of overlapping documents.
 
-Documents that share a line are found through line hashes, aligned with
-patience diff, and the aligned common blocks are deleted from the later
-document (documents are ordered by doc_id). Which pairs are aligned:
-
-* a document with the first document that has one of its lines, for every
-  shared line however frequent: one pair at most for each line of a document;
-* for a rare line (in at most ``rare`` texts) also with the last document
-  before it that has the line.
-
-So pairs grow with the number of lines and not with the square of a group,
-and no group of equal lines is ever held together. Later exact copies of a
-text need no alignment: the whole text is one common block.
+Documents are aligned with patience diff, and the aligned common blocks of
+enough words are deleted from the later document (documents are ordered by
+doc_id). The result is that of aligning each document with every earlier one,
+but only pairs that can still change it are aligned. They are found through
+runs: the shortest run of lines that reaches ``min_words`` forwards and
+backwards from each line. Every line of a block lies in a run inside the
+block, so both documents hold that run.
+
+1. A document is aligned with the first holder of each of its runs, however
+   frequent the run is.
+2. Runs that still have a line not deleted: with the first ``EARLY`` holders.
+3. Runs that still have one: with all other earlier holders.
+
+Steps 1 and 2 give pairs by the number of runs, not by the square of a group.
+Only runs that none of these holders aligns reach step 3. Later exact copies
+of a text need no alignment: the whole text is one common block.
 """
 
 from __future__ import annotations
 
+from array import array
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
@@ -28,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import map_batches, materialize, pack_rows, texts_of, unpack_rows
 
 MIN_WORDS = 8       # words of the smallest block that is deleted
-RARE = 1000
+EARLY = 16          # holders of a run that are tried before all
 
 
 # ------------------------------------------------------------ patience diff
@@ -124,23 +129,47 @@ def _key(id: Column, text: Column) -> Column:
     return F.struct(id.isNull().alias("no_id"), id.alias("doc_id"), F.xxhash64(text).alias("h"))
 
 
-def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE, text: str = "text",
-                   id: str = "doc_id") -> DataFrame:
-    """``(key, whole, cut)`` of the documents that lose lines: key as in
-    ``_key``, whole if all lines go, else cut with the numbers of the lines."""
-    rows = materialize(text_lines(docs, text, id).dropDuplicates(["key"]), "lines")
-    texts = materialize(rows.groupBy("h").agg(F.min("key").alias("key"), F.first("lines").alias("lines"),
-                                              F.first("words").alias("words")), "texts")
-    lines = materialize(texts.select("key", F.explode(F.array_distinct(F.filter("lines", lambda x: x != 0)))
-                                     .alias("line")), "lines")
-    shared = materialize(lines.groupBy(F.col("line").alias("s_line"))
-                         .agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
-    held = lines.join(shared, F.col("line") == F.col("s_line"))
-    before = F.lag("key").over(Window.partitionBy("line").orderBy("key"))
-    pairs = held.where(F.col("key") > F.col("first")).select(F.col("first").alias("a"), F.col("key").alias("b")) \
-        .unionByName(held.where(F.col("n").between(3, rare)).select(before.alias("a"), F.col("key").alias("b"))
-                     .where("a is not null")).distinct()
-    pairs = materialize(pairs, "pairs")
+def _runs(lines: list[int], words: list[int], min_words: int) -> list[tuple[int, int]]:
+    """Runs (start, end) of lines that reach ``min_words`` and do so no more
+    without their last line, or no more without their first."""
+    out, end, n = set(), 0, 0
+    for start in range(len(lines)):         # forwards from each line
+        while end < len(lines) and n < min_words:
+            n, end = n + words[end], end + 1
+        if n < min_words:
+            break
+        out.add((start, end))
+        n -= words[start]
+    start, n = 0, 0
+    for end in range(1, len(lines) + 1):    # backwards from each line
+        n += words[end - 1]
+        while start < end and n - words[start] >= min_words:
+            n, start = n - words[start], start + 1
+        if n >= min_words:
+            out.add((start, end))
+    return sorted(out)
+
+
+def text_runs(texts: DataFrame, min_words: int) -> DataFrame:
+    """``(key, run, start, end)``: hashes of the runs of lines."""
+    rows = texts.select("key", "lines", "words")
+    kind = rows.schema["key"].dataType.simpleString()
+
+    def run(b: pa.RecordBatch) -> dict:
+        runs = []
+        for x, w in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+            raw = array("q", x).tobytes()
+            own = [(xxhash.xxh64_intdigest(raw[8 * i:8 * j]) - (1 << 63), i, j) for i, j in _runs(x, w, min_words)]
+            runs.append([{"run": h, "start": i, "end": j} for h, i, j in own])
+        return {"key": b.column(0), "runs": pa.array(runs, pa.list_(pa.struct(
+            [("run", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])))}
+
+    out = map_batches(rows, run, f"key {kind}, runs array<struct<run: bigint, start: int, end: int>>")
+    return out.select("key", F.explode("runs").alias("r")).select("key", "r.*")
+
+
+def _cut_lines(pairs: DataFrame, texts: DataFrame, min_words: int) -> DataFrame:
+    """``(key, cut)`` of the documents b that lose lines to their pairs (a, b)."""
     both = pairs.join(texts.select(F.col("key").alias("a_key"), F.col("lines").alias("a_lines")),
                       F.col("a") == F.col("a_key")) \
         .select("b", "a_lines").join(texts.select("key", "lines", "words"), F.col("b") == F.col("key")) \
@@ -154,8 +183,68 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE
             out = pa.RecordBatch.from_arrays([b.column(0), pa.array(cut, pa.list_(pa.int32()))], names=["key", "cut"])
             yield out.filter(some)
 
-    cuts = both.mapInArrow(run, f"key {kind}, cut array<int>") \
+    return both.mapInArrow(run, f"key {kind}, cut array<int>") \
         .select("key", F.explode("cut").alias("line")).groupBy("key").agg(F.collect_set("line").alias("cut"))
+
+
+def _standing(held: DataFrame, cuts: DataFrame) -> DataFrame:
+    """``held(key, run, start, end)`` without the runs whose lines all go."""
+    own = held.groupBy("key").agg(F.collect_list(F.struct("run", "start", "end")).alias("runs"))
+    rows = own.join(cuts.select(F.col("key").alias("c_key"), "cut"), F.col("key") == F.col("c_key"), "left") \
+        .select("key", "runs", "cut")
+    kinds = {c: rows.schema[c].dataType.simpleString() for c in ("key", "runs")}
+
+    def run(b: pa.RecordBatch) -> dict:
+        runs = []
+        for own, cut in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+            gone = set(cut or ())
+            runs.append([r for r in own if not all(k in gone for k in range(r["start"], r["end"]))])
+        return {"key": b.column(0), "runs": pa.array(runs, b.column(1).type)}
+
+    out = map_batches(rows, run, f"key {kinds['key']}, runs {kinds['runs']}")
+    return out.select("key", F.explode("runs").alias("r")).select("key", "r.*")
+
+
+def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, early: int = EARLY, text: str = "text",
+                   id: str = "doc_id") -> DataFrame:
+    """``(key, whole, cut)`` of the documents that lose lines: key as in
+    ``_key``, whole if all lines go, else cut with the numbers of the lines."""
+    rows = materialize(text_lines(docs, text, id).dropDuplicates(["key"]), "lines")
+    texts = materialize(rows.groupBy("h").agg(F.min("key").alias("key"), F.first("lines").alias("lines"),
+                                              F.first("words").alias("words")), "texts")
+    runs = materialize(text_runs(texts, min_words), "runs")
+    shared = materialize(runs.groupBy(F.col("run").alias("s_run"))
+                         .agg(F.min("key").alias("first"), F.max("key").alias("last"))
+                         .where("first < last").drop("last"), "shared")
+    held = materialize(runs.join(shared, F.col("run") == F.col("s_run"))
+                       .select("key", "run", "start", "end", "first"), "held")
+
+    def anew(pairs: DataFrame, done: list[DataFrame]) -> DataFrame:
+        for x in done:
+            pairs = pairs.join(x.select(F.col("a").alias("x_a"), F.col("b").alias("x_b")),
+                               (F.col("a") == F.col("x_a")) & (F.col("b") == F.col("x_b")), "left_anti")
+        return materialize(pairs, "pairs")
+
+    ahead = held.where(F.col("key") > F.col("first")).select(F.col("first").alias("a"), F.col("key").alias("b"))
+    done = [anew(ahead.distinct(), [])]
+    cuts = materialize(_cut_lines(done[0], texts, min_words), "cuts")
+    left = held.where(F.col("key") > F.col("first")).select("key", "run", "start", "end")
+    holders = held.select(F.col("key").alias("a"), F.col("run").alias("h_run")).distinct()
+    rank = F.row_number().over(Window.partitionBy("h_run").orderBy("a"))
+    for tries in (early, None):
+        left = materialize(_standing(left, cuts), "standing")
+        if left.isEmpty():
+            break
+        wanted = holders.join(left.select(F.col("run").alias("w_run")).distinct(), F.col("h_run") == F.col("w_run"),
+                              "left_semi")
+        if tries:
+            wanted = wanted.withColumn("rank", rank).where(F.col("rank") <= tries)
+        wanted = materialize(wanted.select("a", "h_run"), "holders")
+        pairs = left.select(F.col("key").alias("b"), "run").distinct() \
+            .join(wanted, (F.col("run") == F.col("h_run")) & (F.col("a") < F.col("b"))).select("a", "b").distinct()
+        done.append(anew(pairs, done))
+        more = cuts.unionByName(_cut_lines(done[-1], texts, min_words)).select("key", F.explode("cut").alias("line"))
+        cuts = materialize(more.groupBy("key").agg(F.collect_set("line").alias("cut")), "cuts")
     first = texts.select(F.col("h").alias("t_h"), F.col("key").alias("t_key"))
     copies = rows.join(first, F.col("h") == F.col("t_h")).where(F.col("key") != F.col("t_key")) \
         .where(F.aggregate("words", F.lit(0), lambda a, x: a + x) >= min_words) \
@@ -163,7 +252,7 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE
     return cuts.select("key", F.lit(False).alias("whole"), "cut").unionByName(copies)
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE, text: str = "text", id: str = "doc_id",
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, early: int = EARLY, text: str = "text", id: str = "doc_id",
                 report: bool = False) -> DataFrame:
     """``docs`` with the common blocks deleted from ``text``; all columns and
     rows stay. With ``report`` a row is ``(doc_id, n_lines, n_cut, text)``.
@@ -173,7 +262,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE, t
     all changed alike; rows that repeat an id with another text are documents
     of their own, ordered by text hash. Null ids come after all others.
     """
-    cuts = materialize(repeated_lines(docs, min_words, rare, text, id), "cuts")
+    cuts = materialize(repeated_lines(docs, min_words, early, text, id), "cuts")
     t = F.col(f"`{text}`")
     rows = pack_rows(docs, _id=F.col(f"`{id}`"), _h=F.xxhash64(t), _text=t)
     cuts = cuts.select(F.col("key.doc_id").alias("c_id"), F.col("key.h").alias("c_h"), "whole", "cut")

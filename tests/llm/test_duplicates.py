@@ -218,6 +218,56 @@ def test_lines_of_the_later_document_go(messy):
     assert len(before) == sum(map(len, text.values()))
 
 
+def all_pairs(rows, min_words=8):
+    """Every document aligned with every earlier one; distinct ids and texts."""
+    code = {}
+    texts = [(i, t.split("\n")) for i, t in sorted(rows)]
+    coded = [[code.setdefault(x, len(code) + 1) if x.split() else 0 for x in t] for _, t in texts]
+    out = {}
+    for k, (i, t) in enumerate(texts):
+        words = [len(x.split()) for x in t]
+        gone = {x for e in range(k) for x in line_dedup.common_blocks(coded[e], coded[k], words, min_words)}
+        out[i] = "\n".join(x for j, x in enumerate(t) if j not in gone)
+    return out
+
+
+def test_every_line_of_a_block_is_in_a_run_of_the_block():
+    rng = random.Random(12)
+    for _ in range(300):
+        words = [rng.choice([0, 1, 3, 4, 5, 9]) for _ in range(rng.randrange(1, 14))]
+        runs = line_dedup._runs(words, words, 8)
+        assert len(runs) <= 2 * len(words)
+        for i in range(len(words)):
+            for j in range(i + 1, len(words) + 1):
+                if sum(words[i:j]) >= 8:
+                    assert {k for s, e in runs if i <= s and e <= j for k in range(s, e)} == set(range(i, j))
+
+
+def overlapping():
+    """Blocks of short lines whose lines have other first and other previous
+    holders each; moved and repeated long lines; blank lines."""
+    rng = random.Random(13)
+    short = [f"s{i} a b c" for i in range(12)]
+    rows = [(i, f"own {i}\n{x}\nmore {i}") for i, x in enumerate(short)]                    # the first holders
+    rows += [(20, "\n".join(short[:4])), (21, "x\n" + "\n".join(short[2:8]) + "\ny")]
+    rows += [(30 + i, f"late {i}\n{x}\nend {i}") for i, x in enumerate(short)]               # the previous ones
+    rows += [(50, "z\n" + "\n".join(short[:4]) + "\n\nw"), (51, "u\n" + "\n".join(short[1:7]) + "\nv")]
+    long = [sentence(rng, 9) for _ in range(8)]
+    for i in range(60, 130):
+        body = [rng.choice(long + short + ["", f"only {i}"]) for _ in range(rng.randrange(2, 14))]
+        rows.append((i, "\n".join([f"start {i}", *body, f"stop {i}"])))
+    return rows
+
+
+@pytest.mark.parametrize("early", [1, 16])
+def test_lines_equal_the_alignment_of_all_pairs(spark, early):
+    rows = overlapping()
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    want = all_pairs(rows)
+    assert want[50] == "z\n\nw"
+    assert dict(line_dedup.dedup_lines(df, early=early).collect()) == want
+
+
 def test_long_blocks_of_many_documents(spark):
     rng = random.Random(8)
     passage = "\n".join(sentence(rng, 12, 5000) for _ in range(6))
