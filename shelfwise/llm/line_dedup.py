@@ -8,8 +8,8 @@ runs: the shortest run of lines that reaches ``min_words`` forwards and
 backwards from each line. Every line of a block lies in a run inside the
 block, so both documents hold that run.
 
-1. A document is aligned with the first holder of each of its runs, however
-   frequent the run is.
+1. A document is aligned with the first holder of each of its runs and the
+   first one that holds the run exactly once, however frequent the run is.
 2. Runs that still have a line not deleted: with the first ``EARLY`` holders.
 3. Runs that still have one: with all other earlier holders.
 
@@ -151,7 +151,8 @@ def _runs(lines: list[int], words: list[int], min_words: int) -> list[tuple[int,
 
 
 def text_runs(texts: DataFrame, min_words: int) -> DataFrame:
-    """``(key, run, start, end)``: hashes of the runs of lines."""
+    """``(key, run, start, end, once)``: hashes of the runs of lines, and
+    whether the text holds the run once."""
     rows = texts.select("key", "lines", "words")
     kind = rows.schema["key"].dataType.simpleString()
 
@@ -160,11 +161,12 @@ def text_runs(texts: DataFrame, min_words: int) -> DataFrame:
         for x, w in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
             raw = array("q", x).tobytes()
             own = [(xxhash.xxh64_intdigest(raw[8 * i:8 * j]) - (1 << 63), i, j) for i, j in _runs(x, w, min_words)]
-            runs.append([{"run": h, "start": i, "end": j} for h, i, j in own])
+            n = Counter(h for h, _, _ in own)
+            runs.append([{"run": h, "start": i, "end": j, "once": n[h] == 1} for h, i, j in own])
         return {"key": b.column(0), "runs": pa.array(runs, pa.list_(pa.struct(
-            [("run", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])))}
+            [("run", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("once", pa.bool_())])))}
 
-    out = map_batches(rows, run, f"key {kind}, runs array<struct<run: bigint, start: int, end: int>>")
+    out = map_batches(rows, run, f"key {kind}, runs array<struct<run: bigint, start: int, end: int, once: boolean>>")
     return out.select("key", F.explode("runs").alias("r")).select("key", "r.*")
 
 
@@ -214,10 +216,11 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, early: int = EAR
                                               F.first("words").alias("words")), "texts")
     runs = materialize(text_runs(texts, min_words), "runs")
     shared = materialize(runs.groupBy(F.col("run").alias("s_run"))
-                         .agg(F.min("key").alias("first"), F.max("key").alias("last"))
+                         .agg(F.min("key").alias("first"), F.max("key").alias("last"),
+                              F.min(F.when(F.col("once"), F.col("key"))).alias("single"))
                          .where("first < last").drop("last"), "shared")
     held = materialize(runs.join(shared, F.col("run") == F.col("s_run"))
-                       .select("key", "run", "start", "end", "first"), "held")
+                       .select("key", "run", "start", "end", "first", "single"), "held")
 
     def anew(pairs: DataFrame, done: list[DataFrame]) -> DataFrame:
         for x in done:
@@ -225,8 +228,9 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, early: int = EAR
                                (F.col("a") == F.col("x_a")) & (F.col("b") == F.col("x_b")), "left_anti")
         return materialize(pairs, "pairs")
 
-    ahead = held.where(F.col("key") > F.col("first")).select(F.col("first").alias("a"), F.col("key").alias("b"))
-    done = [anew(ahead.distinct(), [])]
+    ahead = [held.where(F.col("key") > F.col(c)).select(F.col(c).alias("a"), F.col("key").alias("b"))
+             for c in ("first", "single")]
+    done = [anew(ahead[0].unionByName(ahead[1]).distinct(), [])]
     cuts = materialize(_cut_lines(done[0], texts, min_words), "cuts")
     left = held.where(F.col("key") > F.col("first")).select("key", "run", "start", "end")
     holders = held.select(F.col("key").alias("a"), F.col("run").alias("h_run")).distinct()

@@ -268,6 +268,22 @@ def test_lines_equal_the_alignment_of_all_pairs(spark, early):
     assert dict(line_dedup.dedup_lines(df, early=early).collect()) == want
 
 
+def test_a_frequent_line_that_its_first_holder_has_twice(spark, monkeypatch):
+    line, n = "a notice of more than eight words on every page", 1100
+    rows = [(0, f"a\n{line}\nb\n{line}\nc")] + [(i, f"x {i}\n{line}\ny {i}") for i in range(1, n)]
+    made, plain = [], line_dedup._cut_lines
+
+    def counted(pairs, *rest):
+        made.append(pairs.count())
+        return plain(pairs, *rest)
+
+    monkeypatch.setattr(line_dedup, "_cut_lines", counted)
+    got = dict(line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    assert got[0] == rows[0][1] and got[1] == rows[1][1]
+    assert all(got[i] == f"x {i}\ny {i}" for i in range(2, n))
+    assert sum(made) < 2 * n                # the first holder and the first that has it once
+
+
 def test_long_blocks_of_many_documents(spark):
     rng = random.Random(8)
     passage = "\n".join(sentence(rng, 12, 5000) for _ in range(6))
