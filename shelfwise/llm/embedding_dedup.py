@@ -6,12 +6,14 @@
    is a resident of the cell of its nearest centroid. It also visits each
    cell of a smaller number whose border is so near that a vector within the
    wanted angle may live behind it: the sine of the angle to the border is
-   at most ``tan(angle) * reach / sqrt(dim - 1)``, that is ``reach`` standard
-   deviations of the step towards the border that a random direction makes.
-   So a pair in two cells is compared in one of them, and in one only.
-   (``reach >= sqrt(dim - 1)`` would visit every cell where a link can be;
-   3.5 misses at most 0.03 % of the pairs that lie just at the threshold,
-   and less of the nearer ones.)
+   at most ``tan(angle) * reach * spread`` and never more than ``tan(angle)``.
+   The spread is the share of a step that goes towards the border (root mean
+   square), measured along each border normal on the sample and on its
+   vectors in the cell, and at least that of a random direction, ``1 /
+   sqrt(dim - 1)``. So a pair in two cells is compared in one of them, and in
+   one only. (``reach >= sqrt(dim - 1)`` visits every cell where a link can
+   be. Less can miss a pair whose step towards the border is more than
+   ``reach`` spreads; vectors of few effective dimensions get the exact reach.)
 3. In each cell products of blocks of unit vectors in double precision give
    the links. Only degrees and stars of the links leave the task, never the
    pairs. A cell of more than ``CHUNK`` residents is split; each part meets
@@ -35,6 +37,7 @@ REACH = 3.5
 MAX_CELLS = 8192
 SAMPLE_NUMBERS = 1 << 22        # vectors times dimensions that k-means is fitted on
 ITERATIONS = 8
+FEW = 16                        # sampled vectors of a cell whose spread is measured
 CHUNK = 2048
 BLOCK = 1024                    # probes multiplied at once
 
@@ -71,9 +74,33 @@ def _valid(v, dim: int):
     return F.coalesce((F.size(v) == dim) & ~bad & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
-def _cells(centroids: np.ndarray, margin: float, dim: int):
+def border_margins(x: np.ndarray, centroids: np.ndarray, threshold: float, reach: float) -> np.ndarray:
+    """For a home cell (row) and another cell: by how much the products with
+    the two centroids may differ for a vector at home to visit the other."""
+    dim, angle = x.shape[1], np.tan(np.arccos(threshold))
+    home = np.concatenate([(x[i:i + 8192] @ centroids.T).argmax(1) for i in range(0, len(x), 8192)])
+    by = np.argsort(home, kind="stable")
+    start = np.searchsorted(home[by], np.arange(len(centroids) + 1))
+    all_x = x - x.mean(0)
+    cov = all_x.T @ all_x
+    along, total = centroids @ cov, max(np.trace(cov), 1e-12)
+    own = (along * centroids).sum(1)
+    out = np.empty((len(centroids), len(centroids)))
+    for i, c in enumerate(centroids):
+        gap2 = np.maximum(2 - 2 * centroids @ c, 1e-12)
+        spread = (own[i] + own - 2 * centroids @ along[i]) / total
+        here = x[by[start[i]:start[i + 1]]]
+        if len(here) >= FEW:
+            here = here - here.mean(0)
+            step = here @ (c - centroids).T
+            spread = np.maximum(spread, (step * step).sum(0) / max((here * here).sum(), 1e-12))
+        spread = np.maximum(spread / gap2, 1 / max(dim - 1, 1))
+        out[i] = angle * np.minimum(reach * np.sqrt(spread), 1.0) * np.sqrt(gap2)
+    return out
+
+
+def _cells(centroids: np.ndarray, margins: np.ndarray, dim: int):
     """Rows (cell, role, node, weight, vector): role 0 at home, 1 visiting."""
-    gap = np.sqrt(np.maximum(2 - 2 * centroids @ centroids.T, 1e-12))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -82,8 +109,7 @@ def _cells(centroids: np.ndarray, margin: float, dim: int):
                 near = _matrix(own.column(2), dim) @ centroids.T
                 home = near.argmax(1)
                 rows = np.arange(len(home))
-                border = (near[rows, home][:, None] - near) / gap[home]
-                visit = (border <= margin) & (np.arange(len(centroids))[None, :] < home[:, None])
+                visit = (near[rows, home][:, None] - near <= margins[home]) & (np.arange(len(centroids))[None, :] < home[:, None])
                 v_row, v_cell = np.nonzero(visit)
                 take = np.concatenate([rows, v_row])
                 yield pa.RecordBatch.from_arrays(
@@ -164,10 +190,10 @@ def link_vectors(vectors: DataFrame, dim: int, threshold: float, reach: float, i
     x = _matrix(got.column("v").combine_chunks(), dim) if got.num_rows else np.eye(1, dim)
     k = max(1, min(int(total ** 0.5), MAX_CELLS, len(x)))
     centroids = spherical_kmeans(x, k, iterations)
-    margin = np.tan(np.arccos(threshold)) * min(reach / max(dim - 1, 1) ** 0.5, 1.0)
+    margins = border_margins(x, centroids, threshold, reach)
     kind = vectors.schema["v"].dataType.simpleString()
     rows = vectors.select("node", "weight", "v").mapInArrow(
-        _cells(centroids, margin, dim), f"cell int, role tinyint, node bigint, weight bigint, v {kind}")
+        _cells(centroids, margins, dim), f"cell int, role tinyint, node bigint, weight bigint, v {kind}")
     sizes = materialize(rows.where("role = 0").groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int")
                                                                    .alias("parts"))
                         .select(F.col("cell").alias("s_cell"), "parts"), "cells")     # a row for each cell

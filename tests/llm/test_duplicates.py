@@ -137,6 +137,20 @@ def test_embedding_recall_at_the_default_reach(spark):
     assert got.where("n_links > 0").count() >= 0.99 * 3000
 
 
+@pytest.mark.parametrize("dim, rank", [(64, 8), (128, 16)])
+def test_embedding_recall_on_vectors_of_low_rank(spark, dim, rank):
+    rng = np.random.default_rng(rank)
+    low = embedding_dedup.unit(rng.normal(size=(1500, rank)))
+    other = embedding_dedup.unit(rng.normal(size=(1500, rank)))
+    other = embedding_dedup.unit(other - (other * low).sum(1, keepdims=True) * low)
+    low = np.concatenate([low, 0.901 * low + (1 - 0.901 ** 2) ** 0.5 * other])
+    x = embedding_dedup.unit(low @ np.linalg.qr(rng.normal(size=(dim, rank)))[0].T)
+    links = int((x @ x.T >= 0.9).sum()) - len(x)
+    got = embedding_dedup.near_duplicates(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)],
+                                                                "vec_id bigint, embedding array<double>"))
+    assert sum(r["n_links"] for r in got.collect()) >= 0.999 * links
+
+
 def brute_substrings(rows, window):
     first, out = {}, []
     order = lambda i: (i is None, i)
