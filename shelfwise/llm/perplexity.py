@@ -194,11 +194,14 @@ def fit_arrays(grams: np.ndarray, n: np.ndarray, order: int) -> np.ndarray:
 def _discounts(counts: DataFrame) -> Column:
     """The discount of a count, by language, from the counts of counts."""
     rows = counts.where("n <= 4").groupBy("lang").pivot("n", [1, 2, 3, 4]).count().na.fill(0).collect()
-    out = F.lit(0.5)
-    for lang, *c in rows:       # one row for each language
+
+    def by_count(*c: int) -> Column:
         steps = _steps(*(float(x) for x in c))
-        own = F.when(F.col("n") == 1, steps[0]).when(F.col("n") == 2, steps[1]).otherwise(steps[2])
-        out = F.when(F.col("lang").eqNullSafe(F.lit(lang)), own).otherwise(out)
+        return F.when(F.col("n") == 1, steps[0]).when(F.col("n") == 2, steps[1]).otherwise(steps[2])
+
+    out = by_count(0, 0, 0, 0)      # a language without such counts has no row
+    for lang, *c in rows:       # one row for each language
+        out = F.when(F.col("lang").eqNullSafe(F.lit(lang)), by_count(*c)).otherwise(out)
     return out
 
 

@@ -159,6 +159,15 @@ def test_perplexity_equals_brute_force(messy, broadcast_rows):
         assert (r["nll"] is None and r["n_words"] == 0) or any(abs(r["nll"] - o) < 1e-6 for o in options)
 
 
+def test_both_models_agree_on_bytes_with_many_predecessors(spark):
+    grams = sorted(x << 8 | y for x in range(97, 103) for y in range(97, 103))      # six before each byte
+    n = [5 + k % 7 for k in range(len(grams))]
+    want = perplexity.fit_arrays(np.array(grams, np.uint64), np.array(n), 2)
+    top = spark.createDataFrame([("en", g, c) for g, c in zip(grams, n)], "lang string, gram bigint, n bigint")
+    got = {r["gram"]: r["logp"] for r in perplexity.fit_table(top, 2).collect()}
+    assert np.allclose([got[g] for g in grams], want, atol=1e-12)
+
+
 def plain_base(t):
     w = WORD.findall(t)
     c = Counter(tuple(w[i:i + 5]) for i in range(len(w) - 4))
