@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat_tree, embedding_dedup, license_scan, line_dedup, mixing, perplexity, quality, sentencepiece_codec,
-               simhash, substring_dedup)
+from . import (chat_tree, embedding_dedup, license_scan, line_dedup, mixing, perplexity, prefix_trie, quality,
+               sentencepiece_codec, simhash, substring_dedup)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -219,3 +219,65 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(chars) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id"""
+
+
+def _crc32_sql(strings: str) -> str:
+    """CTEs (for WITH RECURSIVE) that give ``crc(s, crc)`` of the strings
+    ``s`` of a query: the byte table by rule, then one byte a step."""
+    return f"""
+crc_table AS (
+  SELECT range AS i, list_reduce([range, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1))) AS c
+  FROM range(256)),
+crc_in AS ({strings}),
+crc_step AS (
+  SELECT s, hex(encode(s)) AS hx, 0 AS k, CAST(4294967295 AS BIGINT) AS c FROM crc_in
+  UNION ALL
+  SELECT s, hx, k + 1, xor(p.c >> 8, t.c)
+  FROM crc_step p JOIN crc_table t ON t.i = xor(p.c, CAST(('0x' || substr(hx, 2 * k + 1, 2)) AS BIGINT)) & 255
+  WHERE 2 * k < length(hx)),
+crc AS (SELECT s, xor(c, 4294967295) AS crc FROM crc_step WHERE 2 * k = length(hx))"""
+
+
+@query
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of conversations that share first turns within a family."""
+    turns, ids = prefix_trie.share_heads(prefix_trie.turn_digests(table(spark, sf_dir, "conversations")))
+    return prefix_trie.prefix_trie(turns, ids).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+ORACLES["op13_conversation_trie"] = "WITH RECURSIVE" + _crc32_sql(
+    "SELECT DISTINCT CAST(conv_id AS VARCHAR) AS s FROM conversations WHERE conv_id IS NOT NULL") + r""",
+ids AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base, crc % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL) JOIN crc ON s = CAST(conv_id AS VARCHAR)),
+t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS pos,
+         sha256(coalesce(role, '')) || sha256(coalesce(text, '')) AS k, length(coalesce(text, '')) AS size
+  FROM conversations WHERE conv_id IS NOT NULL),
+r AS (
+  SELECT i.conv_id, 0 AS part, t.pos, t.k, t.size FROM ids i JOIN t ON t.conv_id = i.base AND t.pos < i.h
+  UNION ALL
+  SELECT i.conv_id, 1, t.pos, t.k, t.size FROM ids i JOIN t ON t.conv_id = i.conv_id AND t.pos >= i.h),
+c AS (
+  SELECT conv_id, coalesce(list(k ORDER BY part, pos) FILTER (k IS NOT NULL), []) AS ks,
+         coalesce(list(size ORDER BY part, pos) FILTER (k IS NOT NULL), []) AS sizes
+  FROM ids LEFT JOIN r USING (conv_id) GROUP BY conv_id),
+p AS (
+  SELECT conv_id, d, sha256(array_to_string(ks[1:d], '')) AS k,
+         CASE WHEN d = 0 THEN '' ELSE sha256(array_to_string(ks[1:d-1], '')) END AS up, coalesce(sizes[d], 0) AS size,
+         d = len(ks) AS tail
+  FROM c, LATERAL (SELECT unnest(range(0, len(ks) + 1)) AS d)),
+n AS (
+  SELECT d, k, up, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (tail), '')) AS ends_sha256
+  FROM p GROUP BY d, k, up),
+kids AS (SELECT d - 1 AS d, up AS k, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1, 2),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN kids USING (d, k)),
+below AS (
+  SELECT p.d, p.k, sum((m.n_convs - 1) * m.size) AS saved_tokens, count(*) FILTER (m.n_children = 0) AS n_leaves
+  FROM m JOIN p ON p.conv_id = m.conv_id AND p.d <= m.d GROUP BY p.d, p.k)
+SELECT m.conv_id, CAST(m.d AS BIGINT) AS depth, u.conv_id AS parent_conv_id, CAST(m.n_convs AS BIGINT) AS n_convs,
+       CAST(m.n_children AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, m.ends_sha256
+FROM m JOIN below USING (d, k) LEFT JOIN n u ON u.d = m.d - 1 AND u.k = m.up"""
