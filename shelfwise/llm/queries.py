@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (chat_tree, embedding_dedup, license_scan, line_dedup, mixing, perplexity, prefix_trie, quality,
-               sentencepiece_codec, simhash, substring_dedup)
+               sentencepiece_codec, simhash, spelling, substring_dedup)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -281,3 +281,48 @@ SELECT m.conv_id, CAST(m.d AS BIGINT) AS depth, u.conv_id AS parent_conv_id, CAS
        CAST(m.n_children AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
        CAST(saved_tokens AS BIGINT) AS saved_tokens, m.ends_sha256
 FROM m JOIN below USING (d, k) LEFT JOIN n u ON u.d = m.d - 1 AND u.k = m.up"""
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words one edit apart, their commoner forms and the roots of those."""
+    words = spelling.count_words(table(spark, sf_dir, "documents"), slip=97, min_length=5, min_count=3)
+    return spelling.spelling_variants(words).select("word", "n", "n_near", "form", "form_n", "root")
+
+
+ORACLES["op12_spelling_variants"] = "WITH RECURSIVE run AS (" + r"""
+  SELECT id, run, count(*) AS n FROM (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+           unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[a-z\x{00C0}-\x{00FF}]+')) AS run
+    FROM documents) GROUP BY id, run),""" + _crc32_sql("SELECT DISTINCT id || ':' || run AS s FROM run") + r""",
+v AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN crc % 97 = 0 THEN substr(run, 1, crc % length(run)) || substr(run, crc % length(run) + 2) ELSE run END AS word, n
+    FROM run JOIN crc ON s = id || ':' || run)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+gap AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM v, LATERAL (SELECT unnest(range(1, length(word) + 1)) AS i)),
+pair AS (
+  SELECT a.word AS a, a.n AS na, b.word AS b, b.n AS nb FROM gap a JOIN gap b USING (i, rest) WHERE a.word <> b.word
+  AND length(a.word) = length(b.word)
+  UNION ALL
+  SELECT DISTINCT gap.word, gap.n, v.word, v.n FROM gap JOIN v ON v.word = gap.rest
+  UNION ALL
+  SELECT DISTINCT v.word, v.n, gap.word, gap.n FROM gap JOIN v ON v.word = gap.rest),
+near AS (
+  SELECT a AS word, count(*) AS n_near, max(nb) AS best_n FROM pair GROUP BY a),
+best AS (
+  SELECT near.word, near.n_near, near.best_n, min(b) AS best
+  FROM near JOIN pair ON a = near.word AND nb = best_n GROUP BY 1, 2, 3),
+f AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 2 * v.n THEN best END AS form,
+         CASE WHEN best_n >= 2 * v.n THEN best_n END AS form_n
+  FROM v LEFT JOIN best USING (word)),
+way AS (
+  SELECT word, word AS last, 0 AS k FROM f
+  UNION ALL
+  SELECT way.word, f.form, k + 1 FROM way JOIN f ON f.word = way.last WHERE f.form IS NOT NULL)
+SELECT f.word, f.n, CAST(n_near AS BIGINT) AS n_near, form, CAST(form_n AS BIGINT) AS form_n, root
+FROM f JOIN (SELECT word, arg_max(last, k) AS root FROM way GROUP BY word) USING (word)"""
