@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat_tree, embedding_dedup, license_scan, line_dedup, mixing, perplexity, prefix_trie, quality,
-               sentencepiece_codec, simhash, spelling, substring_dedup)
+from . import (chat_tree, embedding_dedup, html_extraction, license_scan, line_dedup, mixing, perplexity, prefix_trie,
+               quality, sentencepiece_codec, simhash, spelling, substring_dedup)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -326,3 +326,10 @@ way AS (
   SELECT way.word, f.form, k + 1 FROM way JOIN f ON f.word = way.last WHERE f.form IS NOT NULL)
 SELECT f.word, f.n, CAST(n_near AS BIGINT) AS n_near, form, CAST(form_n AS BIGINT) AS form_n, root
 FROM f JOIN (SELECT word, arg_max(last, k) AS root FROM way GROUP BY word) USING (word)"""
+
+
+@query
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page by the recurrent block labeller."""
+    out = html_extraction.extract(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"), "n_blocks", "n_kept")
