@@ -55,7 +55,7 @@ head title script style noscript template iframe svg object hidden
 """.split()
 # Names that say nothing against a block.
 OTHER_PARTS = """
-article main body html div section p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption
+article main div section p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption
 blockquote pre figure figcaption address details summary center content post entry story text page wrapper container
 row col column lead intro paragraph headline list quote inner outer left right box block
 """.split()
@@ -77,9 +77,9 @@ _PIECE = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 def _bits(tag: str, attributes: str) -> int:
+    if tag in ("html", "body"):     # on every path; their classes speak of the whole page ("with-sidebar")
+        return 0
     mask = 1 << _BIT[tag] if tag in _BIT else 0
-    if tag in ("html", "body"):     # their classes speak of the whole page ("with-sidebar")
-        return mask
     for name, value in _NAMES.findall(attributes):
         for piece in ["hidden"] if name.lower() == "hidden" else _PIECE.findall(value):
             mask |= 1 << _BIT[piece.lower()] if piece.lower() in _BIT else 0
@@ -322,11 +322,11 @@ def _lay_out(rng, texts: list[str]) -> list[tuple[str, int, int, int]]:
     """A page laid out at random from given texts: an article in all sorts of
     wrappers (or none), page parts of all sorts before, in and after it."""
     text = lambda: texts[rng.integers(len(texts))]
-    bit = lambda *ns: sum(1 << _BIT[n] for n in set(ns))
+    bit = lambda *ns: sum(1 << _BIT[n] for n in set(ns) if n)
     pick = lambda ns: ns[rng.integers(len(ns))]
-    page = bit("html", "body")
-    has_article = rng.random() < 0.7
-    wrap = page | bit(*[pick(OTHER_PARTS[2:]) for _ in range(rng.integers(0, 3))])
+    bare = rng.random() < 0.1       # hardly more than text
+    has_article = rng.random() < 0.7 and not bare
+    wrap = bit(*[pick(OTHER_PARTS[2:]) for _ in range(rng.integers(0, 3))])
     wrap &= ~_HOLDS
     inner = wrap | (bit(pick(["article", "main"])) if has_article else 0)
     inner |= bit("article", "main") if has_article and rng.random() < 0.2 else 0
@@ -352,18 +352,18 @@ def _lay_out(rng, texts: list[str]) -> list[tuple[str, int, int, int]]:
         if has_article and rng.random() < 0.4:
             add(wrap, bit(pick(["div", "p", "section", "li"])), rng.integers(1, 3))
 
-    if rng.random() < 0.7:
-        add(bit("html", "head"), bit("title"), 1)
-    for _ in range(rng.integers(0, 4)):
+    if rng.random() < 0.7 and not bare:
+        add(bit("head"), bit("title"), 1)
+    for _ in range(rng.integers(0, 4) * (not bare)):
         part(wrap)
     stray()
     long = rng.random() < 0.05
     for _ in range(rng.integers(1, 9) * (12 if long else 1)):
-        add(inner, bit(pick(["p", "p", "p", "p", "h1", "h2", "h3", "li", "blockquote", "td", "div", "pre", "figcaption", "dd"])), 1)
+        add(inner, bit(pick(["p", "p", "p", "p", "h1", "h2", "h3", "li", "blockquote", "td", "div", "pre", "figcaption", "dd", "", ""])), 1)
         if rng.random() < 0.08:
             part(inner)
     stray()
-    for _ in range(rng.integers(0, 4)):
+    for _ in range(rng.integers(0, 4) * (not bare)):
         part(wrap)
     return out
 

