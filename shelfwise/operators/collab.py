@@ -9,13 +9,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import order_by, top_n, top_n_per_group
-from ..functions.skew import DEFAULT_CHUNK, co_members
+from ..functions.skew import DEFAULT_CHUNK, co_members, grid_join, group_salts
 from ..session import materialize
+from .overlap import top_common, top_jaccard
 
 # Fixed values of the reference behaviour.
 MAX_NEIGHBOURS = 100
 DEFAULT_N = 10
 
+# A stored model keeps interactions in this many folders by customer.
+STORE_BUCKETS = 64
+BUCKET = "_bucket"
+
+# Fixed tuning values: products in one list, products of a customer counted in one task, rows unrolled by a task.
+LIST_CHUNK = 1024
+HOT_CUSTOMER = 65_536
+PRODUCTS_PER_TASK = 4_000_000
+
 PRODUCT_COLUMNS = ["product_id", "title", "category", "average_rating", "review_count", "price"]
 
 
@@ -84,6 +94,7 @@ class SimilarityModel:
 
     interactions: DataFrame
     pairs: DataFrame  # product1 < product2, co_occurrence_count, similarity_score
+    frequency: DataFrame | None = None  # product_id, product_frequency (counted from the interactions if not given)
 
     @property
     def edges(self) -> DataFrame:
@@ -97,13 +108,20 @@ class SimilarityModel:
         return directed_edges(near).where(F.col("product1") == pid)
 
     def save(self, path: str) -> None:
-        self.interactions.write.mode("overwrite").parquet(f"{path}/interactions")
+        """Store the three tables; interactions in ``STORE_BUCKETS`` folders
+        by customer, so that an update opens those of its customers only."""
+        bucket = F.pmod(F.xxhash64("customer_id"), F.lit(STORE_BUCKETS)).cast("int")
+        self.interactions.withColumn(BUCKET, bucket).repartition(STORE_BUCKETS, BUCKET) \
+            .sortWithinPartitions(BUCKET, "customer_id").write.mode("overwrite").partitionBy(BUCKET) \
+            .parquet(f"{path}/interactions")
         self.pairs.write.mode("overwrite").parquet(f"{path}/pairs")
+        frequency = self.frequency if self.frequency is not None else item_frequency(self.interactions)
+        frequency.write.mode("overwrite").parquet(f"{path}/frequency")
 
     @staticmethod
     def load(spark, path: str) -> "SimilarityModel":
-        return SimilarityModel(spark.read.parquet(f"{path}/interactions"),
-                               spark.read.parquet(f"{path}/pairs"))
+        return SimilarityModel(spark.read.parquet(f"{path}/interactions"), spark.read.parquet(f"{path}/pairs"),
+                               spark.read.parquet(f"{path}/frequency"))
 
 
 def fit_similarity(reviews: DataFrame, persist: bool = True, chunk: int = DEFAULT_CHUNK) -> SimilarityModel:
@@ -122,6 +140,49 @@ def fit_similarity(reviews: DataFrame, persist: bool = True, chunk: int = DEFAUL
     return SimilarityModel(inter, pairs)
 
 
+def new_interactions(model: SimilarityModel, reviews: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Interactions of ``reviews`` that the model does not have, and the stored
+    ones of the customers concerned. Of a stored model only these customers'
+    folders are opened."""
+    fresh = materialize(interactions(reviews).select("customer_id", "product_id"), "fresh")
+    who = materialize(fresh.select("customer_id").distinct(), "customers")
+    stored = model.interactions
+    if BUCKET in stored.columns:        # a number of folders at most, so the list is short
+        bucket = F.pmod(F.xxhash64("customer_id"), F.lit(STORE_BUCKETS)).cast("int")
+        stored = stored.where(F.col(BUCKET).isin([r[0] for r in who.select(bucket).distinct().collect()]))
+    old = materialize(stored.join(who, "customer_id", "left_semi").select("customer_id", "product_id"), "stored")
+    return materialize(fresh.join(old, ["customer_id", "product_id"], "left_anti"), "new"), old
+
+
+def update_similarity(model: SimilarityModel, reviews: DataFrame, chunk: int = DEFAULT_CHUNK) -> SimilarityModel:
+    """C5 by increments: the model of the old and the new reviews together.
+
+    Only pairs with a new interaction are made (new with old and new with new
+    of the customers concerned) and added to the stored counts; only the
+    scores take the frequencies anew. Interactions known already change
+    nothing, so an update can be repeated.
+    """
+    new, old = new_interactions(model, reviews)
+    one = lambda df, new_: df.select("customer_id", F.col("product_id").alias("b"), F.lit(new_).alias("new"))
+    both = materialize(one(new, True).unionByName(one(old, False)), "both")
+    left = new.select("customer_id", F.col("product_id").alias("a"))
+    met = grid_join(left, both, "customer_id", "a", "b", both, chunk)
+    met = met.where(F.when(F.col("new"), F.col("a") < F.col("b")).otherwise(F.col("a") != F.col("b")))
+    made = met.groupBy(F.least("a", "b").alias("product1"), F.greatest("a", "b").alias("product2")) \
+        .agg(F.count(F.lit(1)).alias("co_occurrence_count"))
+    counts = model.pairs.select("product1", "product2", "co_occurrence_count").unionByName(made) \
+        .groupBy("product1", "product2").agg(F.sum("co_occurrence_count").alias("co_occurrence_count"))
+    known = model.frequency if model.frequency is not None else item_frequency(model.interactions)
+    frequency = materialize(known.unionByName(item_frequency(new)).groupBy("product_id")
+                            .agg(F.sum("product_frequency").alias("product_frequency")), "frequency")
+    f1, f2 = frequency.toDF("product1", "frequency1"), frequency.toDF("product2", "frequency2")
+    pairs = counts.join(f1, "product1").join(f2, "product2").select(
+        "product1", "product2", "co_occurrence_count",
+        jaccard("co_occurrence_count", "frequency1", "frequency2").alias("similarity_score"))
+    inter = model.interactions.select("customer_id", "product_id").unionByName(new).withColumn("interaction", F.lit(1))
+    return SimilarityModel(materialize(inter, "interactions"), materialize(pairs, "pairs"), frequency)
+
+
 def also_bought(edges: DataFrame, products: DataFrame, n: int = DEFAULT_N,
                 product_id=None) -> DataFrame:
     """Top ``n`` products by similarity for every product (or one).
@@ -142,6 +203,22 @@ def also_bought(edges: DataFrame, products: DataFrame, n: int = DEFAULT_N,
     return joined.select("product1", *PRODUCT_COLUMNS, "similarity_score", "rank")
 
 
+def also_bought_bounded(inter: DataFrame, products: DataFrame, n: int = DEFAULT_N) -> DataFrame:
+    """C6 for every product without the table of all pairs: the lists of
+    :func:`also_bought`, found by two common customers and bounds
+    (``operators.overlap``)."""
+    ranked = top_jaccard(inter, "product_id", "customer_id", n, products)
+    joined = ranked.withColumnRenamed("a", "product1").join(products.select(*PRODUCT_COLUMNS),
+                                                            F.col("b") == F.col("product_id"))
+    return joined.select("product1", *PRODUCT_COLUMNS, "similarity_score", "rank")
+
+
+def neighbours_bounded(inter: DataFrame, max_neighbours: int = MAX_NEIGHBOURS) -> DataFrame:
+    """The neighbours of :func:`neighbours` without the table of all pairs."""
+    return top_common(inter, "customer_id", "product_id", max_neighbours).select(
+        F.col("a").alias("customer_id"), F.col("b").alias("neighbour_id"), F.col("c").alias("common_products"))
+
+
 def popular_by_interactions(inter: DataFrame, products: DataFrame, n: int = DEFAULT_N) -> DataFrame:
     """The ``n`` products with most interactions, with catalogue columns."""
     counts = inter.groupBy("product_id").agg(F.count(F.lit(1)).alias("interaction_count"))
@@ -150,14 +227,14 @@ def popular_by_interactions(inter: DataFrame, products: DataFrame, n: int = DEFA
 
 
 def user_overlap(inter: DataFrame, chunk: int = DEFAULT_CHUNK, with_degrees: bool = True,
-                 persist: bool = True) -> DataFrame:
+                 persist: bool = True, written: bool = False) -> DataFrame:
     """Unordered customer pairs (customer1 < customer2) with the number of
     products both bought (and both customers' item counts when
     ``with_degrees``)."""
     base = inter.select("customer_id", "product_id")
     if not with_degrees:
         pairs = co_members(base, "product_id", "customer_id", chunk=chunk, count_col="common_products",
-                           persist=persist)
+                           persist=persist, written=written)
         return pairs.select(F.col("m1").alias("customer1"), F.col("m2").alias("customer2"), "common_products")
     degree = inter.groupBy("customer_id").agg(F.count(F.lit(1)).alias("items"))
     if persist:
@@ -196,7 +273,8 @@ def user_jaccard_pairs(inter: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def neighbours(inter: DataFrame, max_neighbours: int = MAX_NEIGHBOURS,
-               chunk: int = DEFAULT_CHUNK, persist: bool = True, users: DataFrame | None = None) -> DataFrame:
+               chunk: int = DEFAULT_CHUNK, persist: bool = True, users: DataFrame | None = None,
+               written: bool = False) -> DataFrame:
     """Per customer, the ``max_neighbours`` other customers with the most
     products in common (ties by customer id). With ``users`` only those
     customers' neighbours are computed (their items joined to all buyers),
@@ -209,7 +287,7 @@ def neighbours(inter: DataFrame, max_neighbours: int = MAX_NEIGHBOURS,
                 .groupBy(F.col("customer_id").alias("customer1"), "customer2")
                 .agg(F.count(F.lit(1)).alias("common_products")))
     else:
-        ov = user_overlap(inter, chunk, with_degrees=False, persist=persist)
+        ov = user_overlap(inter, chunk, with_degrees=False, persist=persist, written=written)
         pair = F.array(F.struct(F.col("customer1").alias("a"), F.col("customer2").alias("b")),
                        F.struct(F.col("customer2").alias("a"), F.col("customer1").alias("b")))
         both = (ov.select(F.explode(pair).alias("_e"), "common_products")
@@ -234,41 +312,66 @@ def user_cf(inter: DataFrame, products: DataFrame, n: int = DEFAULT_N,
     if persist:
         # read many times below: write once to the shared checkpoint folder
         inter = materialize(inter.select("customer_id", "product_id"))
-    # ``inter`` is already checkpointed when ``persist``: no second copy
-    nb = neighbours(inter, max_neighbours, chunk, persist=False, users=users)
+    nb = neighbours(inter, max_neighbours, chunk, persist=persist, users=users, written=persist)
     owned = (exclude if exclude is not None else inter).select("customer_id", "product_id")
     if users is not None:
         owned = owned.join(users.select("customer_id").distinct(), "customer_id", "left_semi")
     # catalogue membership on the (small) item side, before the fan-out
-    items = (inter.select(F.col("customer_id").alias("neighbour_id"), "product_id")
+    items = (inter.select("customer_id", "product_id")
              .join(products.select("product_id"), "product_id", "left_semi"))
-    # Owned items ride in the same (customer, product) aggregation as a
-    # flag, instead of a separate anti join over the candidate table.
-    fanned = (nb.join(items, "neighbour_id")
-              .select("customer_id", "product_id", "common_products", F.lit(0).alias("_owned")))
-    mine = owned.select("customer_id", "product_id", F.lit(None).cast("bigint").alias("common_products"),
-                        F.lit(1).alias("_owned"))
-    # A customer's neighbours sit in different join tasks, so map-side
-    # partial aggregation cannot merge its candidates; shuffling raw rows by
-    # the aggregation key and aggregating once afterwards is cheaper. A key
-    # repeats at most ``max_neighbours`` + 1 times, so this cannot skew.
-    # The configured partition count is kept (adaptive coalescing sizes by
-    # compressed bytes and would leave this CPU-heavy aggregation few tasks).
-    parts = int(inter.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cand = (fanned.unionByName(mine)
-            .repartition(parts, "customer_id", "product_id")
-            .groupBy("customer_id", "product_id")
-            .agg(F.count("common_products").alias("recommendation_score"),
-                 F.avg("common_products").alias("user_similarity"),
-                 F.max("_owned").alias("_owned"))
-            .where((F.col("_owned") == 0) & (F.col("recommendation_score") > 0))
-            .drop("_owned"))
+    if persist:
+        nb, items = materialize(nb, "neighbours"), materialize(items, "items")
+        owned = materialize(owned, "owned")
+    cand = _fan_out(nb, items, owned, persist)
     ranked = top_n_per_group(cand, ["customer_id"], n,
                              order_by(("recommendation_score", "desc"), ("product_id", "asc")))
     joined = ranked.join(products.select(*PRODUCT_COLUMNS), "product_id")
     return joined.select("customer_id", *PRODUCT_COLUMNS, "recommendation_score", "user_similarity", "rank")
 
 
+def _lists(rows: DataFrame, chunk: int = LIST_CHUNK, persist: bool = True) -> DataFrame:
+    """``(customer_id, products)``: a customer's products in lists of about
+    ``chunk`` at most."""
+    salts = group_salts(rows, "customer_id", chunk)
+    salts = materialize(salts, "salts") if persist else salts
+    part = F.pmod(F.xxhash64("product_id"), F.coalesce("_n", F.lit(1)))
+    return (rows.join(salts, "customer_id", "left").groupBy("customer_id", part.alias("_part"))
+            .agg(F.collect_list("product_id").alias("products")).drop("_part"))
+
+
+def _fan_out(nb: DataFrame, items: DataFrame, owned: DataFrame, persist: bool) -> DataFrame:
+    """``(customer_id, product_id, recommendation_score, user_similarity)`` of
+    all products of a customer's neighbours that the customer does not have.
+
+    Lists of products travel, one for each neighbour, and are unrolled where
+    they are counted: the shuffle carries a row for each neighbour instead of
+    one for each neighbour and product. Owned products come along as a list
+    with a flag. A customer with very many products is dealt out by parts of
+    the products."""
+    spark = nb.sparkSession
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lists = _lists(items, persist=persist)
+    size = items.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_d"))
+    rows = nb.join(size, nb.neighbour_id == size.customer_id).agg(F.sum("_d")).first()[0] or 0 if persist else 0
+    fanned = nb.join(lists.withColumnRenamed("customer_id", "neighbour_id"), "neighbour_id") \
+        .select("customer_id", "common_products", "products")
+    mine = _lists(owned, persist=persist).select("customer_id", F.lit(None).cast("bigint").alias("common_products"), "products")
+    hot = group_salts(owned, "customer_id", HOT_CUSTOMER)
+    sent = fanned.unionByName(mine).join(materialize(hot, "hot") if persist else hot, "customer_id", "left")
+    n = F.coalesce("_n", F.lit(1))
+    sent = sent.select("customer_id", "common_products", "products", n.alias("_n"), F.explode(F.sequence(F.lit(0), n - 1)).alias("_part"))
+    # each partition unrolls far more rows than it reads, so the number of rows sets the number of partitions
+    sent = sent.repartition(max(least, int(rows / PRODUCTS_PER_TASK) + 1), "customer_id", "_part")
+    here = (F.col("_n") == 1) | (F.pmod(F.xxhash64("product_id"), F.col("_n")) == F.col("_part"))
+    return (sent.select("customer_id", "_part", "_n", "common_products", F.explode("products").alias("product_id")).where(here)
+            .groupBy("customer_id", "_part", "product_id")
+            .agg(F.count("common_products").alias("recommendation_score"),
+                 F.avg("common_products").alias("user_similarity"),
+                 F.count(F.lit(1)).alias("_all"))
+            .where(F.col("recommendation_score") == F.col("_all"))
+            .drop("_all", "_part"))
+
+
 def recommend_for_users(inter: DataFrame, products: DataFrame, users: DataFrame,
                         n: int = DEFAULT_N) -> DataFrame:
     """C7 with C8 fallback for requested ``users`` (column ``customer_id``):

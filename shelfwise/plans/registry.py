@@ -395,6 +395,25 @@ def q_also_bought_topk(spark, d):
     return collab.also_bought(edges, c.products, 10)
 
 
+@plan("also_bought_bounded", ALSO_SQL)
+def q_also_bought_bounded(spark, d):
+    """The lists of also_bought_topk without the table of all pairs."""
+    c = catalog(spark, d)
+    return collab.also_bought_bounded(collab.interactions(c.reviews), c.products, 10)
+
+
+@plan("also_bought_refit", ALSO_SQL)
+def q_also_bought_refit(spark, d):
+    """A model fitted on the reviews of early dates, stored, loaded and
+    updated with the others, equals a full fit."""
+    c = catalog(spark, d)
+    late = F.col("review_date") >= F.lit("2001-06-01").cast("date")
+    path = scratch_path(spark, f"refit-{uuid.uuid4().hex}")
+    collab.fit_similarity(c.reviews.where(~late)).save(path)
+    model = collab.update_similarity(collab.SimilarityModel.load(spark, path), c.reviews.where(late))
+    return collab.also_bought(model.edges, c.products, 10)
+
+
 @plan("popular_by_interactions", sql("""
 SELECT c.product_id, c.title, c.category, round(c.average_rating, 6) AS average_rating, c.review_count, c.price,
        n.cnt AS interaction_count, row_number() OVER (ORDER BY n.cnt DESC, c.product_id) AS rank
@@ -438,6 +457,12 @@ cf AS (SELECT c.customer_id, p.product_id, p.title, p.category, p.average_rating
        QUALIFY rank <= 10)"""
 
 
+@plan("user_neighbours", sql("SELECT c1 AS customer_id, c2 AS neighbour_id, common AS common_products FROM nb",
+                             user_cf_ctes("inter")))
+def q_user_neighbours(spark, d):
+    return collab.neighbours_bounded(collab.interactions(catalog(spark, d).reviews))
+
+
 @plan("user_cf_batch", sql("""
 SELECT customer_id, product_id, title, category, round(average_rating, 6) AS average_rating, review_count, price,
        recommendation_score, round(user_similarity, 6) AS user_similarity, rank FROM cf""", user_cf_ctes("inter")))
