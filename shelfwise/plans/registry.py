@@ -18,6 +18,7 @@ from ..functions.columns import order_by
 from ..functions.sequence import running_count
 from ..operators import collab, evaluate, profile, recommend, search
 from ..operators.normalize import review_stats
+from ..operators.stored_catalog import StoredCatalog
 from ..session import materialize, scratch_path
 from ..sources import sinks
 from ..sources.testdata import catalog_from_tables
@@ -138,6 +139,38 @@ def q_title_search(spark, d):
     return search.search_by_title(catalog(spark, d).products, "Widget", 10).select(*P_SPARK, "rank")
 
 
+def stored(spark, d) -> StoredCatalog:
+    return StoredCatalog.write(catalog(spark, d).products, scratch_path(spark, f"catalogue-{uuid.uuid4().hex}"))
+
+
+@plan("title_match_indexed", sql("""
+SELECT product_id, title FROM products WHERE contains(lower(title), 'd widg')"""))
+def q_title_match_indexed(spark, d):
+    return stored(spark, d).title_search("D Widg").select("product_id", "title")
+
+
+@plan("title_search_indexed", sql(f"""
+SELECT {P_COLS}, row_number() OVER (ORDER BY sales_rank, product_id) AS rank
+FROM products WHERE contains(lower(title), 'ue') QUALIFY rank <= 10"""))
+def q_title_search_indexed(spark, d):
+    return stored(spark, d).search_by_title("UE", 10).select(*P_SPARK, "rank")
+
+
+@plan("multi_filter_stored", sql(f"""
+SELECT {P_COLS} FROM products WHERE category = 'STANDARD' AND average_rating >= 3.0 AND review_count >= 25
+  AND sales_rank <= 1500000 AND price <= 950.0"""))
+def q_multi_filter_stored(spark, d):
+    return stored(spark, d).complex_query(category="STANDARD", min_rating=3.0, min_reviews=25, max_salesrank=1_500_000,
+                                          max_price=950.0).select(*P_SPARK)
+
+
+@plan("price_range_stored", sql(f"""
+SELECT {P_COLS}, row_number() OVER (ORDER BY sales_rank, product_id) AS rank
+FROM products WHERE price >= 920.5 AND price <= 925.0 QUALIFY rank <= 10"""))
+def q_price_range_stored(spark, d):
+    return stored(spark, d).products_by_price_range(920.5, 925.0, 10).select(*P_SPARK, "rank")
+
+
 @plan("price_match", sql("""
 SELECT product_id, price FROM products WHERE price >= 920.5 AND price <= 925.0"""))
 def q_price_match(spark, d):
