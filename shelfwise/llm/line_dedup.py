@@ -11,11 +11,18 @@ block, so both documents hold that run.
 1. A document is aligned with the first holder of each of its runs and the
    first one that holds the run exactly once, however frequent the run is.
 2. Runs that still have a line not deleted: with the first ``EARLY`` holders.
-3. Runs that still have one: with all other earlier holders.
-
-Steps 1 and 2 give pairs by the number of runs, not by the square of a group.
-Only runs that none of these holders aligns reach step 3. Later exact copies
-of a text need no alignment: the whole text is one common block.
+3. Runs that still have one, so runs of more holders: of the documents that
+   hold such runs, those that share a rare line (at most ``EARLY`` of them have
+   it) are aligned as they are. All others can share frequent lines only, so
+   their alignment is that of their outlines: the frequent and blank lines, with
+   everything between them as one gap. Each pair of different outlines is
+   aligned once, whatever number of documents has them.
+
+Steps 1 and 2 and the rare lines give pairs by the number of lines, not by the
+square of a group. A line that stands twice in each of many documents, where
+nothing aligns it, costs one alignment for each pair of different outlines
+that hold it. Later exact copies of a text need no alignment: the whole text is
+one common block. Texts are told apart by 128 bits.
 """
 
 from __future__ import annotations
@@ -124,9 +131,13 @@ def text_lines(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataF
     return out.select("key", F.col("key.h").alias("h"), "lines", "words")
 
 
+def _text_hash(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")))
+
+
 def _key(id: Column, text: Column) -> Column:
     """Order and identity of a document: null ids last, then text hash."""
-    return F.struct(id.isNull().alias("no_id"), id.alias("doc_id"), F.xxhash64(text).alias("h"))
+    return F.struct(id.isNull().alias("no_id"), id.alias("doc_id"), _text_hash(text).alias("h"))
 
 
 def _runs(lines: list[int], words: list[int], min_words: int) -> list[tuple[int, int]]:
@@ -207,6 +218,97 @@ def _standing(held: DataFrame, cuts: DataFrame) -> DataFrame:
     return out.select("key", F.explode("runs").alias("r")).select("key", "r.*")
 
 
+GAP = 1 << 64       # added to a place for a gap in an outline: equal to no line, nor to a gap of the other side
+
+
+def _by_outlines(left: DataFrame, holders: DataFrame, texts: DataFrame, min_words: int,
+                 early: int) -> tuple[DataFrame, DataFrame]:
+    """The pairs (a, b) that share a rare line, to be aligned, and the cuts
+    ``(key, cut)`` of all other pairs, from their outlines. ``left(key, run)`` are
+    the documents with standing runs, ``holders(a, h_run)`` all that hold these."""
+    members = holders.select(F.col("a").alias("m_key")).distinct()
+    docs = materialize(texts.join(members, F.col("key") == F.col("m_key"), "left_semi").select("key", "lines", "words"), "members")
+    each = materialize(docs.select("key", F.explode(F.array_distinct("lines")).alias("line")).where("line <> 0"), "each")
+    count = materialize(each.groupBy(F.col("line").alias("n_line")).agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "line-counts")
+    rare = materialize(each.join(count.where(F.col("n") <= early), F.col("line") == F.col("n_line")).select("key", "line"), "rare")
+    later = left.select(F.col("key").alias("l_key")).distinct()
+    b_side = rare.join(later, F.col("key") == F.col("l_key"), "left_semi").select(F.col("key").alias("b"), F.col("line").alias("b_line"))
+    partners = materialize(rare.select(F.col("key").alias("a"), "line")
+                           .join(b_side, (F.col("line") == F.col("b_line")) & (F.col("a") < F.col("b"))).select("a", "b").distinct(),
+                           "partners")
+
+    # outlines: which lines of a document are frequent comes back as their places
+    often = each.join(count.where(F.col("n") > early), F.col("line") == F.col("n_line")) \
+        .groupBy(F.col("key").alias("o_key")).agg(F.collect_list("line").alias("often"))
+    rows = docs.join(often, F.col("key") == F.col("o_key"), "left").select("key", "lines", "words", "often")
+    kind = rows.schema["key"].dataType.simpleString()
+
+    def outline(b: pa.RecordBatch) -> dict:
+        out: dict[str, list] = {"cls": [], "tokens": [], "sizes": [], "places": []}
+        for lines, words, often in zip(*(b.column(i).to_pylist() for i in (1, 2, 3))):
+            keep, tokens, sizes, places = {0, *(often or ())}, [], [], []
+            for k, (x, n) in enumerate(zip(lines, words)):
+                if x in keep:
+                    tokens.append(x)
+                elif tokens and tokens[-1] is None:
+                    continue
+                else:
+                    tokens.append(None)
+                sizes.append(n if tokens[-1] is not None else 0)
+                places.append(k)
+            raw = array("q", [z for t, n in zip(tokens, sizes) for z in ((0, 0, -1) if t is None else (1, t, n))]).tobytes()
+            for c, v in zip(out, (xxhash.xxh128_hexdigest(raw), tokens, sizes, places)):
+                out[c].append(v)
+        return {"key": b.column(0), "cls": pa.array(out["cls"]), "tokens": pa.array(out["tokens"], pa.list_(pa.int64())),
+                "sizes": pa.array(out["sizes"], pa.list_(pa.int32())), "places": pa.array(out["places"], pa.list_(pa.int32()))}
+
+    made = materialize(map_batches(rows, outline, f"key {kind}, cls string, tokens array<bigint>, sizes array<int>, places array<int>"),
+                       "outlines")
+    classes = materialize(made.groupBy("cls").agg(F.min("key").alias("low"), F.any_value("tokens").alias("tokens"),
+                                                  F.any_value("sizes").alias("sizes")), "classes")
+    of = made.select(F.col("key").alias("c_key"), "cls")
+    by_run = lambda df, key: df.join(of, F.col(key) == F.col("c_key"))
+    a = by_run(holders, "a").groupBy(F.col("cls").alias("a_cls"), "h_run").agg(F.min("a").alias("a_low"))
+    b = by_run(left, "key").groupBy(F.col("cls").alias("b_cls"), "run").agg(F.max("key").alias("b_high"))
+    pairs = a.join(b, (F.col("h_run") == F.col("run")) & (F.col("a_low") < F.col("b_high"))).select("a_cls", "b_cls").distinct()
+    side = lambda x: classes.select(F.col("cls").alias(f"{x}_c"), F.col("tokens").alias(f"{x}_tokens"),
+                                    F.col("sizes").alias(f"{x}_sizes"), F.col("low").alias(f"{x}_low"))
+    pairs = pairs.join(side("a"), F.col("a_cls") == F.col("a_c")).join(side("b"), F.col("b_cls") == F.col("b_c")) \
+        .select("a_cls", "b_cls", "a_low", "a_tokens", "b_tokens", "b_sizes")
+
+    def run(b: pa.RecordBatch) -> dict:
+        cut = []
+        for x, y, w in zip(*(b.column(i).to_pylist() for i in (3, 4, 5))):
+            x = [GAP + 2 * k if t is None else t for k, t in enumerate(x)]
+            y = [GAP + 2 * k + 1 if t is None else t for k, t in enumerate(y)]
+            cut.append(common_blocks(x, y, w, min_words))
+        return {"a_cls": b.column(0), "b_cls": b.column(1), "low": b.column(2), "at": pa.array(cut, pa.list_(pa.int32()))}
+
+    found = materialize(map_batches(pairs, run, f"a_cls string, b_cls string, low {kind}, at array<int>").where(F.size("at") > 0),
+                        "outline-cuts")
+    # which documents of b's outline have an earlier one of a's that shares no rare line with them
+    mine = by_run(later, "l_key").select(F.col("l_key").alias("b"), "cls")
+    cand = found.join(mine, F.col("b_cls") == F.col("cls")).where(F.col("low") < F.col("b")).select("a_cls", "b", "low", "at")
+    near = partners.join(of, F.col("a") == F.col("c_key")).groupBy(F.col("cls").alias("p_cls"), F.col("b").alias("p_b")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+    cand = materialize(cand.join(near, (F.col("a_cls") == F.col("p_cls")) & (F.col("b") == F.col("p_b")), "left")
+                       .select("a_cls", "b", "at", F.coalesce("n", F.lit(0)).alias("n")), "candidates")
+    good = cand.where("n = 0").select("b", "at")
+    most = cand.agg(F.max("n")).first()[0] or 0
+    if most:        # of n + 1 earlier ones, one is no partner
+        first = made.withColumn("rank", F.row_number().over(Window.partitionBy("cls").orderBy("key"))) \
+            .where(F.col("rank") <= most + 1).select(F.col("cls").alias("f_cls"), F.col("key").alias("f_key"), "rank")
+        seen = cand.where("n > 0").join(first, (F.col("a_cls") == F.col("f_cls")) & (F.col("rank") <= F.col("n") + 1)
+                                        & (F.col("f_key") < F.col("b")))
+        seen = seen.join(partners.select(F.col("a").alias("q_a"), F.col("b").alias("q_b")),
+                         (F.col("f_key") == F.col("q_a")) & (F.col("b") == F.col("q_b")), "left_anti")
+        good = good.unionByName(seen.select("b", "at"))
+    cut = good.select("b", F.explode("at").alias("i")).distinct() \
+        .join(made.select(F.col("key").alias("m_key"), "places"), F.col("b") == F.col("m_key")) \
+        .select(F.col("b").alias("key"), F.expr("places[i]").alias("line"))
+    return partners, cut.groupBy("key").agg(F.collect_set("line").alias("cut"))
+
+
 def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, early: int = EARLY, text: str = "text",
                    id: str = "doc_id") -> DataFrame:
     """``(key, whole, cut)`` of the documents that lose lines: key as in
@@ -234,21 +336,34 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, early: int = EAR
     cuts = materialize(_cut_lines(done[0], texts, min_words), "cuts")
     left = held.where(F.col("key") > F.col("first")).select("key", "run", "start", "end")
     holders = held.select(F.col("key").alias("a"), F.col("run").alias("h_run")).distinct()
-    rank = F.row_number().over(Window.partitionBy("h_run").orderBy("a"))
-    for tries in (early, None):
-        left = materialize(_standing(left, cuts), "standing")
-        if left.isEmpty():
-            break
-        wanted = holders.join(left.select(F.col("run").alias("w_run")).distinct(), F.col("h_run") == F.col("w_run"),
-                              "left_semi")
-        if tries:
-            wanted = wanted.withColumn("rank", rank).where(F.col("rank") <= tries)
-        wanted = materialize(wanted.select("a", "h_run"), "holders")
+
+    def add(old: DataFrame, new: DataFrame) -> DataFrame:
+        more = old.unionByName(new).select("key", F.explode("cut").alias("line"))
+        return materialize(more.groupBy("key").agg(F.collect_set("line").alias("cut")), "cuts")
+
+    def holding(left: DataFrame) -> DataFrame:
+        return holders.join(left.select(F.col("run").alias("w_run")).distinct(), F.col("h_run") == F.col("w_run"), "left_semi") \
+            .select("a", "h_run")
+
+    left = materialize(_standing(left, cuts), "standing")
+    if not left.isEmpty():
+        # first of parts, then of all, so that no task ranks all holders of a run
+        some = holding(left).withColumn("part", F.pmod(F.xxhash64("a"), F.lit(32)))
+        for by in (["h_run", "part"], ["h_run"]):
+            some = some.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy("a"))).where(F.col("rank") <= early)
+        wanted = materialize(some.select("a", "h_run"), "holders")
         pairs = left.select(F.col("key").alias("b"), "run").distinct() \
             .join(wanted, (F.col("run") == F.col("h_run")) & (F.col("a") < F.col("b"))).select("a", "b").distinct()
         done.append(anew(pairs, done))
-        more = cuts.unionByName(_cut_lines(done[-1], texts, min_words)).select("key", F.explode("cut").alias("line"))
-        cuts = materialize(more.groupBy("key").agg(F.collect_set("line").alias("cut")), "cuts")
+        cuts = add(cuts, _cut_lines(done[-1], texts, min_words))
+        sizes = materialize(holding(left).groupBy("h_run").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > early)
+                            .select(F.col("h_run").alias("n_run")), "sizes")
+        left = _standing(left, cuts).join(sizes, F.col("run") == F.col("n_run"), "left_semi")
+        left = materialize(left, "standing")
+    if not left.isEmpty():
+        wanted = materialize(holding(left), "holders")
+        partners, more = _by_outlines(left.select("key", "run").distinct(), wanted, texts, min_words, early)
+        cuts = add(cuts, _cut_lines(anew(partners, done), texts, min_words).unionByName(more))
     first = texts.select(F.col("h").alias("t_h"), F.col("key").alias("t_key"))
     copies = rows.join(first, F.col("h") == F.col("t_h")).where(F.col("key") != F.col("t_key")) \
         .where(F.aggregate("words", F.lit(0), lambda a, x: a + x) >= min_words) \
@@ -268,7 +383,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, early: int = EARLY,
     """
     cuts = materialize(repeated_lines(docs, min_words, early, text, id), "cuts")
     t = F.col(f"`{text}`")
-    rows = pack_rows(docs, _id=F.col(f"`{id}`"), _h=F.xxhash64(t), _text=t)
+    rows = pack_rows(docs, _id=F.col(f"`{id}`"), _h=_text_hash(t), _text=t)
     cuts = cuts.select(F.col("key.doc_id").alias("c_id"), F.col("key.h").alias("c_h"), "whole", "cut")
     rows = rows.join(cuts, F.col("_id").eqNullSafe(F.col("c_id")) & (F.col("_h") == F.col("c_h")), "left")
     kept = F.array_join(F.filter(F.split("_text", "\n", -1), lambda x, i: ~F.array_contains("cut", i)), "\n")

@@ -282,6 +282,53 @@ def test_lines_equal_the_alignment_of_all_pairs(spark, early):
     assert dict(line_dedup.dedup_lines(df, early=early).collect()) == want
 
 
+def boilerplate(seed):
+    """Frequent lines, often twice in a document, between lines of its own; some
+    rare lines shared by two or three; equal outlines in many documents."""
+    rng = random.Random(seed)
+    often = [f"notice {i} of more than eight words on every page" for i in range(3)] + ["short notice", "other short one of five"]
+    shapes = [[rng.choice([*often, *often[:2], "", None, None]) for _ in range(rng.randrange(3, 9))] for _ in range(7)]
+    rows = []
+    for i in range(110):
+        body = [f"own {i} {k}" if x is None else x for k, x in enumerate(rng.choice(shapes))]
+        if rng.random() < 0.4:
+            body.insert(rng.randrange(len(body) + 1), f"rare {rng.randrange(30)} line shared by few documents of all")
+        rows.append((i, "\n".join([f"head {i}", *body, f"foot {i}"])))
+    return rows
+
+
+@pytest.mark.parametrize("seed, early", [(1, 1), (2, 2), (3, 3), (4, 2)])
+def test_outlines_equal_the_alignment_of_all_pairs(spark, seed, early, monkeypatch):
+    reached, plain = [], line_dedup._by_outlines
+    monkeypatch.setattr(line_dedup, "_by_outlines", lambda *x: reached.append(1) or plain(*x))
+    rows = boilerplate(seed)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    want = all_pairs(rows)
+    assert dict(line_dedup.dedup_lines(df, early=early).collect()) == want
+    assert reached and any(want[i] != t for i, t in rows)
+
+
+def test_a_line_twice_in_every_document_makes_few_pairs(spark, monkeypatch):
+    line, n = "a notice of more than eight words on every page", 3000
+    rows = [(i, f"x {i}\n{line}\ny {i}\n{line}\nz {i}") for i in range(n)]
+    pairs, aligned, plain, blocks = [], [], line_dedup._cut_lines, line_dedup.map_batches
+
+    def counted(p, *rest):
+        pairs.append(p.count())
+        return plain(p, *rest)
+
+    def outlines(df, fn, schema):
+        if "a_cls" in df.columns:
+            aligned.append(df.count())
+        return blocks(df, fn, schema)
+
+    monkeypatch.setattr(line_dedup, "_cut_lines", counted)
+    monkeypatch.setattr(line_dedup, "map_batches", outlines)
+    got = dict(line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    assert got == dict(rows)                # nothing aligns the two lines of a pair
+    assert sum(pairs) <= (line_dedup.EARLY + 1) * n and aligned == [1]
+
+
 def test_a_frequent_line_that_its_first_holder_has_twice(spark, monkeypatch):
     line, n = "a notice of more than eight words on every page", 1100
     rows = [(0, f"a\n{line}\nb\n{line}\nc")] + [(i, f"x {i}\n{line}\ny {i}") for i in range(1, n)]
