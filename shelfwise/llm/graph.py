@@ -4,8 +4,9 @@ Alternating large-star and small-star rounds (Kiveris et al., "Connected
 Components in MapReduce and Beyond", 2014): each round re-points every node
 to the smallest neighbour it sees, until the edges are stars around the
 smallest node of each component. Every step is a partially aggregated
-``min`` per node and a join, so a node with very many edges is never held
-in one task, and each round's edges are a table in the shared folder.
+``min`` per node and a join with it. Both sides of the join are tables in the
+shared folder, so adaptive execution can split the edges of a node that has
+very many: it cannot where a table meets its own aggregate in one plan.
 """
 
 from __future__ import annotations
@@ -57,11 +58,12 @@ def components(edges: DataFrame) -> DataFrame:
         both = e.select(F.explode(F.array(F.struct(F.col("hi").alias("u"), F.col("lo").alias("v")),
                                           F.struct(F.col("lo").alias("u"), F.col("hi").alias("v")))).alias("e")) \
             .select("e.*")
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
+        low = materialize(both.groupBy("u").agg(F.min("v").alias("m"))
+                          .select(F.col("u").alias("k"), F.least("u", "m").alias("m")), "low")
         large = both.where("v > u").join(low, F.col("u") == F.col("k")).select(F.col("v").alias("hi"),
                                                                               F.col("m").alias("lo")).distinct()
         large = materialize(large, "edges")
-        low = large.groupBy("hi").agg(F.min("lo").alias("m")).select(F.col("hi").alias("k"), "m")
+        low = materialize(large.groupBy("hi").agg(F.min("lo").alias("m")).select(F.col("hi").alias("k"), "m"), "low")
         small = large.join(low, F.col("hi") == F.col("k")).select(F.explode(F.array(
             F.struct(F.col("hi").alias("hi"), F.col("m").alias("lo")),
             F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")))).alias("e")).select("e.*")

@@ -354,6 +354,35 @@ def test_long_blocks_of_many_documents(spark):
     assert all(got[i] == rows[i][1].replace("\n" + passage, "") for i in range(1, 30))
 
 
+def test_edges_of_a_hub_are_split(spark, monkeypatch):
+    """A third of all edges at one node, broadcast off: the joins split them."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.shuffle.partitions": "24", "spark.sql.files.maxPartitionBytes": "16k",
+            "spark.sql.files.openCostInBytes": "1k"}     # a split needs several map tasks
+    before = {k: spark.conf.get(k, None) for k in conf}
+    plans, write = [], graph.materialize
+
+    def seen(df, name):
+        counted = df.groupBy().count()
+        counted.collect()
+        plans.append(counted._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(graph, "materialize", seen)
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        edges = spark.range(30_000).selectExpr("if(id % 3 = 0, 5, id + 100) as u", "id + 100001 as v")
+        got = graph.components(edges)
+        assert got.where("component = 5").count() == 10_001
+        assert got.count() == 30_000 + 20_001 and got.select("component").distinct().count() == 20_001
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert any("skew=true" in p for p in plans)
+
+
 def test_empty_tables(empty):
     for df in (simhash.near_duplicates(empty), simhash.keep_representatives(empty),
                substring_dedup.repeated_spans(empty), line_dedup.dedup_lines(empty)):
