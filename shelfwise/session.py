@@ -105,6 +105,11 @@ def drop_materialized(spark: SparkSession) -> None:
     _delete(spark, scratch_path(spark, ""))
 
 
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Delete one written table, once what was made of it is written too."""
+    _delete(spark, path)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
