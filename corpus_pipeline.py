@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm import line_dedup, mixing, quality, sentencepiece_codec, simhash
 from shelfwise.llm.common import table
-from shelfwise.session import scratch_path
+from shelfwise.session import drop_table, scratch_path, scratch_scope
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,9 +64,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The stages one after the other. A stage's scratch tables go when its
+    output is written, and the output once the next stage's is."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = scratch_path(spark, f"{name.replace(' ', '-')}-{uuid.uuid4().hex}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            drop_table(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
