@@ -72,6 +72,17 @@ def q_json_quarantine_counts(spark, d):
     return json_catalog.ingest_counts(_parsed(spark, d))
 
 
+@plan("json_ingest_one_pass", _with(JSON_STATUS, """
+SELECT status, count(*) AS lines, CASE WHEN status = 'blank' THEN 0 ELSE count(*) END AS written FROM st GROUP BY status"""))
+def q_json_ingest_one_pass(spark, d):
+    """Lines counted in flight, beside the rows that the same pass wrote."""
+    done = json_catalog.ingest(_parsed(spark, d), scratch_path(spark, f"ingest-{uuid.uuid4().hex}"))
+    lines = spark.createDataFrame(list(done.counts.items()), "status string, lines bigint").where("lines > 0")
+    rows = done.accepted.select("status").unionByName(done.quarantine.select("status")).groupBy("status") \
+        .agg(F.count(F.lit(1)).alias("written"))
+    return lines.join(rows, "status", "left").select("status", "lines", F.coalesce("written", F.lit(0)).cast("bigint").alias("written"))
+
+
 @plan("embedded_reviews", _with(JSON_STATUS, """
 SELECT 'P' || pk AS product_id, 'U' || ((pk * 7 + i) % 50) AS customer_id, CAST(v AS DOUBLE) AS rating,
        '2020-01-0' || (i + 1) AS review_date, CAST(pk % 5 AS BIGINT) AS helpful_votes,

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import order_by
 from ..functions.sequence import running_count
-from ..operators import collab, evaluate, profile, recommend, search
+from ..operators import collab, evaluate, profile, recommend, search, sketches
 from ..operators.normalize import review_stats
 from ..operators.stored_catalog import StoredCatalog
 from ..session import materialize, scratch_path
@@ -653,12 +653,12 @@ def q_sample_facts(spark, d):
 
 
 # ------------------------------------------------------ requested keys only
-REQUESTED = "(SELECT c_custkey AS customer_id FROM customer WHERE c_custkey % 50 = 0 UNION ALL SELECT -1 UNION ALL SELECT -2)"
+REQUESTED = "(SELECT c_custkey AS customer_id FROM customer WHERE c_custkey % 100 = 0 UNION ALL SELECT -1 UNION ALL SELECT -2)"
 
 
 def requested_customers(spark, d):
     """Every fiftieth customer, most with history, and two unknown ids."""
-    known = spark.read.parquet(f"{d}/customer.parquet").where("c_custkey % 50 = 0").select(F.col("c_custkey").alias("customer_id"))
+    known = spark.read.parquet(f"{d}/customer.parquet").where("c_custkey % 100 = 0").select(F.col("c_custkey").alias("customer_id"))
     return known.unionByName(spark.createDataFrame([(-1,), (-2,)], "customer_id bigint"))
 
 
@@ -703,10 +703,10 @@ def q_hybrid_recs_requested(spark, d):
 SELECT -5 AS target_id, {R_COLS}, 0 AS tier, row_number() OVER (ORDER BY sales_rank, average_rating DESC, product_id) AS rank
 FROM products WHERE average_rating >= 3.5 OR sales_rank <= 100000 QUALIFY rank <= 10
 UNION ALL
-SELECT target_id, {R_COLS}, tier, rank FROM (""") + " WHERE target_id % 20 = 0")
+SELECT target_id, {R_COLS}, tier, rank FROM (""") + " WHERE target_id % 100 = 0")
 def q_similar_products_requested(spark, d):
     products = catalog(spark, d).products
-    targets = products.where("product_id % 20 = 0").select("product_id").unionByName(
+    targets = products.where("product_id % 100 = 0").select("product_id").unionByName(
         spark.createDataFrame([(-5,)], "product_id bigint"))
     return recommend.similar_products(products, 10, targets)
 
@@ -793,3 +793,22 @@ def q_als_rating_error_facts(spark, d):
     e = q_als_rating_error(spark, d)
     return e.select("n", (F.col("mae") <= F.col("rmse")).alias("mae_below_rmse"),
                     F.col("rmse").between(0.0, 4.0).alias("rmse_in_range"))
+
+
+@plan("distinct_sketch_facts", sql("""
+SELECT column_name, exact, TRUE AS merged_is_one_pass, TRUE AS within_bound FROM (
+  SELECT 'customer_id' AS column_name, count(DISTINCT customer_id) AS exact FROM reviews
+  UNION ALL SELECT 'product_id', count(DISTINCT product_id) FROM reviews)"""))
+def q_distinct_sketch_facts(spark, d):
+    """Stored sketches of each month, merged, against a sketch of all
+    reviews and the exact counts."""
+    reviews, cols = catalog(spark, d).reviews, ["customer_id", "product_id"]
+    path = scratch_path(spark, f"sketches-{uuid.uuid4().hex}")
+    sketches.distinct_sketches(reviews, cols, F.date_trunc("month", "review_date")).write.parquet(path)
+    merged = sketches.merge_sketches(spark.read.parquet(path), cols)
+    once = sketches.merge_sketches(sketches.distinct_sketches(reviews, cols), cols)
+    exact = reviews.agg(*[F.count_distinct(c).alias(c) for c in cols])
+    long = lambda df, out: df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias(out)) for c in cols])))
+    out = long(merged, "m").join(long(once, "o"), "column_name").join(long(exact, "exact"), "column_name")
+    return out.select("column_name", "exact", (F.col("m") == F.col("o")).alias("merged_is_one_pass"),
+                      (F.abs(F.col("m") - F.col("exact")) <= sketches.error_bound() * F.col("exact")).alias("within_bound"))

@@ -10,8 +10,11 @@ counted instead of silently dropped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..schemas import CORRUPT_COLUMN, RAW_JSON_PRODUCT, RAW_JSON_PRODUCT_WITH_CORRUPT
 
@@ -34,6 +37,7 @@ STATUS_MISSING_ASIN = "missing_asin"
 STATUS_MALFORMED = "malformed"
 STATUS_BLANK = "blank"
 ACCEPTED = (STATUS_OK, STATUS_PARTIAL, STATUS_REPAIRED)
+STATUSES = (*ACCEPTED, STATUS_MISSING_ASIN, STATUS_MALFORMED, STATUS_BLANK)
 
 
 def read_catalog_json(spark: SparkSession, path: str, mode: str = "PERMISSIVE",
@@ -127,6 +131,38 @@ def require_valid(parsed: DataFrame) -> int:
     return n
 
 
+@dataclass(frozen=True)
+class Ingested:
+    """What one pass over the lines has written and counted."""
+
+    accepted: DataFrame
+    quarantine: DataFrame
+    counts: dict[str, int]      # lines by status, blank ones included
+
+
+def ingest(parsed: DataFrame, path: str) -> Ingested:
+    """S3 and S4 in one pass: records and quarantined lines are written to
+    ``path`` (folders ``_kind=accepted`` and ``_kind=quarantine``; blank lines
+    go), while the lines of each status are counted in flight.
+
+    The counts come from the tasks whose output was committed. Raises when
+    no record was accepted, as :func:`require_valid` does.
+    """
+    seen = Observation("ingest")
+    usable = F.col("status").isin(*ACCEPTED) & (F.col("asin") != "")
+    kind = F.when(usable, F.lit("accepted")).when(F.col("status") != STATUS_BLANK, F.lit("quarantine"))
+    counted = parsed.observe(seen, *[F.count(F.when(F.col("status") == s, 1)).alias(s) for s in STATUSES],
+                             F.count(F.when(usable, 1)).alias("_usable"))
+    counted.withColumn("_kind", kind).where("_kind is not null") \
+        .write.mode("overwrite").partitionBy("_kind").parquet(path)
+    counts = dict(seen.get)
+    if not counts.pop("_usable"):
+        raise ValueError("No valid JSON products found in the dataset")
+    rows = parsed.sparkSession.read.schema(StructType([*parsed.schema, StructField("_kind", StringType())])).parquet(path)
+    of = lambda k: rows.where(F.col("_kind") == k).drop("_kind")
+    return Ingested(of("accepted"), of("quarantine").select("line", "status"), counts)
+
+
 def read_catalog_lines(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
     """S3 from files: ``spark.read.text`` (splittable for plain text)."""
     return parse_catalog_lines(spark.read.text(path), min_partitions=min_partitions)
