@@ -12,6 +12,7 @@ from ..functions.columns import order_by, top_n, top_n_per_group
 from ..functions.skew import DEFAULT_CHUNK, co_members, grid_join, group_salts
 from ..session import materialize
 from .overlap import top_common, top_jaccard
+from .search import validate_search_parameters
 
 # Fixed values of the reference behaviour.
 MAX_NEIGHBOURS = 100
@@ -192,6 +193,7 @@ def also_bought(edges: DataFrame, products: DataFrame, n: int = DEFAULT_N,
     limit is a WindowGroupLimit, trimmed map-side before the shuffle; the
     display columns are joined to the ``n`` survivors per product.
     """
+    validate_search_parameters(n=n)
     if product_id is not None:
         edges = edges.where(F.col("product1") == F.lit(product_id))
     ids = products.select(F.col("product_id").alias("product2"))
@@ -207,6 +209,7 @@ def also_bought_bounded(inter: DataFrame, products: DataFrame, n: int = DEFAULT_
     """C6 for every product without the table of all pairs: the lists of
     :func:`also_bought`, found by two common customers and bounds
     (``operators.overlap``)."""
+    validate_search_parameters(n=n)
     ranked = top_jaccard(inter, "product_id", "customer_id", n, products)
     joined = ranked.withColumnRenamed("a", "product1").join(products.select(*PRODUCT_COLUMNS),
                                                             F.col("b") == F.col("product_id"))
@@ -221,6 +224,7 @@ def neighbours_bounded(inter: DataFrame, max_neighbours: int = MAX_NEIGHBOURS) -
 
 def popular_by_interactions(inter: DataFrame, products: DataFrame, n: int = DEFAULT_N) -> DataFrame:
     """The ``n`` products with most interactions, with catalogue columns."""
+    validate_search_parameters(n=n)
     counts = inter.groupBy("product_id").agg(F.count(F.lit(1)).alias("interaction_count"))
     joined = counts.join(products.select(*PRODUCT_COLUMNS), "product_id")
     return top_n(joined, n, order_by(("interaction_count", "desc"), ("product_id", "asc")), rank_col="rank")
@@ -309,6 +313,7 @@ def user_cf(inter: DataFrame, products: DataFrame, n: int = DEFAULT_N,
     removed by an anti join; only catalogued items count; top ``n`` by
     score, ties by product id.
     """
+    validate_search_parameters(n=n)
     if persist:
         # read many times below: write once to the shared checkpoint folder
         inter = materialize(inter.select("customer_id", "product_id"))
@@ -376,6 +381,7 @@ def recommend_for_users(inter: DataFrame, products: DataFrame, users: DataFrame,
                         n: int = DEFAULT_N) -> DataFrame:
     """C7 with C8 fallback for requested ``users`` (column ``customer_id``):
     users with history get user-based CF, others the most-interacted list."""
+    validate_search_parameters(n=n)
     known = users.join(inter.select("customer_id").distinct(), "customer_id", "left_semi")
     cf = user_cf(inter, products, n, persist=False, users=known)
     cold = users.join(known, "customer_id", "left_anti")
@@ -392,6 +398,7 @@ def recommend_for_users(inter: DataFrame, products: DataFrame, users: DataFrame,
 def also_bought_for(inter: DataFrame, products: DataFrame, product_id, n: int = DEFAULT_N) -> DataFrame:
     """C6 for one product straight from the interactions: what its customers
     have, and the sizes of these products. No pair table is built."""
+    validate_search_parameters(n=n)
     mine = inter.where(F.col("product_id") == F.lit(product_id)).select("customer_id")
     size = mine.select(F.count(F.lit(1))).scalar()
     co = (inter.join(mine, "customer_id", "left_semi").where(F.col("product_id") != F.lit(product_id))

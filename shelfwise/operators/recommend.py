@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import order_by, top_n, top_n_per_group
 from ..functions.sequence import running_count
 from ..session import materialize
+from .search import validate_search_parameters
 
 # Fixed thresholds of the reference recommenders.
 POPULAR_MIN_RATING = 3.5
@@ -28,12 +29,14 @@ def _popular_filter(products: DataFrame) -> DataFrame:
 
 def popularity(products: DataFrame, category: str | None = None, n: int = DEFAULT_N) -> DataFrame:
     """Rated >= 3.5 or ranked <= 100,000; by rank asc, rating desc."""
+    validate_search_parameters(category=category, n=n)
     base = products.where(F.col("category") == category) if category is not None else products
     return top_n(_popular_filter(base), n, order_by(*BY_RANK_THEN_RATING), "rank")
 
 
 def popularity_per_category(products: DataFrame, n: int = DEFAULT_N) -> DataFrame:
     """R1 batch: top ``n`` popular products of every category."""
+    validate_search_parameters(n=n)
     return top_n_per_group(_popular_filter(products), ["category"], n, order_by(*BY_RANK_THEN_RATING))
 
 
@@ -70,6 +73,7 @@ def content_based(products: DataFrame, reviews: DataFrame, n: int = DEFAULT_N,
     its category's ranked list as the user has items there, an equi-join on
     (category, position) that never pairs a user with a whole category.
     """
+    validate_search_parameters(n=n)
     prof = user_category_profile(products, reviews).select("customer_id", "category")
     if not exclude_seen:
         # n products of each category are enough
@@ -91,6 +95,7 @@ def content_based(products: DataFrame, reviews: DataFrame, n: int = DEFAULT_N,
 
 def content_based_for(products: DataFrame, reviews: DataFrame, user_id, n: int = DEFAULT_N) -> DataFrame:
     """R2 for one user; a user without reviews gets R1."""
+    validate_search_parameters(n=n)
     mine = reviews.where(F.col("customer_id") == F.lit(user_id))
     recs = content_based(products, mine, n).drop("customer_id")
     pop = popularity(products, None, n).select(*REC_COLUMNS, "rank")
@@ -105,6 +110,7 @@ def hybrid(products: DataFrame, reviews: DataFrame, users: DataFrame | None = No
     items already recommended (``False`` keeps the reference's repeats).
     Users without reviews get the popularity list.
     """
+    validate_search_parameters(n=n)
     if users is None:
         users = reviews.select("customer_id").where(F.col("customer_id").isNotNull()).distinct()
     else:
@@ -138,6 +144,7 @@ def similar_products(products: DataFrame, n: int = DEFAULT_N, targets: DataFrame
     category, other id, rated >= 3.5, by rating desc, rank asc. Requested
     ids missing from the catalogue get R1.
     """
+    validate_search_parameters(n=n)
     cat = products.select(*REC_COLUMNS)
     tgt = products if targets is None else products.join(targets.select("product_id"), "product_id", "left_semi")
     listed = tgt.select(F.col("product_id").alias("target_id"),
