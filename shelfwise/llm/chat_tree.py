@@ -11,14 +11,15 @@ sequence that are its ancestors, which it attends to beside itself, and the
 spans under the loss mask.
 
 No tree has to be in one task: conversations are range-sorted, lengths
-prefix-summed and node owners found by Spark. Rows grow with the turns.
+prefix-summed and node owners found by Spark. Turns stay rows until their
+segment is written: keys and offsets are running sums over a conversation.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequence import running_count
@@ -30,6 +31,7 @@ OPEN, COLON, CLOSE = "### ", ": ", "</turn>\n"
 TEXT_ESCAPES = (("#", "\\h"), ("<", "\\l"))
 ROLE_ESCAPES = (*TEXT_ESCAPES, (":", "\\c"), ("\n", "\\n"))
 LOSS_ROLE = "assistant"
+BLOCK_BITS = 10         # spans are read from blocks of 2^10 code points
 
 
 def _replaced(col: Column, pairs) -> Column:
@@ -47,35 +49,27 @@ def unescape(col: Column, pairs=TEXT_ESCAPES) -> Column:
     return F.array_join(parts, "\\")
 
 
-def conversation_paths(turns: DataFrame) -> DataFrame:
-    """``(conv_id, turns array<struct<role, text>>, path array<string>)``:
-    path holds the key of every turn's node, a digest of the turn and of the
-    key before it."""
-    rows = turns.select("conv_id", F.struct("turn", F.coalesce("role", F.lit("")).alias("role"),
-                                            F.coalesce("text", F.lit("")).alias("text")).alias("t"))
-    conv = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
-    step = lambda path, t: F.concat(path, F.array(F.md5(F.concat_ws(
-        "\n", F.coalesce(F.try_element_at(path, F.lit(-1)), F.lit("")), F.length(t["role"]).cast("string"), t["role"],
-        t["text"]))))
-    return conv.withColumn("path", F.aggregate("turns", F.array().cast("array<string>"), step))
+def _formatted(role: Column, text: Column) -> Column:
+    return F.concat(F.lit(OPEN), escape(role, ROLE_ESCAPES), F.lit(COLON), escape(text), F.lit(CLOSE))
 
 
-def _formatted(t: Column) -> Column:
-    return F.concat(F.lit(OPEN), escape(t["role"], ROLE_ESCAPES), F.lit(COLON), escape(t["text"]), F.lit(CLOSE))
-
-
-def _loss_spans(turns: Column, loss_role: str) -> Column:
-    """Spans of the escaped texts of ``loss_role``, from the start of the
-    turns; empty texts have none."""
-    head = lambda t: F.length(escape(t["role"], ROLE_ESCAPES)) + len(OPEN + COLON)
-    size = lambda t: F.length(escape(t["text"]))
-    step = lambda acc, t: F.struct(
-        (acc["at"] + head(t) + size(t) + len(CLOSE)).cast("bigint").alias("at"),
-        F.when((t["role"] == loss_role) & (size(t) > 0), F.concat(acc["spans"], F.array(F.struct(
-            (acc["at"] + head(t)).cast("bigint").alias("start"), (acc["at"] + head(t) + size(t)).cast("bigint").alias("end")))))
-        .otherwise(acc["spans"]).alias("spans"))
-    none = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans"))
-    return F.aggregate(turns, none, step, lambda acc: acc["spans"])
+def turn_nodes(turns: DataFrame) -> DataFrame:
+    """``(cid, nul, pos, role, text, k1, k2, chars, upto)``: every turn with
+    its conversation (nul: the id is null), its position from 0, the key of
+    its node (two exclusive ors of digests of the turns up to it, each with
+    its position), the code points of the formatted turn and of all up to it.
+    """
+    role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
+    kind = turns.schema["conv_id"].dataType
+    rows = turns.select(F.coalesce("conv_id", F.lit(0).cast(kind)).alias("cid"), F.col("conv_id").isNull().alias("nul"),
+                        "turn", role.alias("role"), text.alias("text"))
+    order = Window.partitionBy("cid", "nul").orderBy("turn", "role", "text")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("pos", F.row_number().over(order) - 1) \
+        .withColumns({"x1": F.xxhash64("pos", "role", "text"), "x2": F.xxhash64(F.lit("second"), "text", "role", "pos"),
+                      "chars": F.length(_formatted(F.col("role"), F.col("text"))).cast("bigint")})
+    return rows.select("cid", "nul", "pos", "role", "text", F.bit_xor("x1").over(upto).alias("k1"),
+                       F.bit_xor("x2").over(upto).alias("k2"), "chars", F.sum("chars").over(upto).alias("upto"))
 
 
 def format_tree(turns: DataFrame, loss_role: str = LOSS_ROLE) -> tuple[DataFrame, DataFrame]:
@@ -88,46 +82,76 @@ def format_tree(turns: DataFrame, loss_role: str = LOSS_ROLE) -> tuple[DataFrame
     their start, attends the ``(segment, start, end)`` intervals of the
     turns before them, each the beginning of an earlier segment, and loss
     the spans of the sequence under the loss mask (the escaped texts of
-    ``loss_role``). leaves: ``(conv_id, segment)``.
+    ``loss_role``; empty texts have none). leaves: ``(conv_id, segment)``.
 
     A conversation's turns go by turn (null first), then role, then text;
     repeated rows are turns of their own; a null role or text is empty. Rows
     with a null conv_id are one conversation. Other columns are ignored and
-    an empty table gives no rows.
+    an empty table gives no rows. Work is linear in the turns, however long a
+    conversation is; the keys of its turns (32 bytes each) and the text of
+    its segment must fit one row. Nodes are told apart by 128 bits.
     """
-    conv = materialize(conversation_paths(turns).withColumn("leaf", F.element_at("path", -1)), "paths")
-    paths = conv.groupBy("leaf").agg(F.first("turns").alias("turns"), F.first("path").alias("path"))
+    keyed = materialize(turn_nodes(turns), "turns")
+    conv = keyed.groupBy("cid", "nul").agg(F.sort_array(F.collect_list(F.struct("pos", "k1", "k2", "chars"))).alias("path"))
+    conv = materialize(conv.withColumn("leaf", F.element_at("path", -1)), "paths")
+    paths = conv.groupBy("leaf").agg(F.first("path").alias("path"), F.min(F.struct("nul", "cid")).alias("rep"))
     paths = materialize(running_count(paths, [], [F.col("path")], out="segment"), "paths")
-    leaves = materialize(conv.select("conv_id", F.col("leaf").alias("c_leaf"))
+    conv_id = F.when(~F.col("nul"), F.col("cid")).alias("conv_id")
+    leaves = materialize(conv.select(conv_id, F.col("leaf").alias("c_leaf"))
                          .join(paths.select("leaf", "segment"), F.col("c_leaf") == F.col("leaf"))
                          .select("conv_id", "segment"), "leaves")
-    each = materialize(paths.select("segment", F.posexplode(F.arrays_zip("path", "turns")).alias("depth", "x"))
-                       .select("segment", "depth", F.col("x.path").alias("node"),
-                               F.length(_formatted(F.col("x.turns"))).cast("bigint").alias("chars")), "nodes")
-    owner = materialize(each.groupBy(F.col("node").alias("o_node")).agg(F.min("segment").alias("owner")), "owners")
-    parts = materialize(each.join(owner, F.col("node") == F.col("o_node")).groupBy("segment", "owner")
-                        .agg(F.min("depth").alias("depth"), F.sum("chars").alias("chars")), "parts")
+    each = materialize(paths.select("segment", F.inline("path")), "nodes")
+    owner = materialize(each.groupBy("pos", "k1", "k2").agg(F.min("segment").alias("owner")), "owners")
+    parts = materialize(each.join(owner, ["pos", "k1", "k2"]).groupBy("segment", "owner")
+                        .agg(F.min("pos").alias("depth"), F.sum("chars").alias("chars")), "parts")
     own = parts.where("segment = owner").select(F.col("segment").alias("p_segment"), "depth", "chars")
     placed = materialize(running_count(own, [], [F.col("p_segment")], flag=F.col("chars"), out="start"), "placed")
     above = parts.where("segment <> owner").select(F.col("segment").alias("of"), "owner", F.col("depth").alias("at"),
                                                    F.col("chars").alias("taken")) \
         .join(placed.select("p_segment", "start"), F.col("owner") == F.col("p_segment")) \
         .groupBy("of").agg(F.sort_array(F.collect_list(F.struct("at", "owner", "start", "taken"))).alias("up"))
-    new = F.slice("turns", F.col("depth") + 1, F.size("turns"))
-    shifted = F.transform(_loss_spans(new, loss_role), lambda x: F.struct(
-        (F.col("start") + x["start"]).alias("start"), (F.col("start") + x["end"]).alias("end")))
     attends = F.transform("up", lambda x: F.struct(x["owner"].alias("segment"), x["start"].alias("start"),
                                                    (x["start"] + x["taken"]).alias("end")))
     none = F.array().cast("array<struct<segment:bigint,start:bigint,end:bigint>>")
-    segments = paths.join(placed, F.col("segment") == F.col("p_segment")) \
-        .join(above, F.col("segment") == F.col("of"), "left") \
-        .select("segment", F.array_join(F.transform(new, _formatted), "").alias("text"), "start",
+    places = materialize(
+        paths.select("segment", "rep").join(placed, F.col("segment") == F.col("p_segment"))
+        .join(above, F.col("segment") == F.col("of"), "left")
+        .select("segment", F.col("rep.cid").alias("r_cid"), F.col("rep.nul").alias("r_nul"), "depth", "start",
                 (F.col("start") + F.col("chars")).alias("end"),
-                F.coalesce(F.aggregate("up", F.lit(0).cast("bigint"), lambda s, x: s + x["taken"]), F.lit(0)).alias("position"),
-                F.coalesce(attends, none).alias("attends"), shifted.alias("loss"))
+                F.coalesce(F.aggregate("up", F.lit(0).cast("bigint"), lambda s, x: s + x["taken"]), F.lit(0))
+                .alias("position"), F.coalesce(attends, none).alias("attends")), "places")
+    # the text of a segment: the turns of one of its conversations that are its own
+    begin = F.col("start") - F.col("position") + F.col("upto") - len(CLOSE)
+    size = F.length(escape(F.col("text")))
+    span = F.when((F.col("role") == loss_role) & (F.col("text") != ""),
+                  F.struct((begin - size).alias("start"), begin.alias("end")))
+    texts = keyed.join(places.select("segment", "r_cid", "r_nul", "depth", "start", "position"),
+                       (F.col("cid") == F.col("r_cid")) & (F.col("nul") == F.col("r_nul")) & (F.col("pos") >= F.col("depth"))) \
+        .select("cid", "nul", F.col("segment").alias("t_segment"),
+                F.struct("pos", _formatted(F.col("role"), F.col("text")).alias("text"), span.alias("span")).alias("t")) \
+        .groupBy("cid", "nul").agg(F.first("t_segment").alias("t_segment"), F.sort_array(F.collect_list("t")).alias("ts"))
+    loss = F.filter(F.transform("ts", lambda t: t["span"]), lambda x: x.isNotNull())
+    texts = texts.select("t_segment", F.array_join(F.transform("ts", lambda t: t["text"]), "").alias("text"),
+                         loss.alias("loss"))
+    segments = places.join(texts, F.col("segment") == F.col("t_segment")) \
+        .select("segment", "text", "start", "end", "position", "attends", "loss")
     return materialize(segments, "segments"), leaves
 
 
+def _spans_of(text: Column, spans: Column) -> Column:
+    """The texts of spans (from 0) of a text. It is cut into blocks first, so
+    that a span far from its start does not read all that stands before."""
+    blocks = F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % (1 << BLOCK_BITS)), F.lit(0))
+
+    def one(held: Column, x: Column) -> Column:
+        first, last = F.shiftright(x["start"], BLOCK_BITS), F.shiftright(x["end"] - 1, BLOCK_BITS)
+        near = F.array_join(F.slice(held, (first + 1).cast("int"), (last - first + 1).cast("int")), "")
+        return near.substr((x["start"] - F.shiftleft(first, BLOCK_BITS) + 1).cast("int"), (x["end"] - x["start"]).cast("int"))
+
+    # a lambda over an array of one holds the blocks, so they are cut once
+    return F.flatten(F.transform(F.array(blocks), lambda held: F.transform(spans, lambda x: one(held, x))))
+
+
 def read_back(segments: DataFrame, leaves: DataFrame) -> DataFrame:
     """``(conv_id, formatted, turns array<struct<role, text>>, loss_texts
     array<string>)`` of every conversation, from the written tree alone: the
@@ -137,9 +161,9 @@ def read_back(segments: DataFrame, leaves: DataFrame) -> DataFrame:
                        F.col("segment") == F.col("l_segment"))
     seen = last.select("conv_id", F.explode(F.concat("attends", F.array(F.struct("segment", "start", "end")))).alias("seen"))
     parts = seen.join(segments.select("segment", "start", "text", "loss"), F.col("seen.segment") == F.col("segment"))
-    at = lambda x: (x - F.col("start") + 1).cast("int")
-    masked = F.transform(F.filter("loss", lambda x: x["end"] <= F.col("seen.end")), lambda x: unescape(
-        F.col("text").substr(at(x["start"]), (x["end"] - x["start"]).cast("int"))))
+    spans = F.transform(F.filter("loss", lambda x: x["end"] <= F.col("seen.end")), lambda x: F.struct(
+        (x["start"] - F.col("start")).alias("start"), (x["end"] - F.col("start")).alias("end")))
+    masked = F.transform(_spans_of(F.col("text"), spans), lambda x: unescape(x))
     text = F.col("text").substr(F.lit(1), (F.col("seen.end") - F.col("start")).cast("int"))
     conv = parts.select("conv_id", F.struct(F.col("start").alias("at"), text.alias("text"), masked.alias("masked")).alias("p")) \
         .groupBy("conv_id").agg(F.sort_array(F.collect_list("p")).alias("p"))

@@ -4,9 +4,10 @@ Each text becomes postings: (position, word) of the few words that occur in a
 licence template. Document frequencies of those words over the whole corpus
 order each template's key words by rarity. A template is looked up by its
 rarest key word: its positions give the places where the template could
-start, the other postings are intersected at their relative positions, and
-the place counts when the mandatory key phrase stands there word for word.
-A text that lacks one key word is never probed.
+start, the postings of the other words are intersected with them, moved by
+their relative positions, and the place counts when the mandatory key phrase
+stands there word for word. A text that lacks one key word is never probed.
+Work grows in proportion to a text's postings, however long the text.
 """
 
 from __future__ import annotations
@@ -67,12 +68,10 @@ def postings(docs: DataFrame, vocabulary: list[str], text: str = "text", id: str
         .withColumn("present", F.array_distinct(F.transform("hits", lambda h: h.bitwiseAND((1 << _BITS) - 1))))
 
 
-def _code(start: Column, offset: int, word: int) -> Column:
-    return F.shiftleft(start + offset, _BITS) + word
-
-
-def _shifted(by: int):
-    return lambda h: F.shiftright(h, _BITS) - by
+def _starts(word: int, offset: int) -> Column:
+    """Where something would start that has this word at this offset."""
+    return F.transform(F.filter("hits", lambda h: h.bitwiseAND((1 << _BITS) - 1) == word),
+                       lambda h: F.shiftright(h, _BITS) - offset)
 
 
 def _labelled(name: str):
@@ -80,22 +79,26 @@ def _labelled(name: str):
 
 
 def _places(template: list[int], phrase: list[int], rarity: dict[int, int]) -> Column:
-    """Starts of the template where its key phrase stands whole."""
+    """Starts of the template where its key phrase stands whole: the starts
+    by its rarest word, intersected with those by each other word."""
     at = next(i for i in range(len(template)) if template[i:i + len(phrase)] == phrase)
-    rare = min(phrase, key=lambda w: (rarity[w], w))
-    own = F.filter("hits", lambda h: h.bitwiseAND((1 << _BITS) - 1) == rare)
-    starts = [F.transform(own, _shifted(at + o)) for o, w in enumerate(phrase) if w == rare]
-    starts = starts[0] if len(starts) == 1 else F.array_distinct(F.concat(*starts))
-    checks = [(at + o, w) for o, w in enumerate(phrase)]
-    verified = F.filter(starts, lambda s: _all([F.array_contains("hits", _code(s, o, w)) for o, w in checks]))
+    by = sorted(range(len(phrase)), key=lambda o: (rarity[phrase[o]], phrase[o], o))
+    verified = reduce(F.array_intersect, [_starts(phrase[o], at + o) for o in by])
     present = _all([F.array_contains("present", F.lit(w).cast("bigint")) for w in sorted(set(phrase))])
-    return F.when(present, verified).otherwise(F.array().cast("array<bigint>"))
+    return F.when(present, F.array_distinct(verified)).otherwise(F.array().cast("array<bigint>"))
 
 
-def _share(template: list[int]):
-    """The share of the template's words that stand in place at a start."""
-    return lambda start: reduce(lambda a, b: a + b, [F.array_contains("hits", _code(start, o, w)).cast("int")
-                                                     for o, w in enumerate(template)]) / len(template)
+def _share(places: str, template: list[int]) -> Column:
+    """The largest share of the template's words that stand in place at one
+    of the places: the longest run of equal starts among those by all its
+    words. 0 without a place."""
+    by_words = F.sort_array(F.concat(*[F.array_intersect(places, _starts(w, o)) for o, w in enumerate(template)]))
+    step = lambda acc, s: F.struct(
+        s.alias("start"), F.when(acc["start"] == s, acc["run"] + 1).otherwise(1).alias("run"),
+        F.greatest(acc["top"], F.when(acc["start"] == s, acc["run"] + 1).otherwise(1)).alias("top"))
+    none = F.struct(F.lit(None).cast("bigint").alias("start"), F.lit(0).alias("run"), F.lit(0).alias("top"))
+    return F.when(F.size(places) > 0, F.aggregate(by_words, none, step, lambda acc: acc["top"]) / len(template)) \
+        .otherwise(0.0)
 
 
 def scan(docs: DataFrame, base=BASE, templates=TEMPLATES, min_share: float = MIN_SHARE, text: str = "text",
@@ -106,7 +109,8 @@ def scan(docs: DataFrame, base=BASE, templates=TEMPLATES, min_share: float = MIN
     labels, score)``: places are (label, start) of every place of a base
     phrase, labels distinct and sorted arrays, score the largest share of a
     template's words in place (1 where a base phrase stands, 0 where nothing
-    does). Null and empty texts have no words, places or labels and score 0.
+    does). Null and empty texts have no words, places or labels and score 0;
+    very long texts are scanned whole, in linear time.
     Rows are scanned one by one, so repeated ids and null ids stay as they
     are; other columns are ignored.
     """
@@ -122,8 +126,7 @@ def scan(docs: DataFrame, base=BASE, templates=TEMPLATES, min_share: float = MIN
     out = index.where(F.size("hits") > 0).withColumns(cols)
     k0 = len(base)
     places = F.concat(*[F.transform(f"p{k}", _labelled(coded[k][0])) for k in range(k0)])
-    out = out.withColumns({f"s{k}": F.coalesce(F.array_max(F.transform(f"p{k}", _share(coded[k][1]))), F.lit(0.0))
-                           for k in range(k0, len(coded))})
+    out = out.withColumns({f"s{k}": _share(f"p{k}", coded[k][1]) for k in range(k0, len(coded))})
     own = F.filter(F.array(*[F.when(F.size(f"p{k}") > 0, F.lit(coded[k][0])) for k in range(k0)]),
                    lambda x: x.isNotNull())
     more = F.filter(F.array(*[F.when(F.col(f"s{k}") >= min_share, F.lit(coded[k][0]))

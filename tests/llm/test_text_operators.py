@@ -233,6 +233,23 @@ def test_licences_equal_brute_force(spark, messy):
     assert last["labels"] == ["gpl", "gpl-3.0"] and got[len(texts) - 1]["labels"] == ["cc-by", "cc-by-nc", "mit"]
 
 
+def test_licence_words_in_one_very_long_text(spark):
+    n = 200_000
+    text = "mit license " * n + "this work is licensed under x gnu general public license version 3"
+    row = license_scan.scan(spark.createDataFrame([(1, text)], "doc_id bigint, text string")) \
+        .select("n_words", F.size("places").alias("n"), "labels", "score").first()
+    assert (row["n_words"], row["n"], row["labels"]) == (2 * n + 12, n + 1, ["gpl", "gpl-3.0", "mit"])
+    assert row["score"] == 1.0
+
+
+def test_share_is_that_of_the_best_place(spark):
+    templates = (("t", "a b a c k d", "c k"),)
+    rows = [(0, "a b a c k d", 1.0), (1, "c k d", 0.5), (2, "a c k x a b x c k", 4 / 6), (3, "c x k", 0.0), (4, "c k c k", 2 / 6)]
+    df = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    got = dict(found(license_scan.scan(df, base=(("z", "zz"),), templates=templates), "doc_id", "score"))
+    assert got == {i: pytest.approx(s) for i, _, s in rows}
+
+
 # --------------------------------------------------------------------- chat
 def chat_rows():
     rng = random.Random(7)
@@ -288,6 +305,21 @@ def test_chat_tree_round_trip(spark):
         assert "".join(whole[a:b] for a, b in path) == got[r["conv_id"]]["formatted"]
 
 
+def test_chat_of_one_very_long_conversation(spark):
+    n = 100_000
+    rows = spark.range(0, n, 1, 8).select(
+        F.lit(1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"),
+        F.concat(F.lit("<#\U0001F600 "), F.col("id").cast("string")).alias("text"))
+    branch = rows.where(f"turn < {n // 2}").withColumn("conv_id", F.lit(2).cast("bigint"))
+    segments, leaves = chat_tree.format_tree(rows.unionByName(branch))
+    got = {r["conv_id"]: r for r in chat_tree.read_back(segments, leaves).collect()}
+    for c, size in ((1, n), (2, n // 2)):
+        assert [t["text"] for t in got[c]["turns"]] == [f"<#\U0001F600 {i}" for i in range(size)]
+        assert got[c]["loss_texts"] == [f"<#\U0001F600 {i}" for i in range(1, size, 2)]
+    assert segments.count() == 2
+
+
 def test_chat_of_an_empty_table(spark):
     segments, leaves = chat_tree.format_tree(spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string"))
     assert segments.count() == 0 and chat_tree.read_back(segments, leaves).count() == 0
