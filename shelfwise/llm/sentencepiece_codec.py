@@ -11,6 +11,14 @@ maximum over piece lengths stores score and backpointer for all words at
 once. The segmentation has the highest sum of piece scores; equal sums go to
 the longer last piece. Characters without a piece become byte pieces.
 
+Words of more than ``LONG`` code points (scripts without spaces) are cut into
+windows of ``WINDOW`` that all advance together, whatever word they are of.
+First each window goes from every one of the last positions before it, which
+gives the best score from any state at its start to any at its end. The states
+are then joined window by window, and with the true state at its start known,
+each window advances once more for the backpointers. So a word of any length
+takes linear time, in bounded blocks, and no window depends on a guess.
+
 The model file is read on the driver; its pieces (a fixed vocabulary) travel
 with the tasks.
 """
@@ -34,7 +42,10 @@ UNKNOWN_PENALTY = 10.0      # fixed value: below the lowest piece score, as in t
 CACHE_WORDS = 300_000       # segmentations that a task keeps
 CHUNK_CHARS = 1_000_000     # text encoded at once
 BLOCK_CELLS = 50_000        # words times length that advance together
-LONG = 64                   # a word longer than this is no candidate for the cache
+LONG = 64                   # a word longer than this goes by windows and is not cached
+WINDOW = 128                # code points of a window
+WINDOW_CELLS = 65_536       # windows times length that advance together
+NOTHING = 0x110000          # beyond the code points: stands before and after a text
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -115,21 +126,42 @@ def _probe(points: np.ndarray, h: np.ndarray, length: int, table) -> tuple[np.nd
     return score, id
 
 
-def viterbi(words: list[str], pieces: Pieces) -> list[bytes]:
-    """Best segmentations of words of one length (in code points), as the
-    bytes of int32 ids. Arrays are position by word, so each step runs over
-    contiguous rows."""
-    n, size = len(words), len(words[0])
-    points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, size)
-    points = np.ascontiguousarray(points.T)
+def _probes(points: np.ndarray, pieces: Pieces) -> tuple[list[int], dict]:
+    """Piece lengths, longest first, and for each ``_probe``; a character
+    without a piece of its own has the unknown score and id -1."""
+    size = len(points)
     h = prefix_hashes(points)
     lengths = sorted((x for x in pieces.tables if x <= size), reverse=True)
     probes = {x: _probe(points, h, x, pieces.tables[x]) for x in lengths}
-    if 1 in probes:     # a character without a piece of its own
+    if 1 in probes:
         probes[1] = np.where(probes[1][1] < 0, pieces.unknown_score, probes[1][0]), probes[1][1]
     else:
         lengths.append(1)
-        probes[1] = np.full((size, n), pieces.unknown_score), np.full((size, n), -1, np.int32)
+        probes[1] = np.full(points.shape, pieces.unknown_score), np.full(points.shape, -1, np.int32)
+    return lengths, probes
+
+
+def _code_points(words: list[str]) -> np.ndarray:
+    return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _ids_of(ids: np.ndarray, text: str, pieces: Pieces) -> bytes:
+    """Bytes of the ids of a text, from its pieces at their last positions
+    (-2: no piece ends here, -1: a character without a piece)."""
+    if not (ids == -1).any():
+        return ids[ids != -2].astype(np.int32, copy=False).tobytes()
+    return np.array(list(chain.from_iterable(
+        [pieces.byte_ids[b] for b in text[c].encode("utf-8", "surrogatepass")] if i == -1 else [i]
+        for c, i in enumerate(ids.tolist()) if i != -2)), np.int32).tobytes()
+
+
+def viterbi(words: list[str], pieces: Pieces) -> list[bytes]:
+    """Best segmentations of words of one length (in code points), as the
+    bytes of int32 ids. Arrays are position by word, so each step runs over
+    contiguous rows."""
+    n, size = len(words), len(words[0])
+    points = np.ascontiguousarray(_code_points(words).reshape(n, size).T)
+    lengths, probes = _probes(points, pieces)
     best = np.zeros((size + 1, n))
     step = np.ones((size + 1, n), np.int32)
     for end in range(1, size + 1):
@@ -157,9 +189,69 @@ def viterbi(words: list[str], pieces: Pieces) -> list[bytes]:
     flat, ends = out[used].tobytes(), (4 * np.cumsum(used.sum(1))).tolist()
     found = [flat[i:j] for i, j in zip([0, *ends], ends)]
     for k in np.nonzero((out == -1).any(1))[0].tolist():
-        found[k] = np.array(list(chain.from_iterable(
-            [pieces.byte_ids[b] for b in words[k][c].encode("utf-8", "surrogatepass")] if i == -1 else [i]
-            for c, i in enumerate(out[k].tolist()) if i != -2)), np.int32).tobytes()
+        found[k] = _ids_of(out[k], words[k], pieces)
+    return found
+
+
+def _advance(best: np.ndarray, lengths: list[int], probes: dict, back: int, last: np.ndarray | None = None,
+             id: np.ndarray | None = None) -> None:
+    """Fill best[back + 1:], position by window (and state), from its rows up
+    to ``back``; ``last`` and ``id`` take the length and id of the last piece."""
+    for end in range(back + 1, len(best)):
+        top = best[end]
+        for x in lengths:
+            score = probes[x][0][end - x]
+            new = best[end - x] + (score if best.ndim == 2 else score[:, None])
+            better = new > top
+            np.copyto(top, new, where=better)
+            if last is not None:
+                np.copyto(last[end - back - 1], x, where=better)
+                np.copyto(id[end - back - 1], probes[x][1][end - x], where=better)
+
+
+def viterbi_windows(words: list[str], pieces: Pieces) -> list[bytes]:
+    """Best segmentations of words of any lengths, by windows. A window sees
+    the ``back`` positions up to its start and ``WINDOW`` beyond."""
+    back = max([1, *pieces.tables])
+    count = [-(-len(w) // WINDOW) for w in words]
+    # every word after ``back`` of nothing, filled up with nothing to whole windows
+    first = np.cumsum([0, *[back + k * WINDOW for k in count]])
+    points = np.full(first[-1], NOTHING, np.uint32)
+    for at, w in zip(first.tolist(), words):
+        points[at + back:at + back + len(w)] = _code_points([w])
+    starts = np.concatenate([at + WINDOW * np.arange(k) for at, k in zip(first.tolist(), count)])
+    opens = set((np.cumsum([0, *count])[:-1]).tolist())      # windows that begin a word
+    last = np.ones((len(starts), WINDOW), np.min_scalar_type(back))
+    ids = np.full((len(starts), WINDOW), -1, np.int32)
+    state, group = None, max(1, WINDOW_CELLS // WINDOW)
+    for g in range(0, len(starts), group):
+        own = starts[g:g + group]
+        block = np.ascontiguousarray(points[own[:, None] + np.arange(back + WINDOW)[None, :]].T)
+        lengths, probes = _probes(block, pieces)
+        # best score to each position from each of the ``back`` last positions up to the start
+        way = np.full((back + WINDOW + 1, len(own), back), -np.inf)
+        way[np.arange(1, back + 1), :, np.arange(back)] = 0.0
+        _advance(way, lengths, probes, back)
+        best = np.full((back + WINDOW + 1, len(own)), -np.inf)
+        for k in range(len(own)):
+            if g + k in opens:
+                state = np.full(back, -np.inf)
+                state[-1] = 0.0
+            best[1:back + 1, k] = state
+            state = (way[WINDOW + 1:, k, :] + state[None, :]).max(1)
+        step, piece = np.ones((WINDOW, len(own)), last.dtype), np.full((WINDOW, len(own)), -1, np.int32)
+        _advance(best, lengths, probes, back, step, piece)
+        last[g:g + len(own)], ids[g:g + len(own)] = step.T, piece.T
+    found, at = [], 0
+    for w, k in zip(words, count):
+        step, out = memoryview(last[at:at + k].reshape(-1)), np.full(len(w), -2, np.int32)
+        ends, p = [], len(w)
+        while p > 0:
+            ends.append(p - 1)
+            p -= step[p - 1]
+        out[ends] = ids[at:at + k].reshape(-1)[ends]
+        found.append(_ids_of(out, w, pieces))
+        at += k
     return found
 
 
@@ -189,15 +281,18 @@ class Encoder:
         for w in new:
             by_length.setdefault(len(w), []).append(w)
         got = self.known
+        long = [w for size, own in by_length.items() if size > LONG for w in own]
+        if long:
+            got.update(zip(long, viterbi_windows(long, self.pieces)))
         for size, own in by_length.items():
+            if size > LONG:
+                continue
             for i in range(0, len(own), max(1, BLOCK_CELLS // size)):
                 part = own[i:i + max(1, BLOCK_CELLS // size)]
                 got.update(zip(part, viterbi(part, self.pieces)))
         out = [b"".join(map(got.__getitem__, ws)) for ws in cut]
-        for size, own in by_length.items():
-            if size > LONG:
-                for w in own:
-                    del got[w]
+        for w in long:
+            del got[w]
         return out
 
 
@@ -242,10 +337,13 @@ def encode(docs: DataFrame, model: str = MODEL, text: str = "text", id: str = "d
         -> DataFrame:
     """``(doc_id, *keep, ids array<int>, n_tokens)`` of every row.
 
-    Null and empty texts have no ids. Texts are encoded whole, whatever
-    their length; repeated rows and null ids stay as they are. Columns not
-    named in ``keep`` are left out.
+    Null and empty texts have no ids. Texts are encoded whole, in linear time
+    whatever their length, with spaces or without; repeated rows and null ids
+    stay as they are. Columns not named in ``keep`` are left out; ``keep`` may
+    not name ``doc_id``, ``ids`` or ``n_tokens``, or a column twice.
     """
+    if len({"doc_id", "ids", "n_tokens", *keep}) < 3 + len(keep):
+        raise ValueError("keep names a column of the result, or one twice")
     pieces = Pieces.load(model)
     names = [id, *keep]
     kinds = ", ".join(f"`{'doc_id' if c == id else c}` {docs.schema[c].dataType.simpleString()}" for c in names)

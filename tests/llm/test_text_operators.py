@@ -365,6 +365,38 @@ def test_encoding_equals_a_plain_viterbi(pieces):
         assert sentencepiece_codec.decode_ids(ids, pieces.surface) == t
 
 
+def unspaced():
+    rng = random.Random(5)
+    letters = "etaoinshrdlu"
+    return ["".join(rng.choices(letters, k=n)) for n in (65, 127, 128, 129, 600, 1500)] + \
+        ["".join(rng.choices("日本語中文😀aé▁", k=700)), "ab" * 400, "é" * 300, "x" * 2000 + "\u65e5"]
+
+
+@pytest.mark.parametrize("window, cells", [(128, 65536), (5, 20), (1, 1)])
+def test_long_words_equal_a_plain_viterbi(pieces, monkeypatch, window, cells):
+    import sentencepiece
+    model = sentencepiece.SentencePieceProcessor(model_file=sentencepiece_codec.MODEL)
+    monkeypatch.setattr(sentencepiece_codec, "WINDOW", window)
+    monkeypatch.setattr(sentencepiece_codec, "WINDOW_CELLS", cells)
+    texts = unspaced()
+    for t, ids in zip(texts, sentencepiece_codec.Encoder(pieces).encode(texts)):
+        assert ids == plain_viterbi(t, model, pieces), t[:40]
+        assert sentencepiece_codec.decode_ids(ids, pieces.surface) == t
+
+
+def test_a_million_characters_without_a_space(spark):
+    rng = random.Random(6)
+    text = "".join(rng.choices("日本語中文学生etaoin", k=1000)) * 1000
+    got = sentencepiece_codec.decode(sentencepiece_codec.encode(spark.createDataFrame([(1, text)], "doc_id bigint, text string")))
+    assert got.first()["text"] == text
+
+
+def test_kept_columns_do_not_clash_with_the_result(messy):
+    for keep in (("ids",), ("n_tokens",), ("doc_id",), ("lang", "lang")):
+        with pytest.raises(ValueError):
+            sentencepiece_codec.encode(messy, keep=keep)
+
+
 def test_word_cache_does_not_matter(pieces, monkeypatch):
     texts = [t or "" for _, t, _, _ in messy_rows()]
     want = sentencepiece_codec.Encoder(pieces).encode(texts)
