@@ -66,3 +66,14 @@ def test_drop_materialized(spark):
     drop_materialized(spark)
     jpath = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, ""))
     assert not jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+
+
+@pytest.mark.parametrize("name, key, table, column, others", [
+    ("user_cf_requested", "customer_id", "customer", "c_custkey", {-1, -2}),
+    ("hybrid_recs_requested", "customer_id", "customer", "c_custkey", {-1, -2}),
+    ("similar_products_requested", "target_id", "part", "p_partkey", {-5})])
+def test_every_key_is_requested(spark, name, key, table, column, others):
+    """No part of the keys is left out, and unknown ids are answered too."""
+    asked = {r[0] for r in spark.read.parquet(f"{SF_SMALL}/{table}.parquet").select(column).collect()} | others
+    assert {r[0] for r in PLANS[name].build(spark, SF_SMALL).select(key).distinct().collect()} == asked
+    assert "% 100" not in PLANS[name].sql
