@@ -136,3 +136,22 @@ def test_model_save_load_roundtrip(shop, tmp_path):
     back = collab.SimilarityModel.load(shop.reviews.sparkSession, str(tmp_path / "model"))
     assert sorted(map(tuple, back.edges.collect())) == sorted(map(tuple, model.edges.collect()))
     assert back.interactions.count() == model.interactions.count()
+
+
+@pytest.mark.parametrize("directed", [False, True])
+@pytest.mark.parametrize("chunk, values", [(4096, 2_000_000), (3, 2_000_000), (4096, 5), (3, 5)])
+def test_pairs_travel_as_lists(spark, directed, chunk, values):
+    """Hot groups and hot members give the plain counts, and no exchange deals rows out by pairs."""
+    rows = sorted({(g, m) for g in range(12) for m in range(30) if (g * 7 + m * 5) % 4 == 0 or m == 3 or g == 2}) + [(None, 1), (1, None)]
+    df = spark.createDataFrame([(g, m, None if m is None else m * 1000, m is not None and m % 3 > 0) for g, m in rows],
+                               "g bigint, m bigint, w bigint, ok boolean")
+    got = co_members(df, "g", "m", ["w"], chunk, directed=directed, answers="ok" if directed else None, values_per_task=values)
+    want = {}
+    for g, a in rows:
+        for h, b in rows:
+            if g is not None and g == h and None not in (a, b) and (a != b and b % 3 > 0 if directed else a < b):
+                want[a, b, a * 1000, b * 1000] = want.get((a, b, a * 1000, b * 1000), 0) + 1
+    assert {(r.m1, r.m2, r.w1, r.w2): r.co_count for r in got.collect()} == want
+    assert got.schema["m2"].dataType.simpleString() == got.schema["w1"].dataType.simpleString() == "bigint"
+    exchanges = [x for x in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in x]
+    assert exchanges and not any("m2" in x for x in exchanges)
