@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import order_by, top_n_per_group
-from ..functions.skew import DEFAULT_CHUNK, PAIRS_PER_TASK, grid_join
+from ..functions.skew import DEFAULT_CHUNK, PAIRS_PER_TASK, grid_join, narrow_types
 from ..session import materialize
 
 SMALL = 128     # tokens of a set that is joined on pairs of tokens
@@ -57,15 +57,20 @@ def _two_token_pairs(rows: DataFrame, facts: DataFrame) -> DataFrame:
     # adaptive execution sizes partitions by bytes read; these tasks make far more rows than they read
     parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(made / PAIRS_PER_TASK * 4) + 1)
     held = rows.where("rare").join(some.select("s"), "s", "left_semi").select("s", "tok")
+    kinds = narrow_types(held, ["s", "tok"])        # the smallest types that hold the ids
+    held = held.select(*[F.col(x).cast(kinds[x]).alias(x) for x in ("s", "tok")])
     lists = held.repartition(parts, "s").groupBy("s").agg(F.sort_array(F.collect_list("tok")).alias("toks"))
     at = lists.select("s", "toks", F.posexplode("toks").alias("i", "t1"))
-    two = at.select("s", "t1", F.explode(F.slice("toks", F.col("i") + 2, F.size("toks"))).alias("t2"))
-    meet = two.repartition(parts, "t1", "t2").groupBy("t1", "t2").agg(F.sort_array(F.collect_list("s")).alias("ss"))
+    # the tokens after t1 travel as one list; t1 is rare, so a task gets few lists of one token
+    sent = at.where(F.col("i") + 1 < F.size("toks")).select("s", "t1", F.slice("toks", F.col("i") + 2, F.size("toks")).alias("t2s"))
+    two = sent.repartition(parts, "t1").select("s", "t1", F.explode("t2s").alias("t2"))
+    meet = two.groupBy("t1", "t2").agg(F.sort_array(F.collect_list("s")).alias("ss"))
     meet = meet.where(F.size("ss") > 1).select("ss", F.posexplode("ss").alias("i", "a"))
     pairs = meet.select("a", F.explode(F.slice("ss", F.col("i") + 2, F.size("ss"))).alias("b")) \
         .groupBy("a", "b").agg(F.count(F.lit(1)).alias("m"))
     c = F.round((1 + F.sqrt(1 + 8 * F.col("m"))) / 2).cast("bigint")
-    return pairs.select("a", "b", c.alias("c"))
+    own = rows.schema["s"].dataType
+    return pairs.select(F.col("a").cast(own).alias("a"), F.col("b").cast(own).alias("b"), c.alias("c"))
 
 
 def _with_heavy(pairs: DataFrame, rows: DataFrame, facts: DataFrame) -> DataFrame:
