@@ -16,6 +16,7 @@ POPULAR_MAX_RANK = 100_000
 CONTENT_MIN_RATING = 4.0
 SIMILAR_MIN_RATING = 3.5
 DEFAULT_N = 10
+ROWS_PER_TASK = 500_000     # candidates ranked in one task
 
 BY_RANK_THEN_RATING = (("sales_rank", "asc"), ("average_rating", "desc"), ("product_id", "asc"))
 BY_RATING_THEN_RANK = (("average_rating", "desc"), ("sales_rank", "asc"), ("product_id", "asc"))
@@ -79,20 +80,35 @@ def content_based(products: DataFrame, reviews: DataFrame, n: int = DEFAULT_N,
         # n products of each category are enough
         eligible = products.where(F.col("average_rating") >= CONTENT_MIN_RATING).select(*REC_COLUMNS)
         best = top_n_per_group(eligible, ["category"], n, order_by(*BY_RATING_THEN_RANK), rank_col="_pos")
-        out = top_n_per_group(prof.join(best, "category"), ["customer_id"], n, order_by(*BY_RATING_THEN_RANK))
+        prof, best = materialize(prof, "profiles"), materialize(best, "best")
+        dealt = prof.repartition(_parts(prof, prof.count() * n), "customer_id")
+        out = top_n_per_group(dealt.join(best, "category"), ["customer_id"], n, order_by(*BY_RATING_THEN_RANK))
         return out.select("customer_id", *REC_COLUMNS, "rank")
     ranked = _ranked_in_category(products, CONTENT_MIN_RATING)
     own = materialize(reviews.select("customer_id", "product_id").distinct(), "seen")
     seen = (own.join(ranked.select("product_id", "category"), "product_id")
             .groupBy("customer_id", "category").agg(F.count(F.lit(1)).alias("_seen")))
-    prof = prof.join(seen, ["customer_id", "category"], "left")
-    probes = prof.select("customer_id", "category", F.explode(F.sequence(
-        F.lit(0), F.lit(n - 1) + F.coalesce(F.col("_seen"), F.lit(0)))).alias("_pos"))
-    cand = probes.join(ranked, ["category", "_pos"]).join(own, ["customer_id", "product_id"], "left_anti")
-    out = top_n_per_group(cand, ["customer_id"], n, order_by(*BY_RATING_THEN_RANK))
+    prof = materialize(prof.join(seen, ["customer_id", "category"], "left")
+                       .select("customer_id", "category", (F.lit(n - 1) + F.coalesce("_seen", F.lit(0))).alias("_last")), "profiles")
+    rows, deepest = prof.agg(F.sum(F.col("_last") + 1), F.max("_last")).first()
+    parts = _parts(prof, rows or 0)
+    # no one probes beyond the deepest position: a short table, which is written so that its size is known
+    ranked = materialize(ranked.where(F.col("_pos") <= F.lit(deepest)), "ranked")
+    probes = prof.repartition(parts, "customer_id").select(
+        "customer_id", "category", F.explode(F.sequence(F.lit(0), F.col("_last"))).alias("_pos"))
+    keys = ["customer_id", "product_id"]
+    cand = probes.join(ranked, ["category", "_pos"]).repartition(parts, *keys).join(own.repartition(parts, *keys), keys, "left_anti")
+    out = top_n_per_group(cand.repartition(parts, "customer_id"), ["customer_id"], n, order_by(*BY_RATING_THEN_RANK))
     return out.select("customer_id", *REC_COLUMNS, "rank")
 
 
+def _parts(df: DataFrame, rows: int) -> int:
+    """Partitions for ``rows`` candidates. They repeat few products, so they
+    shrink to almost nothing when shuffled; adaptive execution, which sizes
+    partitions by these bytes, would sort very many in one task."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(rows / ROWS_PER_TASK) + 1)
+
+
 def content_based_for(products: DataFrame, reviews: DataFrame, user_id, n: int = DEFAULT_N) -> DataFrame:
     """R2 for one user; a user without reviews gets R1."""
     validate_search_parameters(n=n)
