@@ -80,7 +80,7 @@ def content_based(products: DataFrame, reviews: DataFrame, n: int = DEFAULT_N,
         # n products of each category are enough
         eligible = products.where(F.col("average_rating") >= CONTENT_MIN_RATING).select(*REC_COLUMNS)
         best = top_n_per_group(eligible, ["category"], n, order_by(*BY_RATING_THEN_RANK), rank_col="_pos")
-        prof, best = materialize(prof, "profiles"), materialize(best, "best")
+        best = materialize(best, "best")
         dealt = prof.repartition(_parts(prof, prof.count() * n), "customer_id")
         out = top_n_per_group(dealt.join(best, "category"), ["customer_id"], n, order_by(*BY_RATING_THEN_RANK))
         return out.select("customer_id", *REC_COLUMNS, "rank")

@@ -155,3 +155,24 @@ def test_pairs_travel_as_lists(spark, directed, chunk, values):
     assert got.schema["m2"].dataType.simpleString() == got.schema["w1"].dataType.simpleString() == "bigint"
     exchanges = [x for x in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in x]
     assert exchanges and not any("m2" in x for x in exchanges)
+
+
+def _exchanges(df):
+    return [x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in x]
+
+
+def test_also_bought_all(shop):
+    got = collab.also_bought_all(collab.interactions(shop.reviews), shop.products, 3)
+    want = collab.also_bought(collab.fit_similarity(shop.reviews).edges, shop.products, 3)
+    assert got.columns == want.columns and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_neighbours_shuffle_no_pairs(shop):
+    assert not any("m2" in x for x in _exchanges(collab.neighbours(collab.interactions(shop.reviews), 5)))
+
+
+def test_pairs_of_a_saved_model_are_written_once(shop, tmp_path, monkeypatch):
+    written, write = [], collab.materialize
+    monkeypatch.setattr(collab, "materialize", lambda df, name="stage": written.append(df.columns) or write(df, name))
+    collab.fit_similarity(shop.reviews, store_pairs=False).save(str(tmp_path / "model"))
+    assert written and not any("similarity_score" in c for c in written)

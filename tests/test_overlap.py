@@ -156,3 +156,7 @@ def test_hot_customer_in_user_cf(spark, monkeypatch):
     assert got == want
 
 
+def test_pairs_of_tokens_travel_as_lists(sets):
+    rows, facts = overlap._prepare(sets, "s", "t", 128, 1024)
+    plan = overlap._two_token_pairs(rows, facts)._jdf.queryExecution().executedPlan().toString()
+    assert not any("t2" in x for x in plan.splitlines() if "Exchange hashpartitioning" in x)

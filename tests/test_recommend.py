@@ -91,3 +91,14 @@ def test_one_user_reads_only_their_reviews(shop):
         above = [x for x in lines[:i] if "Join " in x and x.index("Join ") < lines[i].index("LogicalRDD")]
         assert "LeftSemi" in above[-1]
     assert reviews
+
+
+@pytest.mark.parametrize("unseen", [False, True])
+def test_content_candidates_are_dealt_by_their_number(shop, monkeypatch, unseen):
+    want = sorted(map(tuple, recommend.content_based(shop.products, shop.reviews, 3, unseen).collect()))
+    monkeypatch.setattr(recommend, "ROWS_PER_TASK", 1)
+    got = recommend.content_based(shop.products, shop.reviews, 3, unseen)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, got.collect())) == want
+    dealt = [x for x in plan.splitlines() if "REPARTITION_BY_NUM" in x]
+    assert dealt and all("hashpartitioning(customer_id" in x and ", 8)" not in x for x in dealt)
