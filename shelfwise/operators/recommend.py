@@ -65,7 +65,7 @@ def _ranked_in_category(products: DataFrame, min_rating: float) -> DataFrame:
 
 
 def content_based(products: DataFrame, reviews: DataFrame, n: int = DEFAULT_N,
-                  exclude_seen: bool = False) -> DataFrame:
+                  exclude_seen: bool = False, one_user: bool = False) -> DataFrame:
     """R2 for every user with reviews: products rated >= 4.0 in the
     categories the user reviewed, by rating desc, rank asc; top ``n``.
 
@@ -73,6 +73,8 @@ def content_based(products: DataFrame, reviews: DataFrame, n: int = DEFAULT_N,
     ``exclude_seen`` each (user, category) probes as many more positions of
     its category's ranked list as the user has items there, an equi-join on
     (category, position) that never pairs a user with a whole category.
+    The reviews of ``one_user`` make few candidates: nothing is counted or
+    written for them.
     """
     validate_search_parameters(n=n)
     prof = user_category_profile(products, reviews).select("customer_id", "category")
@@ -80,8 +82,10 @@ def content_based(products: DataFrame, reviews: DataFrame, n: int = DEFAULT_N,
         # n products of each category are enough
         eligible = products.where(F.col("average_rating") >= CONTENT_MIN_RATING).select(*REC_COLUMNS)
         best = top_n_per_group(eligible, ["category"], n, order_by(*BY_RATING_THEN_RANK), rank_col="_pos")
-        best = materialize(best, "best")
-        dealt = prof.repartition(_parts(prof, prof.count() * n), "customer_id")
+        dealt = prof
+        if not one_user:
+            best = materialize(best, "best")
+            dealt = prof.repartition(_parts(prof, prof.count() * n), "customer_id")
         out = top_n_per_group(dealt.join(best, "category"), ["customer_id"], n, order_by(*BY_RATING_THEN_RANK))
         return out.select("customer_id", *REC_COLUMNS, "rank")
     ranked = _ranked_in_category(products, CONTENT_MIN_RATING)
@@ -113,14 +117,14 @@ def content_based_for(products: DataFrame, reviews: DataFrame, user_id, n: int =
     """R2 for one user; a user without reviews gets R1."""
     validate_search_parameters(n=n)
     mine = reviews.where(F.col("customer_id") == F.lit(user_id))
-    recs = content_based(products, mine, n).drop("customer_id")
+    recs = content_based(products, mine, n, one_user=True).drop("customer_id")
     pop = popularity(products, None, n).select(*REC_COLUMNS, "rank")
     has_reviews = mine.select(F.count(F.lit(1)) > 0).scalar()
     return recs.where(has_reviews).unionByName(pop.where(~has_reviews))
 
 
 def hybrid(products: DataFrame, reviews: DataFrame, users: DataFrame | None = None,
-           n: int = DEFAULT_N, dedupe: bool = True) -> DataFrame:
+           n: int = DEFAULT_N, dedupe: bool = True, one_user: bool = False) -> DataFrame:
     """R3 for every user (or the ``users`` ids): content recommendations,
     filled up to ``n`` from the popularity list. ``dedupe`` skips popular
     items already recommended (``False`` keeps the reference's repeats).
@@ -132,7 +136,7 @@ def hybrid(products: DataFrame, reviews: DataFrame, users: DataFrame | None = No
     else:
         users = users.select("customer_id").distinct()
         reviews = reviews.join(users, "customer_id", "left_semi")
-    content = content_based(products, reviews, n).select("customer_id", "product_id", F.lit(0).alias("_src"),
+    content = content_based(products, reviews, n, one_user=one_user).select("customer_id", "product_id", F.lit(0).alias("_src"),
                                                          F.col("rank").alias("_p"))
     # only users short of n need popular products, and of these only the ids
     counts = content.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_have"))
@@ -199,7 +203,7 @@ def get_recommendations(products: DataFrame, reviews: DataFrame, user_id=None, p
     spark = products.sparkSession
     if user_id is not None:
         users = spark.createDataFrame([(user_id,)], "customer_id " + reviews.schema["customer_id"].dataType.simpleString())
-        return hybrid(products, reviews, users, n).drop("customer_id")
+        return hybrid(products, reviews, users, n, one_user=True).drop("customer_id")
     if product_id is not None:
         targets = spark.createDataFrame([(product_id,)], "product_id " + products.schema["product_id"].dataType.simpleString())
         return similar_products(products, n, targets).drop("target_id", "tier")
