@@ -29,6 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.blocks import best_partners, whole_ids
 from ..functions.columns import order_by, top_n_per_group
 from ..functions.skew import DEFAULT_CHUNK, PAIRS_PER_TASK, grid_join, narrow_types
 from ..session import materialize
@@ -137,6 +138,16 @@ def top_jaccard(df: DataFrame, set_col: str, token_col: str, n: int, eligible: D
     left = rows.select(F.col("s").alias("a"), "tok", "rare").join(need, "a")
     right = rows.select(F.col("s").alias("b"), "tok").join(fact("b"), "b")
     right = right if ok is None else right.join(ok, "b", "left_semi")
+    if whole_ids(rows, "s"):
+        if need.isEmpty():
+            return found.select("a", "b", "c", "similarity_score", "rank")
+        asking = materialize(left.select("tok", "a", "fa"), "asking")
+        met = asking.select("tok").distinct()
+        met = materialize(right.select("tok", "b", "fb").join(met, "tok", "left_semi"), "met")
+        rest = best_partners(asking, met, "tok", "a", "b", n, "jaccard", "fa", "fb", same=True)
+        # a list left open is made anew from all its pairs
+        done = found.join(need.select("a"), "a", "left_anti")
+        return done.select("a", "b", "c", "similarity_score", "rank").unionByName(rest)
     u = _at_most()
     rest = _meet_on_tokens(left, right, rows, u / (F.col("fa") + F.col("fb") - u) >= F.col("t"), chunk)
     return ranked(found.select("a", "b", "c", "fa", "fb").unionByName(rest)).select("a", "b", "c", "similarity_score", "rank")
