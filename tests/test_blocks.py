@@ -105,3 +105,30 @@ def test_lists_left_open_shuffle_no_pair(bought):
     rows = {(r.product1, r.product2): r.similarity_score for r in want.collect()}
     got = df.collect()
     assert {(r.a, r.b): r.similarity_score for r in got} == rows and len(got) == len(rows)
+
+
+@pytest.mark.parametrize("list_members, task_members", [(1 << 16, 24_000_000), (3, 90)])
+def test_pairs_by_blocks(bought, monkeypatch, list_members, task_members):
+    monkeypatch.setattr(blocks, "LIST_MEMBERS", list_members)
+    monkeypatch.setattr(blocks, "TASK_MEMBERS", task_members)
+    rows, inter = bought
+    own = defaultdict(set)
+    for c, p in rows:
+        own[p].add(c)
+    df = collab.item_cooccurrence(inter)
+    assert _plan(df).count("MapInArrow") == 1 and not any("m2" in x for x in _plan(df).splitlines() if "Exchange" in x)
+    got = df.collect()
+    assert {tuple(r) for r in got} == {(p, q, len(own[p] & own[q]), len(own[p]), len(own[q])) for p in own for q in own if p < q and own[p] & own[q]}
+    assert len({(r.product1, r.product2) for r in got}) == len(got)
+
+
+def test_uncatalogued_products_are_struck_without_the_edges(spark, bought):
+    rows, inter = bought
+    model = collab.SimilarityModel(inter, collab.item_jaccard(inter), collab.item_frequency(inter))
+    for listed in (lambda p: p % 4, lambda p: True):
+        cat = spark.createDataFrame([(p, "t", "c", 4.0, 1, 1.0) for p in {p for _, p in rows} if listed(p)],
+                                    "product_id bigint, title string, category string, average_rating double, review_count bigint, price double")
+        want = collab.also_bought(model.edges, cat, 5)
+        got = collab.also_bought(model.edges, cat, 5, known=model.frequency)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert "LeftSemi" not in _plan(got) and "LeftAnti" not in _plan(got)
